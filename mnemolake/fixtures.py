@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 
 from .functions.text import tokens
 from .schemas import CATEGORY_SEED, category_seed
+from .sources.tables import widen
 
 DIM, SMALL_DIM = 64, 32
 FIXTURE_DIMS = (DIM, SMALL_DIM)
 NOW = "2024-06-01 00:00:00"
+TEXT_TABLES = ("documents", "conversations", "embeddings")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return widen(rows) if name in TEXT_TABLES else rows
 
 
 def now():

@@ -93,12 +93,12 @@ def knn_exact(q: DataFrame, m: DataFrame, dim: int, k: int, broadcast_bytes: int
     if queries.bytes <= broadcast_bytes:
         pairs = _scan_topk(queries, vectors, k, schema)
     else:
-        blocks = (-(-queries.rows // QUERY_BLOCK), -(-vectors.count() // VECTOR_BLOCK))
+        q_blocks = -(-queries.rows // QUERY_BLOCK)
+        v_blocks = max(-(-vectors.count() // VECTOR_BLOCK), 1)
+        bucket = F.lit(0).cast("long").alias("_bucket")
         pairs = _block_topk(
-            queries.df.withColumn("_bucket", F.lit(0)),
-            vectors.withColumn("_bucket", F.lit(0)),
-            F.lit(blocks[0]), F.lit(max(blocks[1], 1)), k, schema,
-        )
+            queries.df.select("*", bucket), vectors.select("*", bucket), F.lit(q_blocks), F.lit(v_blocks), 1, k, schema
+        )
     return top_per_query(pairs, _order(), k)
 
 
@@ -125,27 +125,41 @@ def _scan_topk(queries: Staged, vectors: DataFrame, k: int, schema: T.StructType
     return vectors.mapInPandas(scan, schema)
 
 
-def _block_topk(q: DataFrame, v: DataFrame, q_blocks: Column, v_blocks: Column, k: int, schema: T.StructType) -> DataFrame:
+def _block_topk(q: DataFrame, v: DataFrame, q_blocks: Column, v_blocks: Column, packs: int, k: int, schema: T.StructType) -> DataFrame:
     """Best k per query inside equal ``_bucket`` values.
 
     Both sides of a bucket are cut into blocks of bounded size by a hash of the id, and every query
-    block meets every vector block of its bucket in a group of its own. A bucket that holds a third
-    of all rows thus becomes many groups, not one.
+    block meets every vector block of its bucket. A bucket that holds a third of all rows thus
+    becomes many groups. Buckets of a single block are packed, several to a group.
     """
-    left = q.withColumn("_qb", F.pmod(F.xxhash64("qid"), q_blocks).cast("int")).withColumn(
-        "_vb", F.explode(F.sequence(F.lit(0), (v_blocks - 1).cast("int")))
-    )
-    right = v.withColumn("_vb", F.pmod(F.xxhash64("id"), v_blocks).cast("int")).withColumn(
-        "_qb", F.explode(F.sequence(F.lit(0), (q_blocks - 1).cast("int")))
-    )
-    key = ["_bucket", "_qb", "_vb"]
+    split = (q_blocks > 1) | (v_blocks > 1)
+    pack = F.when(split, -F.col("_bucket") - 1).otherwise(F.pmod(F.xxhash64("_bucket"), F.lit(packs)))
 
-    def block(qs: pd.DataFrame, vs: pd.DataFrame) -> pd.DataFrame:
-        if qs.empty or vs.empty:
-            return pd.DataFrame({"qid": qs.qid[:0], "id": vs.id[:0], "vector_sim": np.empty(0)})
-        return _pairs(qs.qid.to_numpy(), _unit(qs.qv), vs.id.to_numpy(), _unit(vs.v), k)
+    def places(n: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0), (n - 1).cast("int")))
+
+    def place(id_col: str, n: Column) -> Column:
+        return F.pmod(F.xxhash64(id_col), n).cast("int")
 
-    grouped = left.select(*key, "qid", "qv").groupBy(*key).cogroup(right.select(*key, "id", "v").groupBy(*key))
+    left = q.withColumn("_pack", pack).withColumn("_qb", place("qid", q_blocks)).withColumn("_vb", places(v_blocks))
+    right = v.withColumn("_pack", pack).withColumn("_vb", place("id", v_blocks)).withColumn("_qb", places(q_blocks))
+    key = ["_pack", "_qb", "_vb"]
+
+    def block(qs: pd.DataFrame, vs: pd.DataFrame) -> pd.DataFrame:
+        parts = [pd.DataFrame({"qid": qs.qid[:0], "id": vs.id[:0], "vector_sim": np.empty(0)})]
+        if not qs.empty and not vs.empty:
+            qx, vx = _unit(qs.qv), _unit(vs.v)
+            qids, ids = qs.qid.to_numpy(), vs.id.to_numpy()
+            members = vs.groupby("_bucket").indices
+            for bucket, rows in qs.groupby("_bucket").indices.items():
+                if bucket in members:
+                    cols = members[bucket]
+                    parts.append(_pairs(qids[rows], qx[rows], ids[cols], vx[cols], k))
+        return pd.concat(parts, ignore_index=True)
+
+    grouped = left.select(*key, "_bucket", "qid", "qv").groupBy(*key).cogroup(
+        right.select(*key, "_bucket", "id", "v").groupBy(*key)
+    )
     return grouped.applyInPandas(block, schema)
 
 
@@ -187,12 +201,17 @@ def knn_approx(
     left = signatures(_queries(q), "qv", dim, bands, bits, seed)
     right = signatures(searchable(m, dim), "v", dim, bands, bits, seed)
     schema = _pair_schema(left, right)
-    nq = left.groupBy("_bucket").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).alias("_nq"))
-    nv = right.groupBy("_bucket").agg(F.ceil(F.count(F.lit(1)) / VECTOR_BLOCK).alias("_nv"))
+    nq = left.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cq"))
+    nv = right.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cv"))
     sizes = stage(nq.join(nv, "_bucket"))
-    side = F.broadcast(sizes.df) if sizes.small else sizes.df
+    total = sizes.df.agg(F.coalesce(F.sum(F.greatest("_cq", "_cv")), F.lit(0))).first()[0]
+    counts = sizes.df.select(
+        "_bucket", F.ceil(F.col("_cq") / QUERY_BLOCK).alias("_nq"), F.ceil(F.col("_cv") / VECTOR_BLOCK).alias("_nv")
+    )
+    side = F.broadcast(counts) if sizes.small else counts
+    packs = -(-total // QUERY_BLOCK) or 1
     pairs = _block_topk(
-        left.join(side, "_bucket"), right.join(side, "_bucket"), F.col("_nq"), F.col("_nv"), k, schema
+        left.join(side, "_bucket"), right.join(side, "_bucket"), F.col("_nq"), F.col("_nv"), packs, k, schema
     )
     best = pairs.groupBy("qid", "id").agg(F.max("vector_sim").alias("vector_sim"))
     return top_per_query(best, _order(), k)

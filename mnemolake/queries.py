@@ -313,8 +313,8 @@ def vector_checks(spark, sf):
 
 # --- counts and reports ------------------------------------------------------------------------
 
-_REAL = f"vector_{DIM} IS NOT NULL AND list_dot_product(vector_{DIM}, vector_{DIM}) > 0"
-_REAL_SMALL = f"vector_{SMALL} IS NOT NULL AND list_dot_product(vector_{SMALL}, vector_{SMALL}) > 0"
+_REAL = f"vector_{DIM} IS NOT NULL AND list_dot_product(vector_{DIM}::DOUBLE[], vector_{DIM}::DOUBLE[]) > 0"
+_REAL_SMALL = f"vector_{SMALL} IS NOT NULL AND list_dot_product(vector_{SMALL}::DOUBLE[], vector_{SMALL}::DOUBLE[]) > 0"
 
 
 @query(f"WITH {fx.MEMORY_SQL} SELECT count(*) AS n FROM memory WHERE is_active")

@@ -13,6 +13,7 @@ from ..operators.filters import vector_state
 from ..schemas import CATEGORY_SCHEMA, DIMS, MODEL_SCHEMA, SETTING_SCHEMA, memory_schema, vector_dims
 
 _VERSION = "version="
+WIDEN_BYTES = 512 * 1024 * 1024
 
 
 def state_columns(m: DataFrame) -> list[str]:
@@ -55,6 +56,22 @@ def read_setting(settings: DataFrame, key: str) -> DataFrame:
     return settings.where(F.col("key") == key).select("value")
 
 
+def widen(df: DataFrame) -> DataFrame:
+    """Spread a small table that comes in fewer files than there are cores.
+
+    A file of one row group is one task, whatever is computed from it. Tables with enough files, or
+    too large to be moved for free, pass unchanged.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    if not files or len(files) >= cores:
+        return df
+    conf, path = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path
+    sizes = [path(f).getFileSystem(conf).getFileStatus(path(f)).getLen() for f in files]
+    return df.repartition(cores) if sum(sizes) <= WIDEN_BYTES else df
+
+
 def append_memories(m: DataFrame, new: DataFrame) -> DataFrame:
     """The table with the new rows; columns the new rows lack are NULL."""
     return m.unionByName(new, allowMissingColumns=True)
@@ -112,7 +129,8 @@ def to_json_responses(q: DataFrame, results: DataFrame, order: str, by: str = "q
 
     Results per query are bounded by the search's own limit, so the lists stay short.
     """
-    docs = F.array_sort(F.collect_list(F.struct(F.col(order).alias("_o"), _document(results, (by, order)).alias("d"))))
+    entry = F.struct(F.col(order).alias("_o"), _document(results, (by, order)).alias("d"))
+    docs = F.array_sort(F.collect_list(entry), lambda a, b: a["_o"] - b["_o"])
     grouped = results.groupBy(by).agg(docs.alias("_docs"))
     body = F.when(
         F.col("_docs").isNull(), F.lit('{"results":[],"message":"No matching memories found."}')

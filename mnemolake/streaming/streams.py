@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.embedders import EmbedSpec
@@ -23,6 +24,8 @@ def _start(stream: DataFrame, write, checkpoint: str, available_now: bool, **tri
 
 def dedup_events(events: DataFrame, key: str = "event_id", delay: str = "1 hour", time: str = "ts") -> DataFrame:
     """Drop repeated events that arrive within ``delay``; state older than the watermark is freed."""
+    if isinstance(events.schema[time].dataType, T.TimestampNTZType):
+        events = events.withColumn(time, F.col(time).cast("timestamp"))
     return events.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 
