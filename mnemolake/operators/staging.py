@@ -53,17 +53,18 @@ class Staged:
     df: DataFrame
     rows: int
     bytes: int
+    seen: dict
 
     @property
     def small(self) -> bool:
         return self.bytes <= BROADCAST_BYTES
 
 
-def stage(df: DataFrame) -> Staged:
+def stage(df: DataFrame, **metrics: Column) -> Staged:
     """Write once to the shared folder and read back.
 
     Cuts the lineage, survives lost executors, and measures the table in the same pass, so that
-    later broadcasts rest on its real size.
+    later broadcasts rest on its real size. Further aggregates to take in that pass go in ``metrics``.
     """
     spark = df.sparkSession
     path = f"{staging_dir(spark)}/mnemolake/{uuid.uuid4().hex}"
@@ -72,9 +73,11 @@ def stage(df: DataFrame) -> Staged:
         seen,
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(row_bytes(df.schema)), F.lit(0)).alias("bytes"),
+        *[c.alias(name) for name, c in metrics.items()],
     )
     measured.write.parquet(path)
-    return Staged(spark.read.schema(df.schema).parquet(path), seen.get["rows"], seen.get["bytes"])
+    found = seen.get
+    return Staged(spark.read.schema(df.schema).parquet(path), found["rows"], found["bytes"], found)
 
 
 def heavy_keys(df: DataFrame, key: str, share: float = HEAVY_SHARE, min_rows: int = HEAVY_MIN_ROWS) -> DataFrame:

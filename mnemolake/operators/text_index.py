@@ -124,12 +124,14 @@ def match_terms(
     queries: DataFrame | None = None,
     accept: Column | None = None,
     by: str = "qid",
+    queries_fit: bool = False,
 ) -> DataFrame:
     """Memories that hold every lexeme of a query: ``(qid, id, lists)``, one position list per lexeme.
 
     Candidates come from each query's rarest lexeme only. They meet the other lexemes by memory id,
     a key without hot values, so a word found in a third of all texts never drives the match.
-    ``allowed`` holds the searchable ids with the columns that ``accept`` compares with ``queries``.
+    ``allowed`` holds the searchable ids with the columns that ``accept`` compares with ``queries``,
+    whose size is measured here unless ``queries_fit`` says that it is known to be small.
     """
     counted = terms.df.join(document_frequency(relevant.df), "lexeme", "left")
     drivers = counted.groupBy(by, "n_terms").agg(
@@ -141,7 +143,10 @@ def match_terms(
     if queries is not None:
         drivers = drivers.join(queries, by)
     candidates = balanced_join(
-        relevant.df.select("lexeme", "id"), drivers, "lexeme", right_small=terms.small and queries_small(queries)
+        relevant.df.select("lexeme", "id"),
+        drivers,
+        "lexeme",
+        right_small=terms.small and (queries_fit or queries_small(queries)),
     ).drop("lexeme")
     entries = F.map_from_entries(F.collect_list(F.struct("lexeme", "positions")))
     texts = relevant.df.groupBy("id").agg(entries.alias("_lexemes"))

@@ -39,6 +39,10 @@ class Batch:
     queries: Staged
     terms: Staged
 
+    @property
+    def largest_k(self) -> int:
+        return self.queries.seen["largest_k"]
+
 
 def prepare_queries(
     q: DataFrame,
@@ -71,7 +75,8 @@ def prepare_queries(
     elif "query_vector" not in rows.columns:
         rows = rows.withColumn("query_vector", F.lit(None).cast("array<float>"))
     queries = stage(
-        rows.select("qid", "query_text", "query_vector", "target", "want_category", "top_k", "text_weight")
+        rows.select("qid", "query_text", "query_vector", "target", "want_category", "top_k", "text_weight"),
+        largest_k=F.coalesce(F.max("top_k"), F.lit(0)),
     )
     return Batch(queries, stage(analyze_queries(queries.df, config)))
 
@@ -87,7 +92,7 @@ def _candidates(batch: Batch, m: DataFrame, postings: DataFrame, dim: int, skip_
         F.col("want_category").isNull() | (F.col("want_category") == F.col("category_id"))
     )
     relevant = relevant_postings(batch.terms, postings)
-    matched = match_terms(batch.terms, relevant, allowed, options, accept)
+    matched = match_terms(batch.terms, relevant, allowed, options, accept, queries_fit=batch.queries.small)
     return matched.select("qid", "id", "top_k", ts_rank(F.col("lists")).alias("text_rank"))
 
 
@@ -107,17 +112,13 @@ def text_search(
     hits = _candidates(batch, m, postings, dim, skip_zero)
     if n is None:
         window = F.greatest(F.col("top_k") * WINDOW_FACTOR, F.lit(WINDOW_MIN))
-        widest = max(_largest_k(batch) * WINDOW_FACTOR, WINDOW_MIN)
+        widest = max(batch.largest_k * WINDOW_FACTOR, WINDOW_MIN)
         hits = top_per_query(hits, _by_score("text_rank"), window, bound=widest)
     else:
         hits = top_per_query(hits, _by_score("text_rank"), n)
     return hits.select("qid", "id", "text_rank")
 
 
-def _largest_k(batch: Batch) -> int:
-    return batch.queries.df.agg(F.coalesce(F.max("top_k"), F.lit(0))).first()[0]
-
-
 def hybrid_search(
     q: DataFrame | Batch,
     m: DataFrame,
@@ -140,7 +141,7 @@ def hybrid_search(
     scored = attach_vectors(candidates, m, dim).join(per_query, "qid")
     scored = scored.withColumn("vector_sim", cosine(F.col("vector"), F.col("query_vector"))).drop("vector", "query_vector")
     scored = scored.withColumn("rank", blend(F.col("text_rank"), F.col("vector_sim"), F.col("text_weight")))
-    best = top_per_query(scored, _by_score("rank"), F.col("top_k"), bound=max(_largest_k(batch), 0), position="position")
+    best = top_per_query(scored, _by_score("rank"), F.col("top_k"), bound=batch.largest_k, position="position")
     best = best.select("qid", "id", "position", "text_rank", "vector_sim", "rank")
     wanted = RESULT_FIELDS if fields is None else fields
     if not wanted:
