@@ -21,7 +21,8 @@ def cosine_from(product: Column, norm_a: Column, norm_b: Column) -> Column:
     """Cosine similarity from a dot product and two norms; NaN when a norm is zero."""
     scale = norm_a * norm_b
     bounded = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), product / F.nullif(scale, F.lit(0.0))))
-    return F.when(scale == 0, F.lit(float("nan"))).otherwise(bounded)
+    # greatest and least pass over NULL, so a missing vector needs its own branch.
+    return F.when(scale == 0, F.lit(float("nan"))).when(product.isNotNull() & scale.isNotNull(), bounded)
 
 
 def cosine(a: Column, b: Column) -> Column:
