@@ -53,19 +53,27 @@ def _table(entries: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for pair in entries.items() for x in pair])
 
 
-def stem(words: DataFrame, token: str, out: str) -> DataFrame:
-    """Add column ``out`` with the stem of the lower-case word in column ``token``."""
+def stem(words: DataFrame, token: str, out: str, known: str | None = None) -> DataFrame:
+    """Add column ``out`` with the stem of the lower-case word in column ``token``.
+
+    Where column ``known`` holds a stem already, it is taken and no step is computed.
+    """
     w, r1, r2, s = F.col("_w"), F.col("_r1"), F.col("_r2"), F.col("_s")
     open_ = ~F.col("_done")
+    given = F.col(known) if known else F.lit(None).cast("string")
 
     def step(df: DataFrame, when: Column, then: Column) -> DataFrame:
         return df.withColumn("_w", F.when(open_ & when, then).otherwise(w))
 
-    df = words.withColumn("_done", (F.length(token) <= 2) | F.col(token).isin(list(IRREGULAR)))
+    def suffix_of(df: DataFrame, endings) -> DataFrame:
+        return df.withColumn("_s", F.when(open_, _suffix(w, endings)))
+
+    df = words.withColumn("_done", given.isNotNull() | (F.length(token) <= 2) | F.col(token).isin(list(IRREGULAR)))
     marked = F.regexp_replace(F.regexp_replace(F.col(token), "^y", "Y"), "([aeiouy])y", "$1Y")
-    df = df.withColumn("_w", F.when(open_, marked).otherwise(F.coalesce(_table(IRREGULAR)[F.col(token)], token)))
-    df = df.withColumn("_r1", _region(w, REGION_PREFIXES + "|" + REGION))
-    df = df.withColumn("_r2", r1 + _region(F.substring(w, r1 + 1, F.length(w)), REGION))
+    fixed = F.coalesce(given, _table(IRREGULAR)[F.col(token)], F.col(token))
+    df = df.withColumn("_w", F.when(open_, marked).otherwise(fixed))
+    df = df.withColumn("_r1", F.when(open_, _region(w, REGION_PREFIXES + "|" + REGION)))
+    df = df.withColumn("_r2", F.when(open_, r1 + _region(F.substring(w, r1 + 1, F.length(w)), REGION)))
 
     plural = (
         F.when(w.endswith("sses"), _cut(w, 2))
@@ -77,7 +85,7 @@ def stem(words: DataFrame, token: str, out: str) -> DataFrame:
     df = step(df, F.lit(True), plural)
     df = df.withColumn("_done", F.col("_done") | w.isin(DONE_AFTER_PLURAL))
 
-    df = df.withColumn("_s", _suffix(w, ["eedly", "eed", "edly", "ed", "ingly", "ing"]))
+    df = suffix_of(df, ["eedly", "eed", "edly", "ed", "ingly", "ing"])
     past = s.isin("edly", "ed", "ingly", "ing") & _cut(w, F.length(s)).rlike("[aeiouy]")
     df = df.withColumn("_past", open_ & past)
     agreed = s.isin("eedly", "eed") & (F.length(w) - F.length(s) >= r1)
@@ -93,7 +101,7 @@ def stem(words: DataFrame, token: str, out: str) -> DataFrame:
 
     df = step(df, w.rlike("^.+[^aeiouy][yY]$"), F.concat(_cut(w, 1), F.lit("i")))
 
-    df = df.withColumn("_s", _suffix(w, DERIVED))
+    df = suffix_of(df, DERIVED)
     before = _cut(w, F.length(s))
     allowed = (
         F.when(s == "ogi", before.endswith("l"))
@@ -102,11 +110,11 @@ def stem(words: DataFrame, token: str, out: str) -> DataFrame:
     )
     df = step(df, allowed & (F.length(before) >= r1), F.concat(before, _table(DERIVED)[s]))
 
-    df = df.withColumn("_s", _suffix(w, ADJECTIVAL))
+    df = suffix_of(df, ADJECTIVAL)
     start = F.when(s == "ative", F.greatest(r1, r2)).otherwise(r1)
     df = step(df, (s != "") & (F.length(before) >= start), F.concat(before, _table(ADJECTIVAL)[s]))
 
-    df = df.withColumn("_s", _suffix(w, DROPPED))
+    df = suffix_of(df, DROPPED)
     allowed = F.when(s == "ion", before.rlike("[st]$")).otherwise(s != "")
     df = step(df, allowed & (F.length(before) >= r2), before)
 
@@ -116,4 +124,5 @@ def stem(words: DataFrame, token: str, out: str) -> DataFrame:
     )
     final_l = w.endswith("ll") & (F.length(stem_end) >= r2)
     df = step(df, final_e | final_l, stem_end)
-    return df.withColumn(out, F.translate(w, "Y", "y")).drop("_w", "_r1", "_r2", "_s", "_past", "_done")
+    result = F.when(open_, F.translate(w, "Y", "y")).otherwise(w)
+    return df.withColumn(out, result).drop("_w", "_r1", "_r2", "_s", "_past", "_done")

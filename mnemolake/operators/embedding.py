@@ -13,7 +13,7 @@ from ..functions.embedders import EmbeddingError, EmbedSpec, Factory, embedder_f
 from ..functions.scalars import cache_key, is_blank, json_int
 from ..functions.vectors import check_width, zero_vector
 from ..schemas import CACHE_SCHEMA, DIMS, FALLBACK_DIM
-from .staging import Staged, balanced_join, stage
+from .staging import Staged, balanced_join, counted_heavy_keys, missing, stage
 
 # Status of an embedded row.
 BLANK, HIT, OK, FALLBACK = "blank", "hit", "ok", "zero_fallback"
@@ -21,6 +21,7 @@ BLANK, HIT, OK, FALLBACK = "blank", "hit", "ok", "zero_fallback"
 _VECTORS = T.StructType(
     [
         T.StructField("key", T.StringType()),
+        T.StructField("n", T.LongType()),
         T.StructField("vector", T.ArrayType(T.FloatType())),
         T.StructField("status", T.StringType()),
         T.StructField("error", T.StringType()),
@@ -34,11 +35,6 @@ def cache_lookup(reqs: DataFrame, cache: DataFrame, dim: int) -> DataFrame:
     return reqs.join(valid, "key", "left")
 
 
-def missing(rows: DataFrame, existing: DataFrame, key: str) -> DataFrame:
-    """Rows whose key does not exist yet."""
-    return rows.join(existing.select(key), key, "left_anti")
-
-
 def cache_append(cache: DataFrame | None, fresh: DataFrame) -> DataFrame:
     """The cache with new entries; existing keys keep their entry."""
     return fresh if cache is None else cache.unionByName(missing(fresh, cache, "key"))
@@ -85,6 +81,7 @@ def _embed_batches(factory: Factory, spec: EmbedSpec):
                 rows = [one(embed, t) for t in texts]
             out = pd.DataFrame(rows, columns=["vector", "status", "error"])
             out.insert(0, "key", batch["key"].to_numpy())
+            out.insert(1, "n", batch["n"].to_numpy())
             yield out
 
     return run
@@ -96,23 +93,29 @@ def embed_texts(texts: DataFrame, spec: EmbedSpec, cache: DataFrame | None = Non
     Known keys come from the cache; only the rest reaches the embedder, in Arrow batches. The result
     is staged because a call may be slow, costly or not repeatable.
     """
+    text = F.col(col)
     reqs = (
-        texts.where(~is_blank(F.col(col)))
-        .select(cache_key(spec.dim, spec.provider, spec.model, F.col(col)).alias("key"), F.col(col).alias("text"))
-        .distinct()
+        texts.where(~is_blank(text))
+        .select(cache_key(spec.dim, spec.provider, spec.model, text).alias("key"), text.alias("text"))
+        .groupBy("key", "text")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
+    total = F.coalesce(F.sum("n"), F.lit(0))
     hits = None
     if cache is not None:
-        looked_up = cache_lookup(reqs, cache, spec.dim)
-        hits = looked_up.where("vector is not null").select(
-            "key", F.col("vector").cast("array<float>").alias("vector"), F.lit(HIT).alias("status"),
+        wanted = stage(reqs)
+        side = F.broadcast(wanted.df) if wanted.small else wanted.df
+        valid = cache.where(check_width(F.col("vector"), spec.dim)).select("key", "vector")
+        found = valid.join(side.select("key", "n"), "key").dropDuplicates(["key"])
+        hits = found.select(
+            "key", "n", F.col("vector").cast("array<float>").alias("vector"), F.lit(HIT).alias("status"),
             F.lit(None).cast("string").alias("error"),
         )
-        reqs = looked_up.where("vector is null").select("key", "text")
+        reqs = missing(wanted.df, valid, "key")
     if spec.parallelism:
         reqs = reqs.repartition(spec.parallelism, "key")
     fresh = reqs.mapInPandas(_embed_batches(embedder_factory(spec.provider), spec), _VECTORS)
-    return stage(fresh if hits is None else hits.unionByName(fresh))
+    return stage(fresh if hits is None else hits.unionByName(fresh), total=total)
 
 
 def cache_entries(vectors: DataFrame, spec: EmbedSpec, ts: Column) -> DataFrame:
@@ -130,7 +133,9 @@ def attach_embedding(df: DataFrame, text_col: str, spec: EmbedSpec, vectors: Sta
     """
     text = F.col(text_col)
     key = F.when(~is_blank(text), cache_key(spec.dim, spec.provider, spec.model, text))
-    joined = balanced_join(df.withColumn("key", key), vectors.df, "key", "left", right_small=vectors.small)
+    heavy = counted_heavy_keys(vectors.df, "key", "n", vectors.seen["total"])
+    found = vectors.df.drop("n")
+    joined = balanced_join(df.withColumn("key", key), found, "key", "left", right_small=vectors.small, heavy=heavy)
     blank = F.col("key").isNull()
     return joined.withColumns(
         {

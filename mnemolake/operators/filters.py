@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import is_blank, strip
 from ..functions.vectors import is_zero
 from ..schemas import MAX_TARGET_CHARS
+from .staging import stage
 
 MISSING, ZERO, REAL = 0, 1, 2
 
@@ -94,5 +95,7 @@ def validate_rows(new: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def existing(m: DataFrame, ids: DataFrame) -> DataFrame:
-    """The given ids that exist in the table."""
-    return ids.join(m.select("id"), "id", "left_semi")
+    """The given ids that exist in the table, each once; a small batch is looked up without a shuffle."""
+    wanted = stage(ids.select("id").distinct())
+    side = F.broadcast(wanted.df) if wanted.small else wanted.df
+    return m.select("id").join(side, "id", "left_semi")

@@ -17,8 +17,13 @@ from pyspark.sql import types as T
 from .filters import active, vector_state
 from .staging import BROADCAST_BYTES, Staged, stage, top_per_query
 
-QUERY_BLOCK = 1024
-VECTOR_BLOCK = 8192
+# Rows of one group: what a task holds in memory at a time.
+QUERY_BLOCK = 16384
+VECTOR_BLOCK = 16384
+# Rows and columns of one score matrix.
+SCORE_ROWS, SCORE_COLUMNS = 1024, 8192
+INDEX_PARTS = 256
+BUCKET_ROWS = 4096
 SCORE_DIGITS = 9
 
 
@@ -44,9 +49,17 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.n
 
 
 def _pairs(qids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, k: int) -> pd.DataFrame:
-    scores = np.clip(q @ v.T, -1.0, 1.0)
-    rows, cols = _best(scores, ids, k)
-    return pd.DataFrame({"qid": qids[rows], "id": ids[cols], "vector_sim": scores[rows, cols]})
+    """Best k per query of one block pair; the scores are computed piece by piece."""
+    done = []
+    for at in range(0, len(q), SCORE_ROWS):
+        names, part = qids[at : at + SCORE_ROWS], []
+        for start in range(0, len(v), SCORE_COLUMNS):
+            columns = ids[start : start + SCORE_COLUMNS]
+            scores = np.clip(q[at : at + SCORE_ROWS] @ v[start : start + SCORE_COLUMNS].T, -1.0, 1.0)
+            rows, cols = _best(scores, columns, k)
+            part.append(pd.DataFrame({"qid": names[rows], "id": columns[cols], "vector_sim": scores[rows, cols]}))
+        done.append(_trim(pd.concat(part), k) if len(part) > 1 else part[0])
+    return pd.concat(done)
 
 
 def _trim(pairs: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -115,10 +128,8 @@ def _scan_topk(queries: Staged, vectors: DataFrame, k: int, schema: T.StructType
             if batch.empty:
                 continue
             ids, v = batch.id.to_numpy(), _unit(batch.v)
-            parts = [best] if best is not None else []
-            for at in range(0, len(qids), QUERY_BLOCK):
-                parts.append(_pairs(qids[at : at + QUERY_BLOCK], matrix[at : at + QUERY_BLOCK], ids, v, k))
-            best = _trim(pd.concat(parts), k)
+            found = _pairs(qids, matrix, ids, v, k)
+            best = found if best is None else _trim(pd.concat([best, found]), k)
         if best is not None:
             yield best
 
@@ -188,31 +199,77 @@ def signatures(df: DataFrame, vector: str, dim: int, bands: int, bits: int, seed
     return df.withColumn("_bucket", F.explode(F.array_distinct(sign_bits(F.col(vector)))))
 
 
+def signature_index(m: DataFrame, dim: int, bands: int = 16, bits: int | None = None, seed: int = 7) -> DataFrame:
+    """Signature buckets of all searchable vectors: ``(_bucket, part, id, v)``.
+
+    Without ``bits`` the number of buckets per band follows the number of vectors, a few thousand
+    rows to a bucket. ``part`` is the directory that ``write_index`` puts a bucket in.
+    """
+    vectors = searchable(m, dim)
+    if bits is None:
+        bits = default_bits(vectors.count())
+    if not 1 <= bits <= 40 or bands < 1:
+        raise ValueError("bands must be positive and bits within 1..40")
+    index = signatures(vectors, "v", dim, bands, bits, seed)
+    return index.select("_bucket", _part(F.col("_bucket")).alias("part"), "id", "v")
+
+
+def default_bits(vectors: int) -> int:
+    return max(1, min(40, round(np.log2(max(vectors, 1) / BUCKET_ROWS)) if vectors > BUCKET_ROWS else 1))
+
+
+def _part(bucket: Column) -> Column:
+    return F.pmod(F.xxhash64(bucket), F.lit(INDEX_PARTS)).cast("int")
+
+
+def write_index(index: DataFrame, path: str) -> None:
+    """Persist an index, sorted by bucket; the hint lets AQE split a directory that grows too large."""
+    placed = index.hint("rebalance", "part").sortWithinPartitions("part", "_bucket")
+    placed.write.partitionBy("part").parquet(path)
+
+
 def knn_approx(
-    q: DataFrame, m: DataFrame, dim: int, k: int, bands: int = 16, bits: int = 8, seed: int = 7
+    q: DataFrame,
+    m: DataFrame,
+    dim: int,
+    k: int,
+    bands: int = 16,
+    bits: int | None = None,
+    seed: int = 7,
+    index: DataFrame | None = None,
 ) -> DataFrame:
     """Approximate neighbours: memories that share a signature band, re-ranked by exact cosine.
 
     Scores are exact; a neighbour that shares no band is missed. More bands raise recall, more bits
-    shrink buckets. Bucket sizes are counted first, so that an overfull bucket is split into blocks.
+    shrink buckets. ``index`` is a stored ``signature_index`` made with the same bands, bits and
+    seed: then only the directories and buckets that the queries fall into are read. Bucket sizes
+    are counted before any vector moves, so that an overfull bucket is split into blocks.
     """
-    if not 1 <= bits <= 40 or bands < 1:
-        raise ValueError("bands must be positive and bits within 1..40")
+    if index is None:
+        if bits is None:
+            bits = default_bits(searchable(m, dim).count())
+        index = signature_index(m, dim, bands, bits, seed)
+    elif bits is None:
+        raise ValueError("a stored index needs the bits it was made with")
     left = signatures(_queries(q), "qv", dim, bands, bits, seed)
-    right = signatures(searchable(m, dim), "v", dim, bands, bits, seed)
-    schema = _pair_schema(left, right)
-    nq = left.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cq"))
-    nv = right.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cv"))
-    sizes = stage(nq.join(nv, "_bucket"))
-    total = sizes.df.agg(F.coalesce(F.sum(F.greatest("_cq", "_cv")), F.lit(0))).first()[0]
-    counts = sizes.df.select(
-        "_bucket", F.ceil(F.col("_cq") / QUERY_BLOCK).alias("_nq"), F.ceil(F.col("_cv") / VECTOR_BLOCK).alias("_nv")
+    schema = _pair_schema(left, index)
+    asked = stage(left.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cq")))
+    near = asked.df.withColumn("part", _part(F.col("_bucket")))
+    near = F.broadcast(near) if asked.small else near
+    counted = index.select("_bucket", "part").join(near, ["part", "_bucket"]).groupBy("_bucket", "part", "_cq")
+    sizes = stage(
+        counted.agg(F.count(F.lit(1)).alias("_cv")), total=F.coalesce(F.sum(F.greatest("_cq", "_cv")), F.lit(0))
     )
+    counts = sizes.df.select(
+        "_bucket", "part",
+        F.ceil(F.col("_cq") / QUERY_BLOCK).alias("_nq"), F.ceil(F.col("_cv") / VECTOR_BLOCK).alias("_nv"),
+    )
     side = F.broadcast(counts) if sizes.small else counts
-    packs = -(-total // QUERY_BLOCK) or 1
+    packs = -(-sizes.seen["total"] // BUCKET_ROWS) or 1
     pairs = _block_topk(
-        left.join(side, "_bucket"), right.join(side, "_bucket"), F.col("_nq"), F.col("_nv"), packs, k, schema
-    )
+        left.join(side.drop("part"), "_bucket"), index.join(side, ["part", "_bucket"]).drop("part"),
+        F.col("_nq"), F.col("_nv"), packs, k, schema,
+    )
     best = pairs.groupBy("qid", "id").agg(F.max("vector_sim").alias("vector_sim"))
     return top_per_query(best, _order(), k)
 

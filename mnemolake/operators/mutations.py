@@ -21,10 +21,10 @@ from ..functions.scalars import (
 )
 from ..schemas import MODEL_SEED, vector_column, vector_dims
 from ..sources.tables import append_memories, state_columns
-from .embedding import FALLBACK, attach_embedding, cache_entries, embed_column, embed_texts, missing
+from .embedding import FALLBACK, attach_embedding, cache_entries, embed_column, embed_texts
 from .filters import REAL, existing, vector_state
 from .joins import resolve_category, upsert
-from .staging import Staged, stage
+from .staging import Staged, missing, stage
 
 
 def latest_per_key(mutations: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -52,7 +52,7 @@ def apply_by_id(m: DataFrame, changes: Staged) -> DataFrame:
 
 def applied(m: DataFrame, ids: DataFrame) -> DataFrame:
     """Whether each id exists, that is, whether a mutation of it takes effect."""
-    hits = existing(m, ids.distinct()).withColumn("applied", F.lit(True))
+    hits = existing(m, ids.select("id").distinct()).withColumn("applied", F.lit(True))
     return ids.join(hits, "id", "left").withColumn("applied", F.coalesce("applied", F.lit(False)))
 
 

@@ -60,6 +60,21 @@ class Staged:
         return self.bytes <= BROADCAST_BYTES
 
 
+def _own_dir(spark: SparkSession) -> str:
+    return f"{staging_dir(spark)}/mnemolake/{spark.sparkContext.applicationId}"
+
+
+def scratch_path(spark: SparkSession) -> str:
+    """A new path in this application's part of the shared folder."""
+    return f"{_own_dir(spark)}/{uuid.uuid4().hex}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Remove this application's staged tables; results that still read them must be saved before."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, **metrics: Column) -> Staged:
     """Write once to the shared folder and read back.
 
@@ -67,7 +82,7 @@ def stage(df: DataFrame, **metrics: Column) -> Staged:
     later broadcasts rest on its real size. Further aggregates to take in that pass go in ``metrics``.
     """
     spark = df.sparkSession
-    path = f"{staging_dir(spark)}/mnemolake/{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     seen = Observation()
     measured = df.observe(
         seen,
@@ -80,6 +95,11 @@ def stage(df: DataFrame, **metrics: Column) -> Staged:
     return Staged(spark.read.schema(df.schema).parquet(path), found["rows"], found["bytes"], found)
 
 
+def counted_heavy_keys(counts: DataFrame, key: str, n: str, total: int, share: float = HEAVY_SHARE) -> DataFrame:
+    """Heavy keys from counts that are known already; fewer than ``1 / share`` rows."""
+    return counts.where(F.col(n) > max(total * share, HEAVY_MIN_ROWS)).select(key)
+
+
 def heavy_keys(df: DataFrame, key: str, share: float = HEAVY_SHARE, min_rows: int = HEAVY_MIN_ROWS) -> DataFrame:
     """Keys that hold more than ``share`` of all rows; at most ``HEAVY_KEYS`` rows.
 
@@ -103,19 +123,20 @@ def balanced_join(
     key: str,
     how: str = "inner",
     right_small: bool = False,
+    heavy: DataFrame | None = None,
     salts: int = SALTS,
-    share: float = HEAVY_SHARE,
-    min_rows: int = HEAVY_MIN_ROWS,
 ) -> DataFrame:
     """Equi join (inner, left or left_semi) whose left side may have very hot keys.
 
     A right side known to be small is broadcast. Otherwise rows of hot keys are spread over
     ``salts`` reducers and the right rows of those keys, and only those, are repeated per salt.
-    Rows without a key match nothing and are spread as well.
+    Rows without a key match nothing and are spread as well. ``heavy`` lists the hot keys where
+    counts are at hand, a few hundred at most; otherwise a sketch of the left side finds them.
     """
     if right_small:
         return left.join(F.broadcast(right), key, how)
-    hot = F.broadcast(heavy_keys(left, key, share, min_rows).withColumn("_hot", F.lit(True)))
+    heavy = heavy_keys(left, key) if heavy is None else heavy
+    hot = F.broadcast(heavy.withColumn("_hot", F.lit(True)))
     spread = F.pmod(F.xxhash64(*[c for c in left.columns if _hashable(left, c)]), F.lit(salts)).cast("int")
     salt = F.when(F.col("_hot") | F.col(key).isNull(), spread).otherwise(0)
     salted_left = left.join(hot, key, "left").withColumn("_salt", salt).drop("_hot")
@@ -124,6 +145,19 @@ def balanced_join(
     return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt")
 
 
+def missing(rows: DataFrame, existing: DataFrame, key: str) -> DataFrame:
+    """Rows whose key does not exist yet.
+
+    A small batch of keys is looked up in the existing table where it lies; only a large one makes
+    both sides shuffle.
+    """
+    keys = stage(rows.select(key).distinct())
+    if not keys.small:
+        return rows.join(existing.select(key), key, "left_anti")
+    taken = existing.select(key).join(F.broadcast(keys.df), key, "left_semi").distinct()
+    return rows.join(F.broadcast(taken), key, "left_anti")
+
+
 def _hashable(df: DataFrame, name: str) -> bool:
     return not isinstance(df.schema[name].dataType, (T.MapType, T.VariantType))
 

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions.stemmer import stem
 from ..functions.text import CONFIGS, positions, stop_words, tokens, ts_rank
-from .staging import BROADCAST_BYTES, Staged, balanced_join, row_bytes, stage
+from .staging import BROADCAST_BYTES, Staged, balanced_join, counted_heavy_keys, row_bytes, stage
 
 
 POSTING_BUCKETS = 64
+LEXICON_WORDS = 500_000
 
 
 def _check(config: str) -> None:
@@ -28,9 +29,18 @@ def token_rows(df: DataFrame, text_col: str, keep: Sequence[str], config: str =
     return rows if config == "simple" else rows.where(~F.col("token").isin(stop_words()))
 
 
-def build_lexicon(tokens_df: DataFrame) -> DataFrame:
-    """Distinct tokens with their stems: every word is stemmed once, however often it occurs."""
-    return stem(tokens_df.select("token").distinct(), "token", "lexeme")
+def build_lexicon(tokens_df: DataFrame, max_words: int = LEXICON_WORDS) -> Staged:
+    """Stems of frequent tokens: each is stemmed once, however often it occurs.
+
+    Keeps tokens with more than ``1 / max_words`` of all occurrences, so there are at most
+    ``max_words`` of them and the table can be broadcast whatever the corpus. A corpus of fewer
+    tokens than that is covered completely.
+    """
+    counts = stage(
+        tokens_df.groupBy("token").agg(F.count(F.lit(1)).alias("n")), total=F.coalesce(F.sum("n"), F.lit(0))
+    )
+    frequent = counts.df.where(F.col("n") * max_words >= counts.seen["total"])
+    return stage(stem(frequent, "token", "lexeme").select("token", "lexeme"))
 
 
 def analyze(
@@ -42,14 +52,16 @@ def analyze(
 ) -> DataFrame:
     """Lexeme rows ``(*keep, lexeme, pos)`` of every text.
 
-    ``english`` looks stems up in a lexicon. It is staged here unless given, and broadcast only when
-    its measured size allows; otherwise the join spreads frequent words over many reducers.
+    ``english`` takes the stems of frequent words from a lexicon, built here unless given, and
+    computes those of rare words in place. Neither way shuffles the token rows.
     """
     rows = token_rows(df, text_col, keep, config)
     if config == "simple":
         return rows.withColumnRenamed("token", "lexeme")
-    lexicon = lexicon or stage(build_lexicon(rows))
-    return balanced_join(rows, lexicon.df, "token", right_small=lexicon.small).drop("token")
+    lexicon = lexicon or build_lexicon(rows.select("token"))
+    frequent = F.broadcast(lexicon.df.withColumnRenamed("lexeme", "_known"))
+    looked_up = rows.join(frequent, "token", "left")
+    return stem(looked_up, "token", "lexeme", known="_known").select(*keep, "lexeme", "pos")
 
 
 def build_postings(
@@ -69,6 +81,20 @@ def build_postings(
     return grouped.select("id", "lexeme", positions(F.col("_all")).alias("positions"))
 
 
+def update_postings(
+    postings: DataFrame, m: DataFrame, changed: Staged, config: str = "simple", lexicon: Staged | None = None
+) -> DataFrame:
+    """Postings after the memories with the ``changed`` ids were added, edited or removed.
+
+    Only those texts are analysed again; the postings of all others are kept as they are.
+    """
+    ids = changed.df.select("id")
+    side = F.broadcast(ids) if changed.small else ids
+    kept = postings.join(side, "id", "left_anti").select("id", "lexeme", "positions")
+    rows = m.select("id", "content").join(side, "id", "left_semi")
+    return kept.unionByName(build_postings(rows, config, lexicon=lexicon))
+
+
 def document_frequency(postings: DataFrame) -> DataFrame:
     return postings.groupBy("lexeme").agg(F.count(F.lit(1)).alias("df"))
 
@@ -80,7 +106,7 @@ def analyze_queries(q: DataFrame, config: str = "simple", by: str = "qid", text_
     """
     rows = token_rows(q, text_col, (by,), config)
     if config == "english":
-        rows = rows.join(build_lexicon(rows), "token").drop("token")
+        rows = stem(rows, "token", "lexeme").drop("token")
     else:
         rows = rows.withColumnRenamed("token", "lexeme")
     per_query = rows.groupBy(by).agg(F.array_sort(F.collect_set("lexeme")).alias("_terms"))
@@ -108,10 +134,9 @@ def relevant_postings(terms: Staged, postings: DataFrame, buckets: int = POSTING
     prunes directories at run time; ``buckets`` must be the count they were written with.
     """
     vocabulary = terms.df.select("lexeme").distinct()
-    if "bucket" in postings.columns:
+    if "bucket" in postings.columns and terms.small:
         vocabulary = vocabulary.withColumn("bucket", postings_bucket(F.col("lexeme"), buckets))
-        side = F.broadcast(vocabulary) if terms.small else vocabulary
-        hits = postings.join(side, ["bucket", "lexeme"], "left_semi")
+        hits = postings.join(F.broadcast(vocabulary), ["bucket", "lexeme"], "left_semi")
     else:
         hits = balanced_join(postings, vocabulary, "lexeme", "left_semi", right_small=terms.small)
     return stage(hits.select("id", "lexeme", "positions"))
@@ -133,7 +158,8 @@ def match_terms(
     ``allowed`` holds the searchable ids with the columns that ``accept`` compares with ``queries``,
     whose size is measured here unless ``queries_fit`` says that it is known to be small.
     """
-    counted = terms.df.join(document_frequency(relevant.df), "lexeme", "left")
+    frequency = document_frequency(relevant.df)
+    counted = terms.df.join(frequency, "lexeme", "left")
     drivers = counted.groupBy(by, "n_terms").agg(
         F.min_by("lexeme", F.struct(F.coalesce("df", F.lit(0)), "lexeme")).alias("_rarest"),
         F.array_sort(F.collect_list("lexeme")).alias("_terms"),
@@ -147,6 +173,7 @@ def match_terms(
         drivers,
         "lexeme",
         right_small=terms.small and (queries_fit or queries_small(queries)),
+        heavy=counted_heavy_keys(frequency, "lexeme", "df", relevant.rows),
     ).drop("lexeme")
     entries = F.map_from_entries(F.collect_list(F.struct("lexeme", "positions")))
     texts = relevant.df.groupBy("id").agg(entries.alias("_lexemes"))

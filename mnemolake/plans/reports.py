@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import percent
 from ..operators.aggregates import count_by_category, count_by_dim, count_memories, coverage, registered_dims
 from ..operators.embedding import default_dim
+from ..operators.filters import REAL, active, vector_state
 from ..operators.staging import stage
 from ..schemas import CONTEXT_TOP_K, DIMS, FALLBACK_DIM, vector_dims
 from ..sources.tables import with_vector_state
@@ -35,8 +36,6 @@ def status(
 
     The memory table is read once: one aggregation by category carries the counts of every width.
     """
-    from ..operators.filters import REAL, active, vector_state
-
     rows = active(m)
     wide = stage(
         rows.groupBy("category_id").agg(
@@ -96,6 +95,8 @@ def preflight(
              for name in ("memory", "categories", "models", "settings")}
     checks = [(f"table {n}", "ok" if df is not None else "missing", "") for n, df in found.items()]
     m = found["memory"]
+    if m is not None and "is_active" in m.columns:
+        m = m.withColumn("is_active", F.col("is_active").cast("boolean"))
     present = [] if m is None else [d for d in dims if d in vector_dims(m)]
     for d in dims:
         checks.append((f"column vector_{d}", "ok" if d in present else "missing", ""))

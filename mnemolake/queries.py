@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +13,7 @@ from .functions.scalars import cache_key, is_blank, percent
 from .functions.text import TOKEN_PATTERN
 from .functions.vectors import check_width, norm, parse_vector
 from .operators import aggregates, embedding, filters, joins, knn, mutations, text_index
-from .operators.staging import stage, staging_dir
+from .operators.staging import scratch_path, stage
 from .plans import reports, search
 from .schemas import model_seed, settings_seed
 from .sources import tables
@@ -383,7 +382,7 @@ def summary(spark, sf):
 
 @query()
 def preflight(spark, sf):
-    root = f"{staging_dir(spark)}/mnemolake/{uuid.uuid4().hex}"
+    root = scratch_path(spark)
     paths = {"memory": tables.write_snapshot(fx.memory(spark, sf), root, 1)}
     model_seed(spark).write.parquet(f"{root}/models")
     return reports.preflight(spark, {**paths, "models": f"{root}/models"}, fx.FIXTURE_DIMS, DIM)
@@ -416,7 +415,7 @@ def document_frequency(spark, sf):
 @query()
 def lexicon_english(spark, sf):
     rows = text_index.token_rows(fx.memory(spark, sf), "content", ("id",), "english")
-    return text_index.build_lexicon(rows)
+    return text_index.build_lexicon(rows).df
 
 
 @query(f"""WITH t AS (SELECT item_id AS qid, list_distinct(regexp_extract_all(lower(text), '{TOKEN_PATTERN}')) AS w FROM benchmark)
@@ -745,7 +744,7 @@ def _stream(spark, sf, name: str) -> DataFrame:
 
 
 def _out(spark) -> tuple[str, str]:
-    root = f"{staging_dir(spark)}/mnemolake/{uuid.uuid4().hex}"
+    root = scratch_path(spark)
     return f"{root}/out", f"{root}/checkpoint"
 
 

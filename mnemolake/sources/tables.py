@@ -29,11 +29,14 @@ def with_vector_state(m: DataFrame) -> DataFrame:
 def scan_memory(
     spark: SparkSession, path: str, dims: Sequence[int] = DIMS, id_type: T.DataType | None = None
 ) -> DataFrame:
-    """Read a memory snapshot with an explicit schema; unused vector columns are never read."""
+    """Read a memory snapshot with an explicit schema; unused vector columns are never read.
+
+    Snapshots lie in directories by activity, so a search skips the files of deleted rows.
+    """
     schema = memory_schema(dims, id_type)
     for d in dims:
         schema = schema.add(f"state_{d}", T.ByteType())
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def scan_categories(spark: SparkSession, path: str) -> DataFrame:
@@ -79,13 +82,13 @@ def append_memories(m: DataFrame, new: DataFrame) -> DataFrame:
 
 def write_append(new: DataFrame, path: str) -> None:
     """Append rows to a snapshot directory in its stored layout."""
-    with_vector_state(new).write.mode("append").parquet(path)
+    with_vector_state(new).write.mode("append").partitionBy("is_active").parquet(path)
 
 
 def write_snapshot(m: DataFrame, root: str, version: int) -> str:
     """Write a complete state as a new version next to the old ones, which stay readable."""
     path = f"{root.rstrip('/')}/{_VERSION}{version:012d}"
-    with_vector_state(m).write.mode("errorifexists").parquet(path)
+    with_vector_state(m).write.mode("errorifexists").partitionBy("is_active").parquet(path)
     return path
 
 

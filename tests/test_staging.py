@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from mnemolake.operators.staging import balanced_join, heavy_keys, stage, top_per_query
+from mnemolake.operators import staging
+from mnemolake.operators.staging import balanced_join, counted_heavy_keys, drop_staged, heavy_keys, missing, stage, top_per_query
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +25,7 @@ def test_balanced_join_equals_plain_join(sides, how):
     left, right = sides
     key = lambda r: tuple(str(x) for x in r)
     want = sorted((tuple(r) for r in left.join(right, "k", how).collect()), key=key)
-    salted = balanced_join(left, right, "k", how, salts=7, share=0.2, min_rows=1)
+    salted = balanced_join(left, right, "k", how, heavy=heavy_keys(left, "k", 0.2, 1), salts=7)
     assert sorted((tuple(r) for r in salted.collect()), key=key) == want
     small = balanced_join(left, right, "k", how, right_small=True)
     assert sorted((tuple(r) for r in small.collect()), key=key) == want
@@ -35,7 +36,7 @@ def test_hot_key_is_spread(spark, sides):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = balanced_join(left, right, "k", salts=16, share=0.2, min_rows=1)
+        joined = balanced_join(left, right, "k", heavy=heavy_keys(left, "k", 0.2, 1), salts=16)
         tasks = joined.where("k = 'hot'").select(F.spark_partition_id()).distinct().count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -66,3 +67,26 @@ def test_top_per_query_limits_before_the_shuffle(spark):
     df = spark.range(1000).select((F.col("id") % 2).alias("qid"), "id")
     plan = top_per_query(df, [F.desc("id")], 3)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_counted_heavy_keys_are_few(spark, monkeypatch):
+    monkeypatch.setattr(staging, "HEAVY_MIN_ROWS", 1)
+    counts = spark.createDataFrame([("a", 900), ("b", 2), ("c", 98)], "k string, n long")
+    assert sorted(r.k for r in counted_heavy_keys(counts, "k", "n", 1000, 0.05).collect()) == ["a", "c"]
+
+
+def test_missing(spark, monkeypatch):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (3, "d")], "k int, v string")
+    have = spark.createDataFrame([(2,), (2,), (9,)], "k int")
+    want = [(1, "a"), (3, "d")]
+    assert sorted(tuple(r) for r in missing(rows, have, "k").collect()) == want
+    monkeypatch.setattr(staging, "BROADCAST_BYTES", -1)
+    assert sorted(tuple(r) for r in missing(rows, have, "k").collect()) == want
+
+
+def test_drop_staged(spark):
+    staged = stage(spark.range(3))
+    assert staged.df.count() == 3
+    drop_staged(spark)
+    with pytest.raises(Exception):
+        spark.read.parquet(staged.df.inputFiles()[0]).count()

@@ -142,3 +142,18 @@ def test_match_without_broadcast_equals_broadcast(spark, memory, monkeypatch):
     assert not terms.small
     assert sorted(ti.fts_match(terms, postings, memory.select("id")).collect()) == small
     assert all(not math.isnan(r.text_rank) for r in small)
+
+
+def test_rare_words_are_stemmed_without_the_lexicon(memory):
+    rows = ti.token_rows(memory, "content", ("id",), "english")
+    everything = sorted(ti.build_postings(memory, "english").collect())
+    few = ti.build_lexicon(rows, max_words=5)
+    assert 0 < few.rows <= 5
+    assert sorted(ti.build_postings(memory, "english", lexicon=few).collect()) == everything
+
+
+def test_update_postings(spark, memory):
+    before = ti.build_postings(memory)
+    edited = memory.where("id <> 3").withColumn("content", F.when(F.col("id") == 1, "new words").otherwise(F.col("content")))
+    changed = stage(spark.createDataFrame([(1,), (3,)], "id long"))
+    assert sorted(ti.update_postings(before, edited, changed).collect()) == sorted(ti.build_postings(edited).collect())

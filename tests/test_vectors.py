@@ -93,6 +93,29 @@ def test_knn_approx_is_exact_with_one_bit_and_many_bands(points, monkeypatch):
     same(as_dict(knn.knn_approx(q, m, 8, 6, bands=40, bits=1)), want)
 
 
+def test_stored_index_gives_the_same_answer(spark, points, tmp_path):
+    m, q, _ = points
+    path = str(tmp_path / "index")
+    knn.write_index(knn.signature_index(m, 8, 6, 4), path)
+    stored = knn.knn_approx(q, m, 8, 6, 6, 4, index=spark.read.parquet(path))
+    same(as_dict(stored), as_dict(knn.knn_approx(q, m, 8, 6, 6, 4)))
+    with pytest.raises(ValueError):
+        knn.knn_approx(q, m, 8, 6, index=spark.read.parquet(path))
+
+
+def test_bits_follow_the_number_of_vectors(points):
+    m, q, want = points
+    assert [knn.default_bits(n) for n in (0, 100, 4096 * 256, 10**12)] == [1, 1, 8, 28]
+    same(as_dict(knn.knn_approx(q, m, 8, 6, bands=40)), want)
+
+
+def test_score_pieces(points, monkeypatch):
+    m, q, want = points
+    monkeypatch.setattr(knn, "SCORE_ROWS", 7)
+    monkeypatch.setattr(knn, "SCORE_COLUMNS", 11)
+    same(as_dict(knn.knn_exact(q, m, 8, 6)), want)
+
+
 def test_knn_approx_scores_and_recall(points):
     m, q, _ = points
     exact = knn.knn_exact(q, m, 8, 6)
