@@ -1,12 +1,14 @@
-"""English (Porter2) stemming as column expressions over a vocabulary.
+"""English (Porter2) stemming: a small helper that runs in Arrow batches over distinct or rare words.
 
-Every step is one projection of built-in functions, so the whole stemmer runs inside the JVM. It is
-meant for distinct words: see ``operators.text_index.build_lexicon``.
+See ``operators.text_index.build_lexicon`` for how texts get their stems.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+
+import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values of the published algorithm: irregular words, suffix tables and letter classes.
@@ -30,99 +32,99 @@ ADJECTIVAL = {
 }
 DROPPED = ["al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ism",
            "ate", "iti", "ous", "ive", "ize", "ion"]
-REGION = r"^[^aeiouy]*[aeiouy]+[^aeiouy]"
-REGION_PREFIXES = r"^(?:gener|commun|arsen)"
-SHORT_SYLLABLE = r"(?:[^aeiouy][aeiouy][^aeiouywxY]|^[aeiouy][^aeiouy])"
+REGION = re.compile(r"[^aeiouy]*[aeiouy]+[^aeiouy]")
+REGION_PREFIX = re.compile(r"gener|commun|arsen")
+SHORT_END = re.compile(r"(?:[^aeiouy][aeiouy][^aeiouywxY]|^[aeiouy][^aeiouy])$")
+VOWEL = re.compile(r"[aeiouy]")
+PAST = ("eedly", "ingly", "edly", "eed", "ing", "ed")
 
 
-def _suffix(word: Column, endings) -> Column:
+def _ending(word: str, endings) -> str:
     """Longest listed ending of the word, or an empty string."""
-    return F.regexp_extract(word, "(" + "|".join(endings) + ")$", 1)
-
-
-def _cut(word: Column, n: Column | int) -> Column:
-    return F.substring(word, F.lit(1), F.length(word) - n)
-
-
-def _region(word: Column, pattern: str) -> Column:
-    found = F.length(F.regexp_extract(word, pattern, 0))
-    return F.when(found > 0, found).otherwise(F.length(word))
-
-
-def _table(entries: dict[str, str]) -> Column:
-    return F.create_map(*[F.lit(x) for pair in entries.items() for x in pair])
-
-
-def stem(words: DataFrame, token: str, out: str, known: str | None = None) -> DataFrame:
-    """Add column ``out`` with the stem of the lower-case word in column ``token``.
-
-    Where column ``known`` holds a stem already, it is taken and no step is computed.
-    """
-    w, r1, r2, s = F.col("_w"), F.col("_r1"), F.col("_r2"), F.col("_s")
-    open_ = ~F.col("_done")
-    given = F.col(known) if known else F.lit(None).cast("string")
-
-    def step(df: DataFrame, when: Column, then: Column) -> DataFrame:
-        return df.withColumn("_w", F.when(open_ & when, then).otherwise(w))
-
-    def suffix_of(df: DataFrame, endings) -> DataFrame:
-        return df.withColumn("_s", F.when(open_, _suffix(w, endings)))
-
-    df = words.withColumn("_done", given.isNotNull() | (F.length(token) <= 2) | F.col(token).isin(list(IRREGULAR)))
-    marked = F.regexp_replace(F.regexp_replace(F.col(token), "^y", "Y"), "([aeiouy])y", "$1Y")
-    fixed = F.coalesce(given, _table(IRREGULAR)[F.col(token)], F.col(token))
-    df = df.withColumn("_w", F.when(open_, marked).otherwise(fixed))
-    df = df.withColumn("_r1", F.when(open_, _region(w, REGION_PREFIXES + "|" + REGION)))
-    df = df.withColumn("_r2", F.when(open_, r1 + _region(F.substring(w, r1 + 1, F.length(w)), REGION)))
-
-    plural = (
-        F.when(w.endswith("sses"), _cut(w, 2))
-        .when(w.rlike("ie[ds]$"), _cut(w, F.when(F.length(w) > 4, 2).otherwise(1)))
-        .when(w.rlike("[us]s$"), w)
-        .when(w.rlike("[aeiouy].+s$"), _cut(w, 1))
-        .otherwise(w)
-    )
-    df = step(df, F.lit(True), plural)
-    df = df.withColumn("_done", F.col("_done") | w.isin(DONE_AFTER_PLURAL))
-
-    df = suffix_of(df, ["eedly", "eed", "edly", "ed", "ingly", "ing"])
-    past = s.isin("edly", "ed", "ingly", "ing") & _cut(w, F.length(s)).rlike("[aeiouy]")
-    df = df.withColumn("_past", open_ & past)
-    agreed = s.isin("eedly", "eed") & (F.length(w) - F.length(s) >= r1)
-    df = step(df, (s != "") & (agreed | past),
-              F.concat(_cut(w, F.length(s)), F.when(agreed, "ee").otherwise("")))
-    repaired = (
-        F.when(w.rlike("(?:at|bl|iz)$"), F.concat(w, F.lit("e")))
-        .when(w.rlike(r"([bdfgmnprt])\1$"), _cut(w, 1))
-        .when(w.rlike(SHORT_SYLLABLE + "$") & (r1 >= F.length(w)), F.concat(w, F.lit("e")))
-        .otherwise(w)
-    )
-    df = step(df, F.col("_past"), repaired)
-
-    df = step(df, w.rlike("^.+[^aeiouy][yY]$"), F.concat(_cut(w, 1), F.lit("i")))
-
-    df = suffix_of(df, DERIVED)
-    before = _cut(w, F.length(s))
-    allowed = (
-        F.when(s == "ogi", before.endswith("l"))
-        .when(s == "li", before.rlike("[cdeghkmnrt]$"))
-        .otherwise(s != "")
-    )
-    df = step(df, allowed & (F.length(before) >= r1), F.concat(before, _table(DERIVED)[s]))
-
-    df = suffix_of(df, ADJECTIVAL)
-    start = F.when(s == "ative", F.greatest(r1, r2)).otherwise(r1)
-    df = step(df, (s != "") & (F.length(before) >= start), F.concat(before, _table(ADJECTIVAL)[s]))
-
-    df = suffix_of(df, DROPPED)
-    allowed = F.when(s == "ion", before.rlike("[st]$")).otherwise(s != "")
-    df = step(df, allowed & (F.length(before) >= r2), before)
-
-    stem_end = _cut(w, 1)
-    final_e = w.endswith("e") & (
-        (F.length(stem_end) >= r2) | ((F.length(stem_end) >= r1) & ~stem_end.rlike(SHORT_SYLLABLE + "$"))
-    )
-    final_l = w.endswith("ll") & (F.length(stem_end) >= r2)
-    df = step(df, final_e | final_l, stem_end)
-    result = F.when(open_, F.translate(w, "Y", "y")).otherwise(w)
-    return df.withColumn(out, result).drop("_w", "_r1", "_r2", "_s", "_past", "_done")
+    return max((e for e in endings if word.endswith(e)), key=len, default="")
+
+
+def _regions(word: str) -> tuple[int, int]:
+    first = REGION_PREFIX.match(word) or REGION.match(word)
+    r1 = first.end() if first else len(word)
+    second = REGION.match(word, r1)
+    return r1, second.end() if second else len(word)
+
+
+def _plural(w: str) -> str:
+    if w.endswith("sses"):
+        return w[:-2]
+    if w.endswith(("ied", "ies")):
+        return w[:-2] if len(w) > 4 else w[:-1]
+    if w.endswith(("us", "ss")) or not w.endswith("s"):
+        return w
+    return w[:-1] if VOWEL.search(w[:-2]) else w
+
+
+def _past(w: str, r1: int) -> str:
+    end = _ending(w, PAST)
+    base = w[: len(w) - len(end)]
+    if end.startswith("eed"):
+        return base + "ee" if len(base) >= r1 else w
+    if not end or not VOWEL.search(base):
+        return w
+    if base.endswith(("at", "bl", "iz")):
+        return base + "e"
+    if re.search(r"([bdfgmnprt])\1$", base):
+        return base[:-1]
+    return base + "e" if r1 >= len(base) and SHORT_END.search(base) else base
+
+
+def _derived(w: str, r1: int) -> str:
+    end = _ending(w, DERIVED)
+    base = w[: len(w) - len(end)]
+    fits = {"ogi": base.endswith("l"), "li": base[-1:] in "cdeghkmnrt" and base != ""}.get(end, bool(end))
+    return base + DERIVED[end] if fits and len(base) >= r1 else w
+
+
+def _adjectival(w: str, r1: int, r2: int) -> str:
+    end = _ending(w, ADJECTIVAL)
+    base = w[: len(w) - len(end)]
+    return base + ADJECTIVAL[end] if end and len(base) >= (max(r1, r2) if end == "ative" else r1) else w
+
+
+def _dropped(w: str, r2: int) -> str:
+    end = _ending(w, DROPPED)
+    base = w[: len(w) - len(end)]
+    fits = base.endswith(("s", "t")) if end == "ion" else bool(end)
+    return base if fits and len(base) >= r2 else w
+
+
+def _final(w: str, r1: int, r2: int) -> str:
+    base, n = w[:-1], len(w) - 1
+    if w.endswith("e") and (n >= r2 or (n >= r1 and not SHORT_END.search(base))):
+        return base
+    return base if w.endswith("ll") and n >= r2 else w
+
+
+def stem_word(word: str) -> str:
+    """Stem of one lower-case word."""
+    if len(word) <= 2:
+        return word
+    if word in IRREGULAR:
+        return IRREGULAR[word]
+    w = re.sub("([aeiouy])y", r"\1Y", "Y" + word[1:] if word.startswith("y") else word)
+    r1, r2 = _regions(w)
+    w = _plural(w)
+    if w in DONE_AFTER_PLURAL:
+        return w
+    w = _past(w, r1)
+    if len(w) > 2 and w[-1] in "yY" and not VOWEL.match(w[-2]):
+        w = w[:-1] + "i"
+    w = _dropped(_adjectival(_derived(w, r1), r1, r2), r2)
+    return _final(w, r1, r2).replace("Y", "y")
+
+
+def stem(token: Column) -> Column:
+    """Stems of lower-case words, batch by batch."""
+
+    @F.pandas_udf("string")
+    def stems(words: pd.Series) -> pd.Series:
+        return words.map(stem_word, na_action="ignore")
+
+    return stems(token)

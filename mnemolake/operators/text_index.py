@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,8 +30,16 @@ def token_rows(df: DataFrame, text_col: str, keep: Sequence[str], config: str =
     return rows if config == "simple" else rows.where(~F.col("token").isin(stop_words()))
 
 
-def build_lexicon(tokens_df: DataFrame, max_words: int = LEXICON_WORDS) -> Staged:
-    """Stems of frequent tokens: each is stemmed once, however often it occurs.
+@dataclass(frozen=True)
+class Lexicon:
+    """Stems ``(token, lexeme)`` of frequent words; ``complete`` when no word of the corpus is missing."""
+
+    words: Staged
+    complete: bool
+
+
+def build_lexicon(tokens_df: DataFrame, max_words: int = LEXICON_WORDS) -> Lexicon:
+    """Stem frequent tokens once, however often they occur.
 
     Keeps tokens with more than ``1 / max_words`` of all occurrences, so there are at most
     ``max_words`` of them and the table can be broadcast whatever the corpus. A corpus of fewer
@@ -40,7 +49,8 @@ def build_lexicon(tokens_df: DataFrame, max_words: int = LEXICON_WORDS) -> Stage
         tokens_df.groupBy("token").agg(F.count(F.lit(1)).alias("n")), total=F.coalesce(F.sum("n"), F.lit(0))
     )
     frequent = counts.df.where(F.col("n") * max_words >= counts.seen["total"])
-    return stage(stem(frequent, "token", "lexeme").select("token", "lexeme"))
+    words = stage(frequent.select("token", stem(F.col("token")).alias("lexeme")))
+    return Lexicon(words, words.rows == counts.rows)
 
 
 def analyze(
@@ -48,20 +58,24 @@ def analyze(
     text_col: str,
     keep: Sequence[str] = ("id",),
     config: str = "simple",
-    lexicon: Staged | None = None,
+    lexicon: Lexicon | None = None,
 ) -> DataFrame:
     """Lexeme rows ``(*keep, lexeme, pos)`` of every text.
 
     ``english`` takes the stems of frequent words from a lexicon, built here unless given, and
-    computes those of rare words in place. Neither way shuffles the token rows.
+    only rows of rare words pass through the stemmer. Neither way shuffles the token rows.
     """
     rows = token_rows(df, text_col, keep, config)
     if config == "simple":
         return rows.withColumnRenamed("token", "lexeme")
+    complete = lexicon is None
     lexicon = lexicon or build_lexicon(rows.select("token"))
-    frequent = F.broadcast(lexicon.df.withColumnRenamed("lexeme", "_known"))
-    looked_up = rows.join(frequent, "token", "left")
-    return stem(looked_up, "token", "lexeme", known="_known").select(*keep, "lexeme", "pos")
+    words = F.broadcast(lexicon.words.df)
+    frequent = rows.join(words, "token").select(*keep, "lexeme", "pos")
+    if complete and lexicon.complete:
+        return frequent
+    rare = rows.join(words, "token", "left_anti")
+    return frequent.unionByName(rare.select(*keep, stem(F.col("token")).alias("lexeme"), "pos"))
 
 
 def build_postings(
@@ -69,7 +83,7 @@ def build_postings(
     config: str = "simple",
     id_col: str = "id",
     text_col: str = "content",
-    lexicon: Staged | None = None,
+    lexicon: Lexicon | None = None,
 ) -> DataFrame:
     """Positions of every lexeme per memory: ``(id, lexeme, positions)``.
 
@@ -82,7 +96,7 @@ def build_postings(
 
 
 def update_postings(
-    postings: DataFrame, m: DataFrame, changed: Staged, config: str = "simple", lexicon: Staged | None = None
+    postings: DataFrame, m: DataFrame, changed: Staged, config: str = "simple", lexicon: Lexicon | None = None
 ) -> DataFrame:
     """Postings after the memories with the ``changed`` ids were added, edited or removed.
 
@@ -104,9 +118,9 @@ def analyze_queries(q: DataFrame, config: str = "simple", by: str = "qid", text_
 
     Texts without a lexeme give no row, and so match nothing.
     """
-    rows = token_rows(q, text_col, (by,), config)
+    rows = token_rows(q, text_col, (by,), config).select(by, "token")
     if config == "english":
-        rows = stem(rows, "token", "lexeme").drop("token")
+        rows = rows.distinct().select(by, stem(F.col("token")).alias("lexeme"))
     else:
         rows = rows.withColumnRenamed("token", "lexeme")
     per_query = rows.groupBy(by).agg(F.array_sort(F.collect_set("lexeme")).alias("_terms"))

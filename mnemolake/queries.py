@@ -415,7 +415,7 @@ def document_frequency(spark, sf):
 @query()
 def lexicon_english(spark, sf):
     rows = text_index.token_rows(fx.memory(spark, sf), "content", ("id",), "english")
-    return text_index.build_lexicon(rows).df
+    return text_index.build_lexicon(rows).words.df
 
 
 @query(f"""WITH t AS (SELECT item_id AS qid, list_distinct(regexp_extract_all(lower(text), '{TOKEN_PATTERN}')) AS w FROM benchmark)
