@@ -163,16 +163,21 @@ def text_rank_single(spark, sf):
     return hits.withColumn("text_rank", F.round("text_rank", 5))
 
 
-@query(f"""WITH {fx.TEXT_SQL}, {fx.KNOWN_SQL}, {_match_sql("known", _SEARCHABLE)},
+def _verification_sql(q: str) -> str:
+    """CTE ``placed``: text window of 20 per query, ordered by similarity alone."""
+    return f"""{_match_sql(q, _SEARCHABLE)},
 windowed AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(text_rank, 9) DESC, id) AS rn FROM ranked),
 measured AS (
   SELECT w.qid, w.id, w.text_rank,
     list_dot_product(m.vector_{DIM}::DOUBLE[], q.query_vector::DOUBLE[]) AS ab,
     sqrt(list_dot_product(m.vector_{DIM}::DOUBLE[], m.vector_{DIM}::DOUBLE[])) AS na,
     sqrt(list_dot_product(q.query_vector::DOUBLE[], q.query_vector::DOUBLE[])) AS nb
-  FROM windowed w JOIN memory m ON m.id = w.id JOIN known q ON q.qid = w.qid WHERE rn <= 20),
+  FROM windowed w JOIN memory m ON m.id = w.id JOIN {q} q ON q.qid = w.qid WHERE rn <= 20),
 scored AS (SELECT *, {_COSINE} AS vector_sim FROM measured),
-placed AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(vector_sim, 9) DESC, id) AS position FROM scored)
+placed AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(vector_sim, 9) DESC, id) AS position FROM scored)"""
+
+
+@query(f"""WITH {fx.TEXT_SQL}, {fx.KNOWN_SQL}, {_verification_sql("known")}
 SELECT qid, id, position::INTEGER AS position, round(text_rank, 5) AS text_rank,
   CASE WHEN NOT isnan(vector_sim) THEN round(vector_sim, 5) END AS vector_sim, isnan(vector_sim) AS undefined
 FROM placed WHERE position <= 5""")
@@ -217,11 +222,25 @@ def recent_per_target(spark, sf):
     return search.recent_per_target(fx.memory(spark, sf)).select("id", "target", "position")
 
 
-@query()
+@query(f"""WITH {fx.TEXT_SQL}, {fx.BENCHMARK_SQL}, {_hybrid_sql("bench", _SEARCHABLE)},
+results AS (
+  SELECT p.qid, count(*) AS n, arg_min(p.id, position) AS first_id, arg_min(md5(m.content), position) AS first_md5
+  FROM placed p JOIN memory m ON m.id = p.id WHERE position <= top_k GROUP BY p.qid)
+SELECT b.qid, r.n AS results, r.first_id, r.first_md5,
+  CASE WHEN r.n IS NULL THEN 'No matching memories found.' END AS message
+FROM bench b LEFT JOIN results r ON r.qid = b.qid""")
 def json_responses(spark, sf):
     m = fx.memory(spark, sf)
     q = fx.benchmark_queries(spark, sf)
-    return tables.to_json_responses(q, search.hybrid_search(q, m, text_index.build_postings(m), DIM), "position")
+    hits = search.hybrid_search(q, m, text_index.build_postings(m), DIM)
+    r = F.parse_json("response")
+    return tables.to_json_responses(q, hits, "position").select(
+        "qid",
+        F.variant_get(r, "$.count", "long").alias("results"),
+        F.variant_get(r, "$.results[0].id", "long").alias("first_id"),
+        F.md5(F.variant_get(r, "$.results[0].content", "string")).alias("first_md5"),
+        F.variant_get(r, "$.message", "string").alias("message"),
+    )
 
 
 @query(f"""WITH {fx.MEMORY_SQL}
@@ -380,7 +399,13 @@ def summary(spark, sf):
     return reports.summary(fx.memory(spark, sf), settings_seed(spark), fx.FIXTURE_DIMS, fallback=DIM)
 
 
-@query()
+@query(f"""WITH {fx.MEMORY_SQL}, a AS (SELECT * FROM memory WHERE is_active),
+n AS (SELECT count(*) FILTER (WHERE {_REAL}) AS n1, count(*) FILTER (WHERE {_REAL_SMALL}) AS n2 FROM a)
+SELECT * FROM (VALUES ('table memory', 'ok', ''), ('table categories', 'missing', ''), ('table models', 'ok', ''),
+  ('table settings', 'missing', ''), ('column vector_{DIM}', 'ok', ''), ('column vector_{SMALL}', 'ok', ''),
+  ('registered dims', 'warning', '0 of 2')) v(name, status, detail)
+UNION ALL SELECT 'vectors {DIM}', CASE WHEN n1 > 0 THEN 'ok' ELSE 'warning' END, n1 || ' embedded' FROM n
+UNION ALL SELECT 'vectors {SMALL}', CASE WHEN n2 > 0 THEN 'ok' ELSE 'warning' END, n2 || ' embedded' FROM n""")
 def preflight(spark, sf):
     root = scratch_path(spark)
     paths = {"memory": tables.write_snapshot(fx.memory(spark, sf), root, 1)}
@@ -388,13 +413,26 @@ def preflight(spark, sf):
     return reports.preflight(spark, {**paths, "models": f"{root}/models"}, fx.FIXTURE_DIMS, DIM)
 
 
-@query()
+@query(f"""WITH {fx.TEXT_SQL}, {fx.BENCHMARK_SQL}, {_verification_sql("bench")},
+c AS (SELECT count(*) AS total, count(*) FILTER (WHERE {_REAL}) AS embedded FROM memory WHERE is_active),
+h AS (
+  SELECT count(*) AS probe_hits, round(coalesce(max(vector_sim) FILTER (WHERE NOT isnan(vector_sim)), 0), 5) AS best_similarity,
+    count(*) FILTER (WHERE isnan(vector_sim)) AS undefined_similarities
+  FROM placed WHERE position <= 5)
+SELECT total, embedded, probe_hits, best_similarity, undefined_similarities,
+  round((total - embedded) / total * 100, 1) AS missing_percent,
+  concat_ws('; ', CASE WHEN embedded = 0 THEN 'no active rows have usable vectors' END,
+    CASE WHEN embedded > 0 AND (total - embedded) / total > 0.5 THEN 'more than half of the active rows lack a vector' END,
+    CASE WHEN probe_hits = 0 AND embedded = 0 THEN 'the probe found nothing and no rows are embedded' END,
+    CASE WHEN probe_hits > 0 AND best_similarity <= 0 THEN 'no probe hit has a positive similarity' END) AS failures
+FROM c, h""")
 def verify(spark, sf):
     m = fx.memory(spark, sf)
     batch = search.prepare_queries(fx.benchmark_queries(spark, sf))
-    return reports.verify(m, DIM, batch, text_index.build_postings(m)).withColumn(
-        "failures", F.array_join("failures", "; ")
-    )
+    return reports.verify(m, DIM, batch, text_index.build_postings(m)).select(
+        "total", "embedded", "probe_hits", F.round("best_similarity", 5).alias("best_similarity"),
+        "undefined_similarities", "missing_percent", F.array_join("failures", "; ").alias("failures"),
+    )
 
 
 # --- text index --------------------------------------------------------------------------------
