@@ -287,7 +287,7 @@ def knn_exact_blocks(spark, sf):
     return found.withColumn("vector_sim", F.round("vector_sim", 5))
 
 
-_BANDS, _BITS, _SEED = 16, 8, 7
+_BANDS, _BITS, _SEED = 16, 4, 7
 _PRIME = 2147483647
 
 
