@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.stemmer import stem
 from ..functions.text import CONFIGS, positions, stop_words, tokens, ts_rank
-from .staging import BROADCAST_BYTES, Staged, balanced_join, counted_heavy_keys, row_bytes, stage
+from .staging import BROADCAST_BYTES, HEAVY_MIN_ROWS, Staged, balanced_join, counted_heavy_keys, row_bytes, stage
 
 
 POSTING_BUCKETS = 64
@@ -190,13 +190,15 @@ def match_terms(
         heavy=counted_heavy_keys(frequency, "lexeme", "df", relevant.rows),
     ).drop("lexeme")
     entries = F.map_from_entries(F.collect_list(F.struct("lexeme", "positions")))
-    texts = relevant.df.groupBy("id").agg(entries.alias("_lexemes"))
-    pairs = candidates.join(allowed, "id")
+    texts = relevant.df.groupBy("id").agg(entries.alias("_lexemes")).join(allowed, "id")
+    # A memory has at most one candidate row per query, so it can be hot only in a very large batch.
+    if terms.rows >= HEAVY_MIN_ROWS:
+        pairs = balanced_join(candidates, texts, "id")
+    else:
+        pairs = candidates.join(texts, "id")
     if accept is not None:
         pairs = pairs.where(accept)
-    matched = pairs.join(texts, "id").where(
-        F.forall("_terms", lambda t: F.map_contains_key(F.col("_lexemes"), t))
-    )
+    matched = pairs.where(F.forall("_terms", lambda t: F.map_contains_key(F.col("_lexemes"), t)))
     lists = F.transform("_terms", lambda t: F.element_at(F.col("_lexemes"), t))
     return matched.select(by, "id", *[c for c in (queries.columns if queries is not None else []) if c != by], lists.alias("lists"))
 

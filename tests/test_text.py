@@ -139,6 +139,7 @@ def test_match_without_broadcast_equals_broadcast(spark, memory, monkeypatch):
     small = sorted(ti.fts_match(terms, postings, memory.select("id")).collect())
     monkeypatch.setattr("mnemolake.operators.staging.BROADCAST_BYTES", -1)
     monkeypatch.setattr("mnemolake.operators.staging.HEAVY_MIN_ROWS", 1)
+    monkeypatch.setattr("mnemolake.operators.text_index.HEAVY_MIN_ROWS", 1)
     assert not terms.small
     assert sorted(ti.fts_match(terms, postings, memory.select("id")).collect()) == small
     assert all(not math.isnan(r.text_rank) for r in small)
