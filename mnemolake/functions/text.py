@@ -49,7 +49,7 @@ def _log_miss(distance: Column) -> Column:
     """ln(1 - pair weight) by distance; equal positions do not count."""
     table = [0.0] + [math.log1p(-_pair_weight(d)) for d in range(1, FAR_DISTANCE + 2)]
     slot = F.least(distance, F.lit(FAR_DISTANCE + 1))
-    return F.get(F.array(*[F.lit(x) for x in table]), slot)
+    return F.get(F.expr("array(" + ", ".join(f"{x!r}D" for x in table) + ")"), slot)
 
 
 def _rank_one(occurrences: Column) -> Column:
