@@ -4,53 +4,67 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 
 from mnemolake.llm.common import tokenizer_path
 
-#: Cutting in front of a blank between two other characters never changes the ids: the vocabulary's
-#: pre-tokenizer starts a new piece there.
+#: A blank in front of white space or at the end: only texts with one are cut with care.
+_RUNS = re.compile(r" (?=\s|\Z)")
+#: Cutting in front of a blank between two other characters never changes the ids: the vocabulary's pre-tokenizer
+#: starts a new piece there.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_RUNS = re.compile(r" \s|\s ")
+#: A word of letters, maybe with signs behind it: two pieces at most for the pre-tokenizer.
+_PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+)([!-&(-/:-@\[-`{-~]*)")
+#: Fixed values of byte-level vocabularies: the character that stands for each byte.
+_OWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_OTHER = [b for b in range(256) if b not in _OWN]
+_BYTES = {b: chr(b) for b in _OWN} | {b: chr(256 + k) for k, b in enumerate(_OTHER)}
 
 
-class Encoder:
-    """A tokenizer with a bounded memory of words seen.
+class Encoder(dict):
+    """Ids of words with a blank before them, as bytes: a memory of at most ``words`` words over a tokenizer.
 
     Byte-level BPE works piece by piece, so the ids of a text are those of its words in a row. Words come back far
-    more often than they are new; a memory of at most ``words`` of them saves most calls, and is dropped when full.
+    more often than they are new, and the memory saves those calls; it is dropped when full.
     """
 
-    def __init__(self, vocabulary: str, words: int = 600_000, longest: int = 48):
+    def __init__(self, vocabulary: str, words: int = 900_000, longest: int = 48):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path(vocabulary))
         self.tokenizer.encode_special_tokens = True
-        self.words, self.longest, self.known = words, longest, {}
+        self.model = self.tokenizer.model
+        self.words, self.longest = words, longest
 
     def _ask(self, parts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+
+    def __missing__(self, word: str) -> bytes:
+        plain = _PLAIN.fullmatch(word)
+        if plain:
+            letters, signs = plain.groups()
+            if not letters.isascii():
+                letters = letters.encode().decode("latin-1").translate(_BYTES)
+            ids = [t.id for t in self.model.tokenize(_BYTES[32] + letters)]
+            if signs:
+                ids += [t.id for t in self.model.tokenize(signs)]
+            found = array("I", ids).tobytes()
+        else:
+            found = self._ask([" " + word])[0]
+        if len(word) <= self.longest:
+            if len(self) >= self.words:
+                self.clear()
+            self[word] = found
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
         split = [_CUT.split(t) if _RUNS.search(t) else t.split(" ") for t in texts]
-        if len(self.known) > self.words:
-            self.known = {}
-        known, out = self.known, self._ask([s[0] for s in split])
-        for i, parts in enumerate(split):
-            del parts[0]
-            new = list({p for p in parts if p not in known})
-            once = {}
-            if new:
-                for p, ids in zip(new, self._ask([" " + p for p in new]), strict=True):
-                    if len(p) <= self.longest:
-                        known[p] = ids
-                    else:
-                        once[p] = ids
-            out[i] += b"".join([known[p] if p in known else once[p] for p in parts] if once else map(known.__getitem__, parts))
-            split[i] = None
-        return out
+        first = self._ask([s[0] for s in split])
+        return [ids + b"".join(map(self.__getitem__, s[1:])) for ids, s in zip(first, split, strict=True)]
 
 
 def encoder(vocabulary: str) -> Encoder:
