@@ -33,6 +33,26 @@ _BLOCK_SCHEMA = pa.schema([
 ])
 
 
+#: Window sizes, each made of two smaller ones.
+_WINDOWS = ((2, 1), (3, 2), (4, 2), (5, 4), (6, 4), (7, 4), (8, 4), (10, 8), (12, 8), (15, 8), (20, 10), (30, 15), (60, 30))
+
+
+def _needs(v: np.ndarray) -> np.ndarray:
+    """Number of selector widths that are too narrow for each id."""
+    return sum(((v >> _U(bits) != 0) for _, bits in SELECTORS), np.zeros(len(v), np.uint8)).astype(np.uint8)
+
+
+_SMALL = _needs(np.arange(1 << 16, dtype=_U))
+
+
+def _need(v: np.ndarray) -> np.ndarray:
+    """The same, from a table for ids of up to 16 bits."""
+    need = _SMALL[v.astype(np.uint16)]
+    large = np.flatnonzero(v >> _U(16))
+    need[large] = _needs(v[large])
+    return need
+
+
 def encode_block(ids: np.ndarray, stride: int = STRIDE) -> tuple[bytes, bytes, bytes]:
     """Words, position of each stride's first word, and escaped ids of one block.
 
@@ -43,23 +63,21 @@ def encode_block(ids: np.ndarray, stride: int = STRIDE) -> tuple[bytes, bytes, b
     n = len(v)
     if not n:
         return b"", b"", b""
-    at = np.arange(n)
+    need = _need(v)  # the position in SELECTORS of the narrowest width that holds each id
+    at = np.arange(n, dtype=np.int32)
     left = np.minimum(stride - at % stride, n - at)
-    take = np.ones(n, np.int64)
-    pick = np.full(n, len(SELECTORS), np.int64)
-    top = int(v.max())
-    for k, (count, bits) in reversed(list(enumerate(SELECTORS, 1))):
-        if count == 1:
-            continue
-        ok = left >= count
-        if top >> bits:
-            wide = np.concatenate(([0], np.cumsum(v >> _U(bits) != 0)))
-            end = np.minimum(at + count, n)
-            ok &= wide[end] == wide[:-1]
-        take[ok] = count
-        pick[ok] = k
-    escaped = v >> _U(60) != 0
-    pick[escaped] = ESCAPE
+    take = np.ones(n, np.uint8)
+    pick = np.full(n, len(SELECTORS), np.uint8)
+    widest = {1: need}  # the largest need among the next so many ids
+    for count, a in _WINDOWS:
+        b = count - a
+        widest[count] = np.maximum(widest[a][: n - count + 1], widest[b][a : a + n - count + 1]) if n >= count else need[:0]
+    for k, (count, _) in reversed(list(enumerate(SELECTORS, 1))):
+        if count > 1 and n >= count:
+            ok = (widest[count] < k) & (left[: n - count + 1] >= count)
+            np.putmask(take[: n - count + 1], ok, count)
+            np.putmask(pick[: n - count + 1], ok, k)
+    pick[need == len(SELECTORS)] = ESCAPE
     first = np.zeros(n, bool)
     pos, ends = np.arange(0, n, stride), np.minimum(np.arange(0, n, stride) + stride, n)
     while len(pos):
@@ -132,9 +150,9 @@ def write_ids(
             return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, _BLOCK_SCHEMA, strict=True)], schema=_BLOCK_SCHEMA)
 
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                for doc, data in zip(part.column(0).to_pylist(), ids.encode(texts(part.column(1))), strict=True):
+            for lo in range(0, batch.num_rows, 64):
+                part = batch.slice(lo, 64)
+                for doc, data in zip(part.column(0).to_pylist(), map(ids.encode, texts(part.column(1))), strict=True):
                     keys.append(doc)
                     parts.append(data + end)
                     held += len(parts[-1]) // 4

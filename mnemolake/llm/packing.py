@@ -55,9 +55,9 @@ def cut_documents(
         ids = encoder(vocabulary)
         for batch in batches:
             rows = []
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                for doc, data in zip(part.column(0).to_pylist(), ids.encode(texts(part.column(1))), strict=True):
+            for lo in range(0, batch.num_rows, 64):
+                part = batch.slice(lo, 64)
+                for doc, data in zip(part.column(0).to_pylist(), map(ids.encode, texts(part.column(1))), strict=True):
                     view = memoryview(data + end)
                     n = len(view) // 4
                     for s in range(0, n, capacity):

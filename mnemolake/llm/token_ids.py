@@ -24,47 +24,54 @@ _BYTES = {b: chr(b) for b in _OWN} | {b: chr(256 + k) for k, b in enumerate(_OTH
 
 
 class Encoder(dict):
-    """Ids of words with a blank before them, as bytes: a memory of at most ``words`` words over a tokenizer.
+    """Ids of words with a blank before them, as bytes: a memory of words over a tokenizer.
 
     Byte-level BPE works piece by piece, so the ids of a text are those of its words in a row. Words come back far
-    more often than they are new, and the memory saves those calls; it is dropped when full.
+    more often than they are new, and the memory saves those calls. It has two generations of at most ``words``
+    words each: when the young one is full it becomes the old one, from which words that come back are taken over.
     """
 
-    def __init__(self, vocabulary: str, words: int = 900_000, longest: int = 48):
+    def __init__(self, vocabulary: str, words: int = 650_000, longest: int = 48):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path(vocabulary))
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
-        self.words, self.longest = words, longest
+        self.words, self.longest, self.old = words, longest, {}
 
-    def _ask(self, parts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+    def _whole(self, part: str) -> bytes:
+        return array("I", self.tokenizer.encode_batch_fast([part], add_special_tokens=False)[0].ids).tobytes()
 
-    def __missing__(self, word: str) -> bytes:
+    def _new(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha():
+            return array("I", [t.id for t in self.model.tokenize(_BYTES[32] + word)]).tobytes()
         plain = _PLAIN.fullmatch(word)
-        if plain:
-            letters, signs = plain.groups()
-            if not letters.isascii():
-                letters = letters.encode().decode("latin-1").translate(_BYTES)
-            ids = [t.id for t in self.model.tokenize(_BYTES[32] + letters)]
-            if signs:
-                ids += [t.id for t in self.model.tokenize(signs)]
-            found = array("I", ids).tobytes()
-        else:
-            found = self._ask([" " + word])[0]
+        if not plain:
+            return self._whole(" " + word)
+        letters, signs = plain.groups()
+        if not letters.isascii():
+            letters = letters.encode().decode("latin-1").translate(_BYTES)
+        ids = [t.id for t in self.model.tokenize(_BYTES[32] + letters)]
+        if signs:
+            ids += [t.id for t in self.model.tokenize(signs)]
+        return array("I", ids).tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.old.get(word)
+        if found is None:
+            found = self._new(word)
         if len(word) <= self.longest:
             if len(self) >= self.words:
+                self.old = dict(self)
                 self.clear()
             self[word] = found
         return found
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [_CUT.split(t) if _RUNS.search(t) else t.split(" ") for t in texts]
-        first = self._ask([s[0] for s in split])
-        return [ids + b"".join(map(self.__getitem__, s[1:])) for ids, s in zip(first, split, strict=True)]
+    def encode(self, text: str) -> bytes:
+        """Ids of a text as little-endian unsigned 32-bit integers."""
+        parts = _CUT.split(text) if _RUNS.search(text) else text.split(" ")
+        return self._whole(parts[0]) + b"".join(map(self.__getitem__, parts[1:]))
 
 
 def encoder(vocabulary: str) -> Encoder:
