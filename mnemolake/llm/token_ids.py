@@ -31,7 +31,7 @@ class Encoder(dict):
     words each: when the young one is full it becomes the old one, from which words that come back are taken over.
     """
 
-    def __init__(self, vocabulary: str, words: int = 650_000, longest: int = 48):
+    def __init__(self, vocabulary: str, words: int = 300_000, longest: int = 48):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 

@@ -8,7 +8,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mnemolake.llm.common import named
+from mnemolake.llm.common import named, stage
+from mnemolake.operators.staging import balanced_join
 
 #: Verdict, host and path of the given rules.
 RULES = (
@@ -83,7 +84,8 @@ def judge_urls(
     it holds all tokens of a mined rule (the highest confidence is reported), and allowed otherwise.
 
     Matching goes by an inverted index from each rule's rarest token, over distinct token sets, so a host or URL
-    that fills a third of the table costs one row there; its pages meet the verdict in a join that Spark can split.
+    that fills a third of the table costs one row there; its pages meet the verdict in a broadcast join where the
+    verdicts are measured to be small, and in a join salted for hot keys where they aren't.
     Only the URL is read. Null URLs and those without ``://`` have empty host and path, no rule, and are allowed.
     Repeated rows get a row each. Without labelled rows nothing is mined.
     """
@@ -92,12 +94,13 @@ def judge_urls(
     rule, verdict = longest_rule(F.col("host"), F.col("path"), rules)
     tokens = url_tokens(F.col("_url"), F.col("host"), F.col("path"))
     known = parts.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("verdict"), tokens.alias("tokens"))
+    kind = F.array_join("tokens", " ").alias("kind")
     mined = mine_rules(known, support, confidence).withColumnRenamed("tokens", "_rule_tokens")
     kinds = known.where("verdict is null").select("tokens").distinct()
     looked = kinds.select("tokens", F.explode("tokens").alias("driver")).join(mined, "driver")
     hit = looked.where(F.size(F.array_except("_rule_tokens", "tokens")) == 0)
-    judged = hit.groupBy("tokens").agg(F.max("confidence").alias("confidence"))
-    met = known.join(judged, "tokens", "left")
+    judged = stage(hit.groupBy(kind).agg(F.max("confidence").alias("confidence")))
+    met = balanced_join(known.select("*", kind), judged.df, "kind", "left", right_small=judged.small)
     by_rule = F.col("rule").isNotNull()
     decided = F.when(by_rule, F.col("verdict")).when(F.col("confidence").isNotNull(), "block").otherwise("allow")
     return met.select("page_id", "host", "path", "rule", decided.alias("verdict"), F.when(~by_rule, F.col("confidence")).alias("confidence"))
