@@ -169,7 +169,7 @@ TOKENS_SQL = r"""tokens AS (
   FROM (SELECT id, regexp_extract_all(lower(content), '[\p{L}\p{N}]+') AS toks FROM memory))"""
 
 POSTINGS_SQL = """postings AS (
-  SELECT id, lexeme, list_sort(list(DISTINCT least(pos, 16383)))[1:256] AS positions, count(*) AS n
+  SELECT id, lexeme, list_sort(list(DISTINCT pos)) AS positions, count(*) AS n
   FROM tokens GROUP BY id, lexeme)"""
 
 TEXT_SQL = f"{MEMORY_SQL},\n{TOKENS_SQL},\n{POSTINGS_SQL}"

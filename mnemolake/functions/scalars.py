@@ -27,8 +27,9 @@ def tag_suffix(tags: Column) -> Column:
     return F.when(F.size(tags) > 0, F.concat(F.lit(" ["), F.concat_ws(", ", tags), F.lit("]"))).otherwise("")
 
 
-def context_line(target: Column, tags: Column, content: Column, width: int = 200) -> Column:
-    return F.concat(F.lit("- ["), target, F.lit("]"), tag_suffix(tags), F.lit(" "), prefix(content, width))
+def context_line(target: Column, tags: Column, content: Column, width: int | None = None) -> Column:
+    shown = content if width is None else prefix(content, width)
+    return F.concat(F.lit("- ["), target, F.lit("]"), tag_suffix(tags), F.lit(" "), shown)
 
 
 def cache_key(dim: int, provider: str, model: str, text: Column) -> Column:
@@ -91,7 +92,9 @@ def percent(ratio: Column) -> Column:
     return F.round(ratio * 100, 1)
 
 
-def cap(n: Column, default: int, maximum: int) -> Column:
-    """Requested row count with a default and an upper bound; a negative count is an error."""
-    wanted = F.least(F.coalesce(n, F.lit(default)), F.lit(maximum))
+def cap(n: Column, default: int, maximum: int | None = None) -> Column:
+    """Requested row count with a default and, where one is wanted, an upper bound; a negative count is an error."""
+    wanted = F.coalesce(n, F.lit(default))
+    if maximum is not None:
+        wanted = F.least(wanted, F.lit(maximum))
     return F.when(wanted < 0, F.raise_error(F.lit("row count must not be negative")).cast("int")).otherwise(wanted)

@@ -1,19 +1,18 @@
 """Tokens, stop words and the text rank over position lists."""
 
-from __future__ import annotations
-
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Token pattern, rank weight and position limits.
+# Token pattern and rank weights.
 TOKEN_PATTERN = r"[\p{L}\p{N}]+"
 POSITION_WEIGHT = 0.1
 SERIES_LIMIT = 1.64493406685
-MAX_POSITION = 16383
-MAX_POSITIONS = 256
 FAR_DISTANCE = 100
 FAR_FACTOR = 1e-30
 NO_PAIR_RANK = 1e-20
@@ -34,10 +33,12 @@ def stop_words() -> list[str]:
     return sorted({w for w in words if "'" not in w} - NOT_STOP_WORDS)
 
 
-def positions(collected: Column) -> Column:
-    """Sorted, capped and distinct positions of one lexeme in one text."""
-    capped = F.transform(collected, lambda p: F.least(p, F.lit(MAX_POSITION)))
-    return F.slice(F.array_distinct(F.array_sort(capped)), 1, MAX_POSITIONS)
+def positions(collected: Column, max_position: int | None = None, max_positions: int | None = None) -> Column:
+    """Sorted and distinct positions of one lexeme in one text, all of them unless limits are given."""
+    if max_position is not None:
+        collected = F.transform(collected, lambda p: F.least(p, F.lit(max_position)))
+    out = F.array_distinct(F.array_sort(collected))
+    return out if max_positions is None else F.slice(out, 1, max_positions)
 
 
 def _pair_weight(distance: int) -> float:
@@ -45,43 +46,40 @@ def _pair_weight(distance: int) -> float:
     return POSITION_WEIGHT * math.sqrt(near if distance <= FAR_DISTANCE else FAR_FACTOR)
 
 
-def _log_miss(distance: Column) -> Column:
-    """ln(1 - pair weight) by distance; equal positions do not count."""
-    table = [0.0] + [math.log1p(-_pair_weight(d)) for d in range(1, FAR_DISTANCE + 2)]
-    slot = F.least(distance, F.lit(FAR_DISTANCE + 1))
-    return F.get(F.expr("array(" + ", ".join(f"{x!r}D" for x in table) + ")"), slot)
-
-
-def _rank_one(occurrences: Column) -> Column:
-    series = F.aggregate(F.sequence(F.lit(1), occurrences), F.lit(0.0), lambda s, j: s + 1.0 / (j * j))
-    return POSITION_WEIGHT * series / SERIES_LIMIT
+def _log_misses() -> np.ndarray:
+    """ln(1 - pair weight) by distance, the last for all beyond; equal positions do not count."""
+    return np.array([0.0] + [math.log1p(-_pair_weight(d)) for d in range(1, FAR_DISTANCE + 2)])
 
 
-def _rank_all(lists: Column) -> Column:
-    def later(acc: Column, i: Column) -> Column:
-        right = F.get(lists, i)
-        return F.aggregate(
-            F.slice(lists, 1, i),
-            acc,
-            lambda s1, left: F.aggregate(
-                left,
-                s1,
-                lambda s2, p: F.aggregate(right, s2, lambda s3, r: s3 + _log_miss(F.abs(p - r))),
-            ),
-        )
-
-    log_miss = F.aggregate(F.sequence(F.lit(1), F.size(lists) - 1), F.lit(0.0), later)
-    return F.when(log_miss == 0, F.lit(NO_PAIR_RANK)).otherwise(-F.expm1(log_miss))
+def _rank(lists: list, table: np.ndarray) -> float | None:
+    if not lists:
+        return None
+    if len(lists) == 1:
+        return POSITION_WEIGHT * float((1.0 / np.arange(1, len(lists[0]) + 1) ** 2).sum()) / SERIES_LIMIT
+    arrays, log_miss = [np.asarray(x, np.int64) for x in lists], 0.0
+    for i, right in enumerate(arrays):
+        for left in arrays[:i]:
+            lo = np.searchsorted(right, left - FAR_DISTANCE)
+            near = np.searchsorted(right, left + FAR_DISTANCE, "right") - lo
+            ends = np.cumsum(near)
+            pairs = int(ends[-1]) if len(ends) else 0
+            at = np.arange(pairs) + np.repeat(lo - (ends - near), near)
+            log_miss += float(table[np.abs(np.repeat(left, near) - right[at])].sum())
+            log_miss += float(table[-1]) * (len(left) * len(right) - pairs)
+    return NO_PAIR_RANK if log_miss == 0 else -math.expm1(log_miss)
 
 
 def ts_rank(lists: Column) -> Column:
     """Text rank of one text for an AND query.
 
     ``lists`` has one sorted position list per query lexeme. A single lexeme ranks by its number of
-    occurrences, several by the distances between positions of different lexemes.
+    occurrences, several by the distances between positions of different lexemes. Only positions up to
+    ``FAR_DISTANCE`` apart are paired; all others weigh the same and are counted.
     """
-    return (
-        F.when(F.size(lists) == 0, F.lit(None).cast("double"))
-        .when(F.size(lists) == 1, _rank_one(F.size(F.get(lists, F.lit(0)))))
-        .otherwise(_rank_all(lists))
-    )
+
+    def ranked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        table = _log_misses()
+        for part in batches:
+            yield pa.array([_rank(x, table) for x in part.to_pylist()], pa.float64())
+
+    return F.arrow_udf(ranked, "double")(lists)

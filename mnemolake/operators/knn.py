@@ -199,25 +199,19 @@ def signatures(df: DataFrame, vector: str, dim: int, bands: int, bits: int, seed
     return df.withColumn("_bucket", F.explode(F.array_distinct(sign_bits(F.col(vector)))))
 
 
-def signature_index(m: DataFrame, dim: int, bands: int = 16, bits: int | None = None, seed: int = 7) -> DataFrame:
+def signature_index(m: DataFrame, dim: int, bands: int, bits: int, seed: int = 7) -> DataFrame:
     """Signature buckets of all searchable vectors: ``(_bucket, part, id, v)``.
 
-    Without ``bits`` the number of buckets per band follows the number of vectors, a few thousand
-    rows to a bucket. ``part`` is the directory that ``write_index`` puts a bucket in.
+    Recall depends on ``bands`` and ``bits`` alone, never on the number of vectors. ``part`` is the directory that
+    ``write_index`` puts a bucket in.
     """
     vectors = searchable(m, dim)
-    if bits is None:
-        bits = default_bits(vectors.count())
     if not 1 <= bits <= 40 or bands < 1:
         raise ValueError("bands must be positive and bits within 1..40")
     index = signatures(vectors, "v", dim, bands, bits, seed)
     return index.select("_bucket", _part(F.col("_bucket")).alias("part"), "id", "v")
 
 
-def default_bits(vectors: int) -> int:
-    return max(1, min(40, round(np.log2(max(vectors, 1) / BUCKET_ROWS)) if vectors > BUCKET_ROWS else 1))
-
-
 def _part(bucket: Column) -> Column:
     return F.pmod(F.xxhash64(bucket), F.lit(INDEX_PARTS)).cast("int")
 
@@ -233,8 +227,8 @@ def knn_approx(
     m: DataFrame,
     dim: int,
     k: int,
-    bands: int = 16,
-    bits: int | None = None,
+    bands: int,
+    bits: int,
     seed: int = 7,
     index: DataFrame | None = None,
 ) -> DataFrame:
@@ -246,11 +240,7 @@ def knn_approx(
     are counted before any vector moves, so that an overfull bucket is split into blocks.
     """
     if index is None:
-        if bits is None:
-            bits = default_bits(searchable(m, dim).count())
         index = signature_index(m, dim, bands, bits, seed)
-    elif bits is None:
-        raise ValueError("a stored index needs the bits it was made with")
     left = signatures(_queries(q), "qv", dim, bands, bits, seed)
     schema = _pair_schema(left, index)
     asked = stage(left.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cq")))

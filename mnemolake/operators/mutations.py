@@ -104,7 +104,7 @@ def update_memories(
     edits: DataFrame,
     embed: EmbedSpec,
     now: Column,
-    order: Sequence[str] = ("content",),
+    order: Sequence[str],
     clear_other_dims: bool = False,
     cache: DataFrame | None = None,
 ) -> DataFrame:

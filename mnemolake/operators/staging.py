@@ -19,10 +19,15 @@ SALTS = 64
 
 
 def staging_dir(spark: SparkSession) -> str:
-    """The cluster's shared scratch folder; a temporary one only where none is configured."""
+    """The shared scratch folder; a temporary one only on a local master without one.
+
+    On a cluster every machine would write to a disk of its own, so a missing setting is an error there.
+    """
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not hasattr(spark, "_mnemolake_staging"):
         spark._mnemolake_staging = tempfile.mkdtemp(prefix="mnemolake-")
     return spark._mnemolake_staging

@@ -19,9 +19,7 @@ from ..operators.text_index import analyze_queries, match_terms, relevant_postin
 from ..schemas import (
     CONTEXT_TOP_K,
     RECENT_LIMIT,
-    RECENT_LIMIT_MAX,
     SEARCH_TOP_K,
-    SEARCH_TOP_K_MAX,
     WINDOW_FACTOR,
     WINDOW_MIN,
     vector_column,
@@ -50,7 +48,7 @@ def prepare_queries(
     config: str = "simple",
     embed: EmbedSpec | None = None,
     top_k: int = SEARCH_TOP_K,
-    max_k: int = SEARCH_TOP_K_MAX,
+    max_k: int | None = None,
     weight: float | None = None,
     strict: bool = False,
     cache: DataFrame | None = None,
@@ -168,17 +166,17 @@ def _newest() -> list[Column]:
 
 
 def recent(m: DataFrame, target: str | None = None, limit: int = RECENT_LIMIT) -> DataFrame:
-    """Newest active memories, rows without a time first; at most 100."""
+    """Newest active memories, rows without a time first."""
     if limit < 0:
         raise ValueError("row count must not be negative")
-    rows = by_target(active(m), target).orderBy(*_newest()).limit(min(limit, RECENT_LIMIT_MAX))
+    rows = by_target(active(m), target).orderBy(*_newest()).limit(limit)
     return rows.select("id", *RESULT_FIELDS)
 
 
 def recent_per_target(m: DataFrame, n: int = RECENT_LIMIT) -> DataFrame:
     """Newest active memories of every target in one pass."""
     rows = active(m).select("id", *RESULT_FIELDS)
-    return top_per_query(rows, _newest(), min(n, RECENT_LIMIT_MAX), by="target", position="position")
+    return top_per_query(rows, _newest(), n, by="target", position="position")
 
 
 def context_blocks(
@@ -187,16 +185,20 @@ def context_blocks(
     postings: DataFrame,
     dim: int,
     heading: str = "## Memory Context",
-    min_len: int = 5,
-    max_len: int = 500,
+    min_len: int = 1,
+    max_len: int | None = None,
+    width: int | None = None,
     **options,
 ) -> DataFrame:
-    """One text block per query that has results: a heading and a line per memory, best first."""
+    """One text block per query that has results: a heading and a line per memory, best first.
+
+    Short queries, long queries and long contents are only dropped or cut where limits are given.
+    """
     gated = gate_queries(q, min_len, max_len)
     hits = hybrid_search(
         gated, m, postings, dim, fields=["target", "content", "tags"], top_k=CONTEXT_TOP_K, max_k=CONTEXT_TOP_K, **options
     )
-    line = context_line(F.col("target"), F.col("tags"), F.col("content"))
+    line = context_line(F.col("target"), F.col("tags"), F.col("content"), width)
     ordered = F.array_sort(F.collect_list(F.struct("position", line.alias("line"))))
     lines = F.array_join(F.transform(ordered, lambda x: x["line"]), "\n")
     return hits.groupBy("qid").agg(F.concat(F.lit(heading + "\n"), lines).alias("context"))

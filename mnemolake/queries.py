@@ -126,7 +126,7 @@ _FILTERED_Q = """filtered AS (
   SELECT k.*, CASE qid % 3 WHEN 1 THEN 'memory' WHEN 2 THEN 'user' END AS target,
     CASE qid % 5 WHEN 1 THEN 8 WHEN 2 THEN 7 END AS want_category,
     CASE qid % 4 WHEN 1 THEN 0.0 WHEN 2 THEN 1.0 WHEN 3 THEN 0.3 ELSE 0.5 END::DOUBLE AS weight,
-    CASE qid % 4 WHEN 1 THEN 3 WHEN 2 THEN 50 ELSE 10 END AS k
+    CASE qid % 4 WHEN 1 THEN 3 WHEN 2 THEN 60 ELSE 10 END AS k
   FROM known k)"""
 _FILTERED_WHERE = f"""{_SEARCHABLE} AND (q.target IS NULL OR q.target = m.target)
   AND (q.want_category IS NULL OR q.want_category = m.category_id)"""
@@ -203,12 +203,12 @@ SELECT p.qid, '## Memory Context' || chr(10) || string_agg({_LINES}, chr(10) ORD
 FROM placed p JOIN memory m ON m.id = p.id WHERE position <= top_k GROUP BY p.qid""")
 def context_blocks(spark, sf):
     m = fx.memory(spark, sf)
-    return search.context_blocks(fx.benchmark_queries(spark, sf), m, text_index.build_postings(m), DIM)
+    return search.context_blocks(fx.benchmark_queries(spark, sf), m, text_index.build_postings(m), DIM, min_len=5, max_len=500, width=200)
 
 
 @query(f"""WITH {fx.MEMORY_SQL}
 SELECT id, target, md5(content) AS content_md5, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created
-FROM memory WHERE is_active ORDER BY created_at DESC NULLS FIRST, id LIMIT 100""")
+FROM memory WHERE is_active ORDER BY created_at DESC NULLS FIRST, id LIMIT 500""")
 def recent(spark, sf):
     rows = search.recent(fx.memory(spark, sf), limit=500)
     return rows.select("id", "target", F.md5("content").alias("content_md5"), F.col("created_at").cast("string").alias("created"))

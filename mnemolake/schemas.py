@@ -30,8 +30,8 @@ SETTINGS_SEED = [("default_dim", "1024")]
 DEFAULT_TARGET = "memory"
 DEFAULT_CONFIDENCE = 80
 MAX_TARGET_CHARS = 20
-SEARCH_TOP_K, SEARCH_TOP_K_MAX = 10, 50
-RECENT_LIMIT, RECENT_LIMIT_MAX = 20, 100
+SEARCH_TOP_K = 10
+RECENT_LIMIT = 20
 CONTEXT_TOP_K = 5
 WINDOW_FACTOR, WINDOW_MIN = 4, 40
 TEXT_WEIGHT = 0.5

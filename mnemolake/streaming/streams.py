@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -22,13 +22,28 @@ def _start(stream: DataFrame, write, checkpoint: str, available_now: bool, **tri
     return writer.trigger(availableNow=True).start() if available_now else writer.trigger(**trigger).start()
 
 
-def dedup_events(events: DataFrame, key: str = "event_id", delay: str = "1 hour", time: str = "ts") -> DataFrame:
-    """Drop repeated events that arrive within ``delay``; state older than the watermark is freed."""
+def dedup_events(events: DataFrame, key: str = "event_id", delay: str | None = None, time: str = "ts") -> DataFrame:
+    """Drop repeated events; no distinct event is lost, however late it comes.
+
+    The state holds every key seen. With ``delay`` the state older than that is freed, at the price that events
+    behind the watermark are dropped, repeated or not.
+    """
+    if delay is None:
+        return events.dropDuplicates([key])
     if isinstance(events.schema[time].dataType, T.TimestampNTZType):
         events = events.withColumn(time, F.col(time).cast("timestamp"))
     return events.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 
+def _other_batches(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
+    """Rows that other micro-batches have written, if there are any."""
+    glob = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/batch=*")
+    found = glob.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(glob)
+    if not any(s.getPath().getName() != f"batch={batch_id}" for s in found or []):
+        return None
+    return spark.read.option("basePath", path).parquet(f"{path.rstrip('/')}/batch=*").where(F.col("batch") != batch_id)
+
+
 def stream_mirror(
     events: DataFrame,
     empty: DataFrame,
@@ -43,10 +58,14 @@ def stream_mirror(
     """Mirror events to memory rows.
 
     Row ids come with the events and each micro-batch owns its directory, so the at-least-once
-    delivery of ``foreachBatch`` leaves no duplicates. ``empty`` gives the memory layout.
+    delivery of ``foreachBatch`` leaves no duplicates. An id that comes again, in the same batch or a
+    later one, is not written again. ``empty`` gives the memory layout.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch, earlier = batch.dropDuplicates(["id"]), _other_batches(batch.sparkSession, path, batch_id)
+        if earlier is not None:
+            batch = batch.join(earlier.select("id"), "id", "left_anti")
         rows = prepare_memories(empty, mirror_writes(batch), categories, embed, now)
         with_vector_state(rows).write.mode("overwrite").parquet(_batch_path(path, batch_id))
 
@@ -97,10 +116,14 @@ def stream_backfill(
 ) -> StreamingQuery:
     """Embed arriving rows ``(id, content)`` that lack a vector; writes ``(id, vector, status, updated_at)``.
 
+    Rows that bring a vector of this width are left alone.
+
     The written rows are changes by id for ``apply_by_id``.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if f"vector_{embed.dim}" in batch.columns:
+            batch = batch.where(F.col(f"vector_{embed.dim}").isNull())
         vectors = embed_texts(batch.select(F.col("content").alias("text")), embed, cache)
         joined = attach_embedding(batch.select("id", "content"), "content", embed, vectors)
         out = joined.select("id", F.col("vector").alias(f"vector_{embed.dim}"), "status", now.alias("updated_at"))

@@ -11,8 +11,8 @@ def lexemes(text, analyse=lambda w: w):
     for pos, word in enumerate(WORD.findall(text.lower()), 1):
         lexeme = analyse(word)
         if lexeme is not None:
-            out.setdefault(lexeme, []).append(min(pos, 16383))
-    return {k: sorted(set(v))[:256] for k, v in out.items()}
+            out.setdefault(lexeme, []).append(pos)
+    return {k: sorted(set(v)) for k, v in out.items()}
 
 
 def rank(lists):

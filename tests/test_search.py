@@ -139,7 +139,7 @@ def test_recent(memory):
 
 def test_context_blocks(spark, memory):
     q = spark.createDataFrame([(1, "quick brown dog", [1.0, 0.0, 0.0, 0.0]), (2, "cat", [1.0, 0.0, 0.0, 0.0]), (3, "zebra quick", [1.0, 0.0, 0.0, 0.0])], SCHEMA)
-    got = {r.qid: r.context for r in search.context_blocks(q, memory, build_postings(memory), 4).collect()}
+    got = {r.qid: r.context for r in search.context_blocks(q, memory, build_postings(memory), 4, min_len=5).collect()}
     assert got == {
         1: "## Memory Context\n- [memory] [a, b] The quick brown fox jumps over the lazy dog\n- [user] [b] A quick brown dog and a quick cat"
     }

@@ -80,3 +80,25 @@ def test_dedup(spark, events, feed, tmp_path):
     q = unique.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "check"))
     q.trigger(availableNow=True).start().awaitTermination()
     assert spark.read.parquet(out).count() == 40
+
+
+def test_late_and_repeated_events(spark, feed, tmp_path):
+    rows = [(i, 1_700_000_000 - 100_000 * (i % 5)) for i in range(12)] * 2
+    df = spark.createDataFrame(rows, "event_id long, s long").select("event_id", F.timestamp_seconds("s").alias("ts"))
+    out = str(tmp_path / "out")
+    unique = S.dedup_events(feed(df, 3, "event_id"))
+    writer = unique.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "check"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == list(range(12))
+
+
+def test_mirror_skips_ids_of_earlier_batches(spark, memory, categories, now, tmp_path):
+    layout = memory.withColumn("id", F.col("id").cast("string")).limit(0)
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "id string, action string, target string, content string, metadata string"
+    for _ in range(2):
+        df = spark.createDataFrame([("a", "add", "user", "one", None), ("a", "add", "user", "one", None)], schema)
+        df.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+        S.stream_mirror(stream, layout, categories, FOUR, now, out, str(tmp_path / "check")).awaitTermination()
+    assert [r.id for r in S.read_log(spark, out).collect()] == ["a"]

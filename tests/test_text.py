@@ -44,11 +44,12 @@ def test_rank_matches_definition(spark, lists):
     assert rank_of(spark, lists) == pytest.approx(rank(lists), rel=1e-9)
 
 
-def test_positions_are_capped(spark):
+def test_positions_are_capped_on_request_only(spark):
     many = list(range(1, 400)) + [20000, 30000]
-    got = one(spark.createDataFrame([(many,)], "p array<int>").select(positions(F.col("p"))))
-    assert got == list(range(1, 257))
-    late = one(spark.createDataFrame([([16400, 17000, 3],)], "p array<int>").select(positions(F.col("p"))))
+    df = spark.createDataFrame([(many,)], "p array<int>")
+    assert one(df.select(positions(F.col("p")))) == many
+    assert one(df.select(positions(F.col("p"), max_positions=256))) == list(range(1, 257))
+    late = one(spark.createDataFrame([([16400, 17000, 3],)], "p array<int>").select(positions(F.col("p"), 16383)))
     assert late == [3, 16383]
 
 
