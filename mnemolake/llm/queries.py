@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from mnemolake.llm.binary_ids import read_ids, write_ids
 from mnemolake.llm.common import read
 from mnemolake.llm.decontaminate import decontaminate
-from mnemolake.llm.licenses import scan_licenses
+from mnemolake.llm.licenses import TEMPLATES, scan_licenses
 from mnemolake.llm.packing import pack
 from mnemolake.llm.pii import personal_data, span_digest
 from mnemolake.llm.pivot_search import top_products
@@ -70,4 +70,45 @@ QUERIES = {
         op9_simhash, op10_urls,
     )
 }
-SQL: dict[str, str] = {}
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+def _template_rows() -> str:
+    rows = []
+    for number, t in enumerate(TEMPLATES):
+        w = t.text.split()
+        rows += [f"({number}, '{t.label}', {t.base}, {len(w) - 1}, {at}, '{w[at]}', '{w[at + 1]}')" for at in range(len(w) - 1)]
+    return ", ".join(rows)
+
+
+#: The other operators use SimHash with XXH64, tokenizers or learnt models; the tests hold them against brute force.
+SQL: dict[str, str] = {
+    "op3_licenses": f"""WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+t(template, label, base, grams, k, a, b) AS (VALUES {_template_rows()}),
+g AS (SELECT doc_id, i - 1 AS pos, w[i] AS a, w[i + 1] AS b FROM d, unnest(range(1, len(w))) u(i)),
+diagonals AS (SELECT doc_id, template, label, base, grams, pos - k AS diagonal, list(DISTINCT k) AS ats FROM g JOIN t USING (a, b) GROUP BY ALL),
+apart AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) <= 2 THEN 0 ELSE 1 END AS apart FROM diagonals),
+numbered AS (SELECT *, sum(apart) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM apart),
+spans AS (SELECT doc_id, template, label, base, span, len(list_distinct(flatten(list(ats)))) / any_value(grams) AS covered, count(*) FILTER (len(ats) = grams) AS places,
+  min(diagonal) FILTER (len(ats) = grams) AS f, max(diagonal) FILTER (len(ats) = grams) AS l FROM numbered GROUP BY ALL)
+SELECT d.doc_id, len(any_value(w))::BIGINT AS n_words, coalesce(sum(places) FILTER (base), 0)::BIGINT AS n_base, min(f) FILTER (base)::BIGINT AS first_word, max(l) FILTER (base)::BIGINT AS last_word,
+  coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base AND places > 0), '') AS base_labels,
+  coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base AND places > 0 OR NOT base AND covered >= 0.8), '') AS labels, coalesce(max(covered), 0.0)::DOUBLE AS score
+FROM d LEFT JOIN spans s ON s.doc_id = d.doc_id GROUP BY d.doc_id""",
+    "op5_decontaminate": f"""WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id::VARCHAR AS item, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+bw AS (SELECT DISTINCT item, least(10, len(w)) AS size, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS g FROM b, unnest(range(1, len(w) - least(10, len(w)) + 2)) u(i) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT size FROM bw),
+dw AS (SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS g FROM d, sizes, unnest(range(1, len(w) - size + 2)) u(i)),
+hits AS (SELECT doc_id, item, i, size FROM dw JOIN bw USING (size, g)),
+n AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM hits, unnest(range(i, i + size)) u(p) GROUP BY doc_id),
+m AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hits GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN m ON m.doc_id = d.doc_id""",
+    "op8_top_products": """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id AND a.vec_id % 100 = 0 AND len(a.q) = len(b.q)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+}
