@@ -128,7 +128,7 @@ def decode_stride(words: bytes, word_starts: bytes, escapes: bytes, stride: int)
 
 def write_ids(
     docs: DataFrame, path: str, vocabulary: str = "byte_bpe_50k.json", end_id: int = 2, block_ids: int = 1 << 18,
-    id_col: str = "doc_id", text_col: str = "text",
+    known_words: int = 300_000, id_col: str = "doc_id", text_col: str = "text",
 ) -> None:
     """Encode whole texts and write their ids to ``path`` in ascending order of the document id.
 
@@ -141,7 +141,7 @@ def write_ids(
     end = np.array([end_id], "<u4").tobytes()
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, shard = encoder(vocabulary), TaskContext.get().partitionId()
+        ids, shard = encoder(vocabulary, known_words), TaskContext.get().partitionId()
         block, before, held, keys, parts = 0, 0, 0, [], []
 
         def close() -> pa.RecordBatch:

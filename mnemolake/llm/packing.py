@@ -46,13 +46,13 @@ def first_fit_decreasing(lengths: list[int], capacity: int) -> tuple[list[int],
 
 def cut_documents(
     docs: DataFrame, capacity: int = 2048, vocabulary: str = "byte_bpe_50k.json", end_id: int = 1,
-    id_col: str = "doc_id", text_col: str = "text",
+    known_words: int = 300_000, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """Pieces of at most ``capacity`` ids of every document, which ends with ``end_id``."""
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = encoder(vocabulary)
+        ids = encoder(vocabulary, known_words)
         for batch in batches:
             rows = []
             for lo in range(0, batch.num_rows, 64):
@@ -75,20 +75,21 @@ def cut_documents(
 
 def pack(
     docs: DataFrame, capacity: int = 2048, vocabulary: str = "byte_bpe_50k.json", end_id: int = 1,
-    group_pieces: int = 16384, seed: int = 17, id_col: str = "doc_id", text_col: str = "text",
+    group_pieces: int = 16384, seed: int = 17, known_words: int = 300_000, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """First-fit decreasing of all pieces, in randomised groups of about ``group_pieces`` each.
 
     Texts are tokenised once, where they lie; only narrow piece rows are staged and shuffled. A piece's group is a
     hash of document and start, so neither one very long document nor equal ids fill a group, and the number of
-    groups follows the number of pieces. Each group packs on its own.
+    groups follows the number of pieces. Each group packs on its own. A tokenising worker keeps twice ``known_words``
+    words at most, some 200 bytes each.
 
     One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``. Null and empty texts
     are the end id alone. Repeated rows are packed once each. A null id stays null. An empty table gives no rows.
     """
     if capacity < 1 or group_pieces < 1:
         raise ValueError("capacity and group_pieces must be positive")
-    pieces = stage(cut_documents(docs, capacity, vocabulary, end_id, id_col, text_col))
+    pieces = stage(cut_documents(docs, capacity, vocabulary, end_id, known_words, id_col, text_col))
     groups = max(1, -(-pieces.rows // group_pieces))
     group = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", F.lit(seed)), F.lit(groups))
 

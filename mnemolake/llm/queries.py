@@ -20,7 +20,7 @@ from mnemolake.operators.staging import scratch_path
 
 
 def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(read(spark, sf_dir, "documents"))
+    return pack(read(spark, sf_dir, "documents"), known_words=600_000)
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,7 +42,7 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark)
-    write_ids(read(spark, sf_dir, "documents"), path)
+    write_ids(read(spark, sf_dir, "documents"), path, known_words=600_000)
     return read_ids(spark, path)
 
 

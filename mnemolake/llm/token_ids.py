@@ -74,8 +74,8 @@ class Encoder(dict):
         return self._whole(parts[0]) + b"".join(map(self.__getitem__, parts[1:]))
 
 
-def encoder(vocabulary: str) -> Encoder:
-    """One encoder per vocabulary and Python worker.
+def encoder(vocabulary: str, words: int) -> Encoder:
+    """One encoder per vocabulary, size of its memory and Python worker.
 
     The library travels by value, so that its own globals are new in every task; the encoder, with the words it
     knows, stays on a module that the worker keeps.
@@ -83,6 +83,6 @@ def encoder(vocabulary: str) -> Encoder:
     import tokenizers
 
     kept = tokenizers.__dict__.setdefault("_kept_encoders", {})
-    if vocabulary not in kept:
-        kept[vocabulary] = Encoder(vocabulary)
-    return kept[vocabulary]
+    if (vocabulary, words) not in kept:
+        kept[vocabulary, words] = Encoder(vocabulary, words)
+    return kept[vocabulary, words]
