@@ -26,8 +26,8 @@ class Windows:
         words = [(item, ascii_words(text)) for item, text in items]
         self.vocabulary = {w: k for k, w in enumerate(sorted({w for _, ws in words for w in ws}), 1)}
         self.base = len(self.vocabulary) + 1
-        if self.base >= 1 << 20:
-            raise ValueError("a block's vocabulary must stay below 2**20 words")
+        if self.base >= 1 << 21:
+            raise ValueError("a block's vocabulary must stay below 2**21 words")
         self.items = sorted({item for item, ws in words if ws})
         number = {item: k for k, item in enumerate(self.items)}
         found: dict[int, dict[tuple, set]] = {}
