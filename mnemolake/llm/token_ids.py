@@ -36,7 +36,7 @@ class Encoder(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path(vocabulary))
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.words, self.longest, self.old = words, longest, {}
 
@@ -69,7 +69,9 @@ class Encoder(dict):
         return found
 
     def encode(self, text: str) -> bytes:
-        """Ids of a text as little-endian unsigned 32-bit integers."""
+        """Ids of a text as little-endian unsigned 32-bit integers; added tokens that it spells out keep their own id."""
+        if any(t in text for t in self.added):
+            return self._whole(text)
         parts = _CUT.split(text) if _RUNS.search(text) else text.split(" ")
         return self._whole(parts[0]) + b"".join(map(self.__getitem__, parts[1:]))
 
