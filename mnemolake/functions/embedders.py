@@ -42,13 +42,18 @@ def registered_embedders() -> list[str]:
 
 @dataclass(frozen=True)
 class EmbedSpec:
-    """Which embedder makes the vectors of one width, and how failures are treated."""
+    """Which embedder makes the vectors of one width, and how failures are treated.
+
+    A text that fails gets a zero vector (``fail_open``), no vector and the status ``error`` (``keep_errors``, which
+    goes first), or ends the job.
+    """
 
     dim: int
     provider: str
     model: str = ""
     fail_open: bool = True
     parallelism: int | None = None
+    keep_errors: bool = False
     dims: tuple[int, ...] = field(default=DIMS, repr=False)
 
     def __post_init__(self) -> None:

@@ -16,7 +16,7 @@ from ..schemas import CACHE_SCHEMA, DIMS, FALLBACK_DIM
 from .staging import Staged, balanced_join, counted_heavy_keys, missing, stage
 
 # Status of an embedded row.
-BLANK, HIT, OK, FALLBACK = "blank", "hit", "ok", "zero_fallback"
+BLANK, HIT, OK, FALLBACK, ERROR = "blank", "hit", "ok", "zero_fallback", "error"
 
 _VECTORS = T.StructType(
     [
@@ -63,6 +63,8 @@ def _embed_batches(factory: Factory, spec: EmbedSpec):
         try:
             return checked(embed([text])[0]), OK, None
         except Exception as exc:
+            if spec.keep_errors:
+                return None, ERROR, str(exc)
             if not fail_open:
                 raise EmbeddingError(f"embedding failed: {exc}") from exc
             return [0.0] * dim, FALLBACK, str(exc)
@@ -155,13 +157,13 @@ def embed_stats(result: DataFrame) -> DataFrame:
 
     A miss is a live call, so repeated texts of one batch count one miss and hits for the others.
     """
-    live = F.col("status").isin(OK, FALLBACK)
+    live = F.col("status").isin(OK, FALLBACK, ERROR)
     per_key = result.groupBy("key", "status").agg(F.count(F.lit(1)).alias("_n"))
     hits = F.when(F.col("status") == HIT, F.col("_n")).when(live, F.col("_n") - 1).otherwise(0)
     return per_key.agg(
         F.coalesce(F.sum(hits), F.lit(0)).alias("hits"),
         F.count_if(live).alias("misses"),
-        F.count_if(F.col("status") == FALLBACK).alias("errors"),
+        F.count_if(F.col("status").isin(FALLBACK, ERROR)).alias("errors"),
         F.count_if(F.col("status") == FALLBACK).alias("zero_fallbacks"),
     )
 

@@ -21,7 +21,7 @@ from ..functions.scalars import (
 )
 from ..schemas import MODEL_SEED, vector_column, vector_dims
 from ..sources.tables import append_memories, state_columns
-from .embedding import FALLBACK, attach_embedding, cache_entries, embed_column, embed_texts
+from .embedding import ERROR, FALLBACK, attach_embedding, cache_entries, embed_column, embed_texts
 from .filters import REAL, existing, vector_state
 from .joins import resolve_category, upsert
 from .staging import Staged, missing, stage
@@ -208,7 +208,9 @@ def backfill(
 
     Pending rows are split off by a predicate and only they meet new vectors; the others pass
     through without a shuffle. A failed call of a fail-open embedder leaves a zero vector, which
-    counts as embedded for the table and is told apart in ``zero_fallbacks``.
+    counts as embedded for the table and is told apart in ``zero_fallbacks``. With ``keep_errors`` a text that
+    fails, or whose vector has another width, leaves its row as it is and counts in ``errors``; the others go on.
+    ``skipped`` counts rows that another writer filled meanwhile: none, as a snapshot doesn't change.
     """
     plain = m.drop(*state_columns(m))
     dims = [s.dim for s in specs]
@@ -244,23 +246,26 @@ def backfill(
         )
         work = joined.withColumns(
             {
-                f"vector_{d}": F.when(F.col(f"_due_{d}"), F.col("vector")).otherwise(F.col(f"vector_{d}")),
+                f"vector_{d}": F.when(F.col(f"_due_{d}") & (F.col("status") != ERROR), F.col("vector")).otherwise(F.col(f"vector_{d}")),
                 f"_status_{d}": F.when(F.col(f"_due_{d}"), F.col("status")),
+                "_touched": F.col("_touched") | (F.col(f"_due_{d}") & (F.col("status") != ERROR)),
             }
         ).drop("vector", "status", "error", "key", text)
-    done = work.withColumn("updated_at", now.cast(plain.schema["updated_at"].dataType))
+    stamp = F.when(F.col("_touched"), now.cast(plain.schema["updated_at"].dataType)).otherwise(F.col("updated_at"))
+    done = work.withColumn("updated_at", stamp)
     for d in dims:
         per_dim = work.where(f"_due_{d}").agg(
             F.lit(d).alias("dim"),
             F.count(F.lit(1)).alias("total"),
-            F.count(F.lit(1)).alias("embedded"),
+            F.count_if(F.col(f"_status_{d}") != ERROR).alias("embedded"),
             F.count_if(F.col(f"_status_{d}") == FALLBACK).alias("zero_fallbacks"),
+            F.lit(0).cast("long").alias("skipped"),
+            F.count_if(F.col(f"_status_{d}") == ERROR).alias("errors"),
         )
         stats.append(per_dim)
     summary = stats[0]
     for s in stats[1:]:
         summary = summary.unionByName(s)
-    summary = summary.withColumns({"skipped": F.lit(0).cast("long"), "errors": F.lit(0).cast("long")})
     return Backfill(rest.unionByName(done.select(*plain.columns)), summary, fresh)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixtures as fx
-from .functions.embedders import EmbedSpec
+from .functions.embedders import EmbeddingError, EmbedSpec, embedder_factory, register_embedder
 from .functions.scalars import cache_key, is_blank, percent
 from .functions.text import TOKEN_PATTERN
 from .functions.vectors import check_width, norm, parse_vector
@@ -27,6 +27,23 @@ HASHING = EmbedSpec(DIM, "hashing", "md5", dims=fx.FIXTURE_DIMS)
 SMALL_HASHING = EmbedSpec(SMALL, "hashing", "md5", dims=fx.FIXTURE_DIMS)
 
 
+def _unsteady(dim: int, model: str):
+    """The hashing embedder, but some texts fail and some get a vector of another width, by their length."""
+    embed = embedder_factory("hashing")(dim, model)
+
+    def some(texts: list[str]):
+        if any(len(t) % 7 == 0 for t in texts):
+            raise EmbeddingError("no vector for this text")
+        return [v[1:] if len(t) % 11 == 0 else v for t, v in zip(texts, embed(texts), strict=True)]
+
+    return some
+
+
+register_embedder("unsteady", _unsteady)
+UNSTEADY = EmbedSpec(DIM, "unsteady", "md5", dims=fx.FIXTURE_DIMS, keep_errors=True)
+NOOP = EmbedSpec(DIM, "noop", dims=fx.FIXTURE_DIMS)
+
+
 def query(sql: str | None = None):
     def register(fn: Query) -> Query:
         QUERIES[fn.__name__] = fn
@@ -687,6 +704,65 @@ def backfill_stats(spark, sf):
     return mutations.backfill(fx.memory(spark, sf), [HASHING, SMALL_HASHING], fx.now()).stats
 
 
+#: Rows that lack a vector: all at once, with some that fail, or the oldest hundred.
+_DUE_SQL = f"is_active AND NOT coalesce({_REAL}, false)"
+_FAILS_SQL = "regexp_matches(content, '\\S') AND (length(content) % 7 = 0 OR length(content) % 11 = 0)"
+
+
+def _backfill_sql(due: str) -> str:
+    """State after a backfill of one width; ``due`` selects the ids that get a vector."""
+    return f"""WITH {fx.MEMORY_SQL}, src AS (SELECT content AS text FROM memory), {_hash_sql(DIM)}, due AS ({due}),
+state AS (
+  SELECT m.* REPLACE (CASE WHEN d.id IS NULL THEN updated_at ELSE TIMESTAMP '{fx.NOW}' END AS updated_at),
+    CASE WHEN d.id IS NULL THEN {fingerprint_sql(f"vector_{DIM}", DIM)} ELSE round(coalesce(h.mark, 0), 4) END AS mark,
+    {fingerprint_sql(f"vector_{SMALL}", SMALL)} AS small_mark
+  FROM memory m LEFT JOIN due d ON d.id = m.id LEFT JOIN hashed h ON h.text = m.content)
+SELECT {_STATE}, mark, small_mark FROM state"""
+
+
+@query(_backfill_sql(f"SELECT id FROM memory WHERE {_DUE_SQL} AND NOT coalesce({_FAILS_SQL}, false)"))
+def backfill_failures(spark, sf):
+    return _state(mutations.backfill(fx.memory(spark, sf), [UNSTEADY], fx.now()).memory)
+
+
+@query(f"""WITH {fx.MEMORY_SQL}
+SELECT {DIM} AS dim, count(*) AS total, count(*) - count(*) FILTER ({_FAILS_SQL}) AS embedded, count(*) FILTER ({_FAILS_SQL}) AS errors,
+  0 AS skipped, 0 AS zero_fallbacks FROM memory WHERE {_DUE_SQL}""")
+def backfill_failure_stats(spark, sf):
+    return mutations.backfill(fx.memory(spark, sf), [UNSTEADY], fx.now()).stats
+
+
+@query(_backfill_sql(f"SELECT id FROM memory WHERE {_DUE_SQL} ORDER BY created_at NULLS LAST, id LIMIT 100"))
+def backfill_limit(spark, sf):
+    return _state(mutations.backfill(fx.memory(spark, sf), [HASHING], fx.now(), limit=100).memory)
+
+
+@query(f"""WITH {fx.MEMORY_SQL}
+SELECT {DIM} AS dim, count(*) AS total, count(*) AS embedded, 0 AS errors, 0 AS skipped, 0 AS zero_fallbacks FROM memory WHERE {_DUE_SQL}""")
+def backfill_dry_run(spark, sf):
+    return mutations.backfill(fx.memory(spark, sf), [HASHING], fx.now(), dry_run=True).stats
+
+
+@query(f"""WITH {fx.REQUESTS_SQL}
+SELECT doc_id, CASE WHEN trim(text) = '' THEN 'blank' ELSE 'ok' END AS status, {DIM} AS width, true AS zero FROM requests""")
+def embed_noop(spark, sf):
+    rows = embedding.embed_column(fx.embed_requests(spark, sf), "text", NOOP)
+    zero = F.forall("vector", lambda x: x == 0).alias("zero")
+    return rows.select("doc_id", "status", F.size("vector").alias("width"), zero)
+
+
+@query(f"""WITH {fx.REQUESTS_SQL}, src AS (SELECT text FROM requests), {_hash_sql(DIM)}, quick AS (SELECT DISTINCT text FROM requests WHERE doc_id % 3 = 0)
+SELECT r.doc_id, CASE WHEN trim(r.text) = '' THEN 'blank' WHEN q.text IS NOT NULL THEN 'hit' ELSE 'ok' END AS status, round(coalesce(h.mark, 0), 4) AS mark
+FROM requests r LEFT JOIN hashed h ON h.text = r.text LEFT JOIN quick q ON q.text = r.text""")
+def embed_with_cache(spark, sf):
+    """A written cache knows the texts of every third row; the rest is embedded."""
+    requests, path = fx.embed_requests(spark, sf), scratch_path(spark)
+    known = embedding.embed_texts(requests.where("doc_id % 3 = 0"), HASHING)
+    embedding.write_cache(embedding.cache_entries(known.df, HASHING, F.lit(0)), path)
+    rows = embedding.embed_column(requests, "text", HASHING, embedding.read_cache(spark, path))
+    return rows.select("doc_id", "status", fingerprint(F.col("vector"), DIM).alias("mark"))
+
+
 @query(f"""WITH {fx.MIRROR_SQL}
 SELECT id, target, md5(content) AS content_md5, CASE WHEN target = 'user' THEN 'user_profile' ELSE 'fact' END AS category,
   'mirrored,builtin' AS tags, 'builtin_memory_tool' AS source, CASE WHEN turn = 1 THEN 'given' ELSE action END AS action, turn

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.embedders import EmbedSpec
-from ..operators.embedding import attach_embedding, embed_texts
+from ..operators.embedding import ERROR, attach_embedding, embed_texts
 from ..operators.mutations import current_state, mirror_writes, prepare_memories
 from ..sources.tables import with_vector_state
 
@@ -116,7 +116,7 @@ def stream_backfill(
 ) -> StreamingQuery:
     """Embed arriving rows ``(id, content)`` that lack a vector; writes ``(id, vector, status, updated_at)``.
 
-    Rows that bring a vector of this width are left alone.
+    Rows that bring a vector of this width are left alone. With ``keep_errors`` texts that fail are not written.
 
     The written rows are changes by id for ``apply_by_id``.
     """
@@ -126,7 +126,7 @@ def stream_backfill(
             batch = batch.where(F.col(f"vector_{embed.dim}").isNull())
         vectors = embed_texts(batch.select(F.col("content").alias("text")), embed, cache)
         joined = attach_embedding(batch.select("id", "content"), "content", embed, vectors)
-        out = joined.select("id", F.col("vector").alias(f"vector_{embed.dim}"), "status", now.alias("updated_at"))
+        out = joined.where(F.col("status") != ERROR).select("id", F.col("vector").alias(f"vector_{embed.dim}"), "status", now.alias("updated_at"))
         out.write.mode("overwrite").parquet(_batch_path(path, batch_id))
 
     return _start(rows, write, checkpoint, available_now, **trigger)
