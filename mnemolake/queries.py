@@ -6,16 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import fixtures as fx
 from .functions.embedders import EmbeddingError, EmbedSpec, embedder_factory, register_embedder
-from .functions.scalars import cache_key, is_blank, percent
+from .functions.scalars import cache_key, is_blank, json_int, percent
 from .functions.text import TOKEN_PATTERN
 from .functions.vectors import check_width, norm, parse_vector
 from .operators import aggregates, embedding, filters, joins, knn, mutations, text_index
 from .operators.staging import scratch_path, stage
 from .plans import reports, search
-from .schemas import model_seed, settings_seed
+from .schemas import NO_RESULTS, model_seed, settings_seed
 from .sources import tables
 from .streaming import streams
 
@@ -240,11 +241,11 @@ def recent_per_target(spark, sf):
 
 
 @query(f"""WITH {fx.TEXT_SQL}, {fx.BENCHMARK_SQL}, {_hybrid_sql("bench", _SEARCHABLE)},
-results AS (
+results AS MATERIALIZED (
   SELECT p.qid, count(*) AS n, arg_min(p.id, position) AS first_id, arg_min(md5(m.content), position) AS first_md5
   FROM placed p JOIN memory m ON m.id = p.id WHERE position <= top_k GROUP BY p.qid)
 SELECT b.qid, r.n AS results, r.first_id, r.first_md5,
-  CASE WHEN r.n IS NULL THEN 'No matching memories found.' END AS message
+  CASE WHEN r.n IS NULL THEN '{NO_RESULTS}' END AS message
 FROM bench b LEFT JOIN results r ON r.qid = b.qid""")
 def json_responses(spark, sf):
     m = fx.memory(spark, sf)
@@ -743,6 +744,54 @@ def backfill_dry_run(spark, sf):
     return mutations.backfill(fx.memory(spark, sf), [HASHING], fx.now(), dry_run=True).stats
 
 
+@query(f"""WITH {fx.MEMORY_SQL}
+SELECT {_STATE}, {fingerprint_sql(f"vector_{DIM}", DIM)} AS mark, {fingerprint_sql(f"vector_{SMALL}", SMALL)} AS small_mark FROM memory""")
+def stored_scan(spark, sf):
+    """The newest of two written snapshots, read with its schema; the older one lacks the inactive rows."""
+    root, m = scratch_path(spark), fx.memory(spark, sf)
+    tables.write_snapshot(m.where("is_active"), root, 1)
+    tables.write_snapshot(m, root, 2)
+    return _state(tables.scan_memory(spark, tables.latest_snapshot(spark, root), fx.FIXTURE_DIMS, T.LongType()))
+
+
+def _settings(spark, sf) -> DataFrame:
+    """A written settings table with a row per customer, one of them the default width."""
+    path, first = scratch_path(spark), F.col("c_custkey") == 1
+    rows = fx.table(spark, sf, "customer").select(
+        F.when(first, "default_dim").otherwise(F.col("c_name")).alias("key"),
+        F.when(first, str(SMALL)).otherwise(F.col("c_mktsegment")).alias("value"),
+    )
+    rows.write.parquet(path)
+    return tables.scan_settings(spark, path)
+
+
+@query(f"""SELECT CASE c_custkey WHEN 1 THEN 'default_dim' ELSE c_name END AS key,
+  CASE c_custkey WHEN 1 THEN '{DIM}' ELSE c_mktsegment END AS value FROM customer""")
+def set_default_dim(spark, sf):
+    return mutations.set_default_dim(_settings(spark, sf), DIM, fx.FIXTURE_DIMS)[0]
+
+
+@query(f"SELECT max({SMALL}) FILTER (c_custkey = 1)::INTEGER AS default_dim FROM customer")
+def default_dim(spark, sf):
+    return embedding.default_dim(_settings(spark, sf), fx.FIXTURE_DIMS, DIM)
+
+
+@query("SELECT c_mktsegment AS value FROM customer WHERE c_name = 'Customer#000000007'")
+def read_setting(spark, sf):
+    return tables.read_setting(_settings(spark, sf), "Customer#000000007")
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN o_orderkey WHEN o_orderkey % 5 = 1 THEN -o_orderkey END::INTEGER AS number FROM orders""")
+def json_ints(spark, sf):
+    """Whole numbers; words, objects and nulls are none."""
+    k = F.col("o_orderkey")
+    text = (
+        F.when(k % 5 == 0, k.cast("string")).when(k % 5 == 1, (-k).cast("string")).when(k % 5 == 2, F.concat(F.lit("x"), k))
+        .when(k % 5 == 3, F.concat(F.lit('{"n":'), k, F.lit("}")))
+    )
+    return fx.table(spark, sf, "orders").select("o_orderkey", json_int(text).alias("number"))
+
+
 @query(f"""WITH {fx.REQUESTS_SQL}
 SELECT doc_id, CASE WHEN trim(text) = '' THEN 'blank' ELSE 'ok' END AS status, {DIM} AS width, true AS zero FROM requests""")
 def embed_noop(spark, sf):

@@ -27,6 +27,8 @@ MODEL_SEED = [
     (1536, "minimax", "embo-01", None, "MINIMAX_API_KEY"),
 ]
 SETTINGS_SEED = [("default_dim", "1024")]
+#: Fixed value: the message of a search without results.
+NO_RESULTS = "No matching memories found."
 DEFAULT_TARGET = "memory"
 DEFAULT_CONFIDENCE = 80
 MAX_TARGET_CHARS = 20

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import iso_timestamp
 from ..operators.filters import vector_state
-from ..schemas import CATEGORY_SCHEMA, DIMS, MODEL_SCHEMA, SETTING_SCHEMA, memory_schema, vector_dims
+from ..schemas import CATEGORY_SCHEMA, DIMS, MODEL_SCHEMA, NO_RESULTS, SETTING_SCHEMA, memory_schema, vector_dims
 
 _VERSION = "version="
 WIDEN_BYTES = 512 * 1024 * 1024
@@ -136,7 +136,7 @@ def to_json_responses(q: DataFrame, results: DataFrame, order: str, by: str = "q
     docs = F.array_sort(F.collect_list(entry), lambda a, b: a["_o"] - b["_o"])
     grouped = results.groupBy(by).agg(docs.alias("_docs"))
     body = F.when(
-        F.col("_docs").isNull(), F.lit('{"results":[],"message":"No matching memories found."}')
+        F.col("_docs").isNull(), F.lit(f'{{"results":[],"message":"{NO_RESULTS}"}}')
     ).otherwise(
         F.to_json(
             F.struct(F.transform("_docs", lambda x: x["d"]).alias("results"), F.size("_docs").alias("count")),

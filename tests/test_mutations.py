@@ -135,6 +135,31 @@ def test_backfill_tells_failures_apart(memory, now):
     assert table(done.memory)[6].vector_4 == [0.0] * 4 and done.fresh[4].count() == 0
 
 
+def test_backfill_leaves_rows_that_fail(memory, now):
+    """One pending text fails and one gets a vector that is too short; with a zero vector's row the others go on."""
+    bad = memory.where("id = 6").first().content
+
+    def factory(dim, model):
+        def embed(texts):
+            if bad in texts:
+                raise RuntimeError("down")
+            return [[1.0] * (3 if len(t) % 2 else dim) for t in texts]
+
+        return embed
+
+    register_embedder("partly down", factory)
+    done = M.backfill(memory, [EmbedSpec(4, "partly down", dims=DIMS, keep_errors=True)], now)
+    row, before, after = done.stats.first(), table(memory), table(done.memory)
+    due = {r.id for r in M.pending(memory, 4).collect()}
+    failed = {i for i in due if before[i].content == bad or len(before[i].content) % 2}
+    assert 6 in failed and (row.total, row.embedded, row.errors, row.zero_fallbacks) == (len(due), len(due) - len(failed), len(failed), 0)
+    for i in before:
+        if i in due - failed:
+            assert after[i].vector_4 == [1.0] * 4 and str(after[i].updated_at) == "2024-06-01 00:00:00"
+        else:
+            assert after[i] == before[i]
+
+
 EVENTS = [
     # event, id, op, content, second
     (1, 1, "update", "early", 0), (2, 1, "add", "a", 1), (3, 1, "add", "again", 2), (4, 1, "update", "b", 3),

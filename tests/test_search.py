@@ -9,6 +9,7 @@ from mnemolake.functions.stemmer import stem
 from mnemolake.functions.text import stop_words
 from mnemolake.operators.text_index import build_postings
 from mnemolake.plans import search
+from mnemolake.schemas import NO_RESULTS
 from mnemolake.sources.tables import to_json_responses
 
 DIMS4 = {"dim": 4}
@@ -148,7 +149,7 @@ def test_context_blocks(spark, memory):
 def test_json_responses(queries, memory):
     hits = search.hybrid_search(queries.where("qid in (1, 3, 4)"), memory, build_postings(memory), 4)
     got = {r.qid: json.loads(r.response) for r in to_json_responses(queries.where("qid in (1, 3, 4)"), hits, "position").collect()}
-    assert got[4] == {"results": [], "message": "No matching memories found."}
+    assert got[4] == {"results": [], "message": NO_RESULTS}
     assert got[3]["count"] == len(got[3]["results"]) == 2
     first = got[3]["results"][0]
     assert set(first) == {"id", "target", "content", "created_at", "tags", "metadata", "text_rank", "vector_sim", "rank"}
