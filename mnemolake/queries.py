@@ -224,6 +224,17 @@ def context_blocks(spark, sf):
     return search.context_blocks(fx.benchmark_queries(spark, sf), m, text_index.build_postings(m), DIM, min_len=5, max_len=500, width=200)
 
 
+_WHOLE_LINES = _LINES.replace("[1:200]", "")
+
+
+@query(f"""WITH {fx.TEXT_SQL}, {fx.BENCHMARK_SQL}, {_hybrid_sql("bench", _SEARCHABLE, "5")}
+SELECT p.qid, '## Memory Context' || chr(10) || string_agg({_WHOLE_LINES}, chr(10) ORDER BY p.position) AS context
+FROM placed p JOIN memory m ON m.id = p.id WHERE position <= top_k GROUP BY p.qid""")
+def context_blocks_whole(spark, sf):
+    m = fx.memory(spark, sf)
+    return search.context_blocks(fx.benchmark_queries(spark, sf), m, text_index.build_postings(m), DIM)
+
+
 @query(f"""WITH {fx.MEMORY_SQL}
 SELECT id, target, md5(content) AS content_md5, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created
 FROM memory WHERE is_active ORDER BY created_at DESC NULLS FIRST, id LIMIT 500""")
@@ -533,6 +544,16 @@ def query_gate(spark, sf):
     return gated.select("qid", F.length("query_text").cast("long").alias("chars"), F.md5("query_text").alias("text_md5"))
 
 
+@query(r"""WITH c AS (SELECT conv_id || '-' || turn AS qid, regexp_replace(text, '^\s+|\s+$', '', 'g') AS t FROM conversations)
+SELECT qid, length(t) AS chars, md5(t) AS text_md5 FROM c WHERE length(t) >= 1""")
+def query_gate_whole(spark, sf):
+    q = fx.table(spark, sf, "conversations").select(
+        F.format_string("%d-%d", "conv_id", "turn").alias("qid"), F.col("text").alias("query_text")
+    )
+    gated = filters.gate_queries(q, max_len=None)
+    return gated.select("qid", F.length("query_text").cast("long").alias("chars"), F.md5("query_text").alias("text_md5"))
+
+
 @query(f"""WITH {fx.REQUESTS_SQL}, s AS (
   SELECT doc_id AS id, text AS content, CASE WHEN doc_id % 13 = 0 THEN source || '-a-target-name-too-long' ELSE 'user' END AS target
   FROM requests JOIN documents USING (doc_id, text) UNION ALL

@@ -37,5 +37,12 @@ def test_query(name, spark, con):
     assert not (normal(got) != normal(want)).any(axis=None)
 
 
+def test_whole_texts(spark):
+    whole = entry.queries()["query_gate_whole"](spark, SF)
+    assert whole.where("chars > 500").count() > 0 and whole.count() >= entry.queries()["query_gate"](spark, SF).count()
+    lines = entry.queries()["context_blocks_whole"](spark, SF).collect()
+    assert max(len(line) for r in lines for line in r.context.split("\n")) > 260
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
