@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
@@ -56,6 +58,19 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(F.concat(*parts), lambda x: ~x.endswith(":"))))
 
 
+def tested_tokens(rules: Sequence[tuple[str, str, str]]) -> tuple[list[str], list[str]]:
+    """Tokens that repeat what the rules test, and beginnings of such tokens where a rule's path ends within a segment."""
+    exact, begun = set(), set()
+    letters = lambda x: re.sub("[0-9]+", "0", x.lower())
+    for _, host, path in rules:
+        labels = host.translate(str.maketrans(_UPPER, _LOWER)).split(".")
+        exact |= {f"tld:{labels[-1]}", *[f"host:{x}" for x in labels], *[f"name:{letters(x)}" for label in labels for x in label.split("-")]}
+        *whole, last = path.split("/")
+        exact |= {f"path:{letters(x)}" for x in whole}
+        begun |= {f"path:{letters(last)}"} if last else set()
+    return sorted(t for t in exact if not t.endswith(":")), sorted(begun)
+
+
 def mine_rules(labelled: DataFrame, support: float, confidence: float, label: str = "block") -> DataFrame:
     """``tokens, confidence, driver``: token combinations that speak for ``label``, mined from ``labelled (tokens, verdict)``.
 
@@ -81,7 +96,9 @@ def judge_urls(
 
     The given rules decide where one fits, the longest first. Their verdicts are also the labels: URLs with one are
     the transactions from which FP-growth mines token combinations that speak for blocking. The rest is blocked if
-    it holds all tokens of a mined rule (the highest confidence is reported), and allowed otherwise.
+    it holds all tokens of a mined rule (the highest confidence is reported), and allowed otherwise. Tokens that a
+    given rule tests itself (host labels, their words, path segments) are left out of the mined combinations: they
+    explain the label by its own definition, and would block every page of a domain that has no allowed label.
 
     Matching goes by an inverted index from each rule's rarest token, over distinct token sets, so a host or URL
     that fills a third of the table costs one row there; its pages meet the verdict in a broadcast join where the
@@ -92,7 +109,9 @@ def judge_urls(
     host, path = host_and_path(named(url_col))
     parts = pages.select(named(id_col).cast("long").alias("page_id"), named(url_col).alias("_url"), host.alias("host"), path.alias("path"))
     rule, verdict = longest_rule(F.col("host"), F.col("path"), rules)
-    tokens = url_tokens(F.col("_url"), F.col("host"), F.col("path"))
+    exact, begun = tested_tokens(rules)
+    tested = lambda x: reduce(Column.__or__, [x.startswith(b) for b in begun], x.isin(exact))
+    tokens = F.filter(url_tokens(F.col("_url"), F.col("host"), F.col("path")), lambda x: ~tested(x))
     known = parts.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("verdict"), tokens.alias("tokens"))
     kind = F.array_join("tokens", " ").alias("kind")
     mined = mine_rules(known, support, confidence).withColumnRenamed("tokens", "_rule_tokens")

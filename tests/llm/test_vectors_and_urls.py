@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from mnemolake.llm.pivot_search import top_products
-from mnemolake.llm.url_rules import host_and_path, judge_urls, longest_rule, mine_rules
+from mnemolake.llm.url_rules import host_and_path, judge_urls, longest_rule, mine_rules, tested_tokens
 
 from . import brute
 
@@ -79,6 +79,18 @@ def test_mined_rules(spark):
     assert got == pytest.approx(want) and ("t1", "t2") in got
 
 
+def test_mined_rules_do_not_repeat_the_given_ones(spark):
+    urls = [f"http://h{k}.net/{p}/x" for k in range(20) for p in ("es", "fr", "en", "de")]
+    urls += [f"http://h{k}.com/de/y" for k in range(20)] + [f"http://h{k}.example.com/en/y" for k in range(20)] + [f"http://h{k}.org/en/y" for k in range(20)]
+    urls += [f"http://h{k}.net/{p}/spam" for k in range(20) for p in ("es", "it")]
+    out = judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"))
+    got = Counter((r.host.split(".")[-1], r.path.split("/")[1], r.path.split("/")[2], r.verdict) for r in out.where("rule is null").collect())
+    assert got == Counter({("net", "en", "x", "block"): 20, ("net", "de", "x", "block"): 20, ("org", "en", "y", "allow"): 20, ("net", "it", "spam", "block"): 20})
+    clean = judge_urls(spark.createDataFrame([(k, u.removesuffix("/x")) for k, u in enumerate(urls) if "spam" not in u], "page_id long, url string"))
+    assert clean.where("rule is null and verdict = 'block'").count() == 0
+    assert tested_tokens([("block", "A-b.net", "/es/f")]) == (["host:a-b", "host:net", "name:a", "name:b", "name:net", "path:es", "tld:net"], ["path:f"])
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not there")
 def test_pipeline_by_hand(spark):
     import corpus_pipeline as cp
