@@ -2,6 +2,7 @@
 
 import math
 import re
+import warnings
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -75,7 +76,12 @@ class Lexicon:
                     spared.append((start, end))
                 elif w > best.get(start, 0.0):
                     best[start] = w
-        total = sum(w for s, w in best.items() if not any(b <= s < e for b, e in spared))
+        total, reach, k = 0.0, 0, 0
+        spared.sort()
+        for s in sorted(best):
+            while k < len(spared) and spared[k][0] <= s:
+                reach, k = max(reach, spared[k][1]), k + 1
+            total += best[s] if s >= reach else 0.0
         return math.log1p(total), math.log1p(100 * total / max(words, 1)), math.log1p(words)
 
     def score(self, a, text: str) -> float:
@@ -86,9 +92,8 @@ class Lexicon:
 def _terms(folded: str, prefixes: tuple[int, int]) -> set[str]:
     found = set()
     for w in set(folded.split()):
-        if len(w) <= 40:
-            found.add(f" {w} ")
-            found.update(f" {w[:k]}" for k in range(prefixes[0], min(prefixes[1], len(w)) + 1))
+        found.add(f" {w} ")
+        found.update(f" {w[:k]}" for k in range(prefixes[0], min(prefixes[1], len(w)) + 1))
     return found
 
 
@@ -138,7 +143,8 @@ def train_lexicon(
     Labels of documents whose crc32 of the id is divisible by ``folds`` are never read. At most ``sample``
     labelled rows are used, those with the smallest hash of the id, so that the labels sent to the tasks have a
     bound. Terms are words and word beginnings of ``prefixes`` letters, counted in Spark; the lexicon holds at most
-    ``terms`` of those that speak for toxicity most clearly. Null labels and ids are left out; without labels of
+    ``terms`` of those that speak for toxicity most clearly, and a warning says where there were more. All exception
+    phrases that pass the count test are kept; the sample bounds them. Null labels and ids are left out; without labels of
     both kinds the lexicon is empty and scores are 0.12 for every text.
     """
     spark_crc = F.crc32(named(id_col).cast("string").cast("binary"))
@@ -157,7 +163,10 @@ def train_lexicon(
     error = F.sqrt(1 / (F.col("pos") + 0.5) + 1 / (F.col("neg") + 0.5))
     scored = _counted(train, lambda: lambda t: _terms(t, prefixes)).where(F.col("pos") >= least)
     scored = scored.select("term", "pos", "neg", weight.alias("w"), (weight / error).alias("z"))
-    best = scored.where((F.col("w") >= 1.5) & (F.col("z") >= 2.7)).orderBy(F.desc("z"), "term").limit(terms).collect()
+    best = scored.where((F.col("w") >= 1.5) & (F.col("z") >= 2.7)).orderBy(F.desc("z"), "term").limit(terms + 1).collect()
+    if len(best) > terms:
+        warnings.warn(f"more than {terms} terms speak for toxicity; the clearest {terms} are used", stacklevel=2)
+        best = best[:terms]
     weights: dict[str, float] = {}
     share: dict[str, float] = {}
     for r in sorted(best, key=lambda r: (len(r["term"]), r["term"])):
@@ -196,7 +205,7 @@ def _exceptions(train: DataFrame, lexicon: Lexicon, least: int) -> list[str]:
         return phrases
 
     found = _counted(train, made).where((F.col("pos") == 0) & (F.col("neg") >= 3 * least))
-    return sorted(r["term"] for r in found.orderBy(F.desc("neg"), "term").limit(1_000).collect())
+    return sorted(r["term"] for r in found.collect())
 
 
 def toxicity_score(column, lexicon: Lexicon):

@@ -190,6 +190,18 @@ def test_toxicity(spark, hard, nothing):
     assert hard.where(toxicity_score(F.col("text"), lexicon) < 2).columns == hard.columns
 
 
+def test_all_exception_phrases(spark):
+    words = [f"w{chr(97 + k // 676)}{chr(97 + k // 26 % 26)}{chr(97 + k % 26)}" for k in range(600)]
+    rows = [(k, f"you idiot {'z' * 50}" if k % 2 else "kind talk", k % 2) for k in range(400)]
+    rows += [(400 + k, " ".join(f"idiot {w}" for w in words), 0) for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    with pytest.warns(UserWarning, match="more than 3 terms"):
+        train_lexicon(docs.drop("toxic"), docs.select("doc_id", "toxic"), terms=3)
+    lexicon = train_lexicon(docs.drop("toxic"), docs.select("doc_id", "toxic"))
+    assert f" {'z' * 50} " in lexicon.weights or " zzzz" in lexicon.weights
+    assert {f" idiot {w} " for w in words} | {f" {w} idiot " for w in words[:-1]} <= set(lexicon.exceptions)
+
+
 @needs_tables
 def test_toxicity_on_held_out_labels(spark):
     docs, labels = spark.read.parquet(f"{SF[:-7]}sf0.01/documents.parquet"), spark.read.parquet(f"{SF[:-7]}sf0.01/labels.parquet")
