@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mnemolake.llm.common import id_text, named, texts
+from mnemolake.llm.common import id_text, named, stage, texts
 
 #: Letters of other scripts that look like Latin ones, and the letters they stand for.
 HOMOGLYPHS = str.maketrans(
@@ -120,13 +120,14 @@ def _counted(train: DataFrame, made, flush: int = 200_000) -> DataFrame:
     return train.select("text", "toxic").mapInArrow(count, "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:
+    """Coefficients for rows ``x`` that stand for ``n`` texts each, ``y`` of them toxic."""
     x = np.column_stack([np.ones(len(x)), x])
     b = np.zeros(x.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
-        g = x.T @ (y - p) - ridge * b
-        h = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(b))
+        g = x.T @ (y - n * p) - ridge * b
+        h = (x * (n * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(b))
         d = np.linalg.solve(h, g)
         b += d
         if np.abs(d).max() < 1e-8:
@@ -141,8 +142,8 @@ def train_lexicon(
     """Learn terms, weights, exception phrases and the score's scale from labelled documents.
 
     Labels of documents whose crc32 of the id is divisible by ``folds`` are never read. At most ``sample``
-    labelled rows are used, those with the smallest hash of the id, so that the labels sent to the tasks have a
-    bound. Terms are words and word beginnings of ``prefixes`` letters, counted in Spark; the lexicon holds at most
+    labels are used, those with the smallest hash of the id, so that the labels sent to the tasks have a bound; of
+    their documents, rows equal in id and text count once, and labels without a document count nothing. Terms are words and word beginnings of ``prefixes`` letters, counted in Spark; the lexicon holds at most
     ``terms`` of those that speak for toxicity most clearly, and a warning says where there were more. All exception
     phrases that pass the count test are kept; the sample bounds them. Null labels and ids are left out; without labels of
     both kinds the lexicon is empty and scores are 0.12 for every text.
@@ -153,9 +154,10 @@ def train_lexicon(
         .groupBy(named(id_col).cast("long").alias("doc_id")).agg(F.max(named(label_col).cast("int")).alias("toxic"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     )
-    train = id_text(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id")
-    sizes = {r["toxic"]: r["n"] for r in chosen.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n_pos, n_neg = sizes.get(1, 0), sizes.get(0, 0)
+    rows = id_text(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").distinct()
+    staged = stage(rows, n_pos=F.coalesce(F.sum("toxic"), F.lit(0)))
+    train, n_pos = staged.df, staged.seen["n_pos"]
+    n_neg = staged.rows - n_pos
     if not n_pos or not n_neg:
         return Lexicon({})
     rate_pos, rate_neg = (F.col("pos") + 0.5) / (n_pos + 1), (F.col("neg") + 0.5) / (n_neg + 1)
@@ -184,9 +186,10 @@ def train_lexicon(
             columns = np.array(rows, np.float64).reshape(-1, 3).T
             yield pa.RecordBatch.from_arrays([*map(pa.array, columns), batch.column(1)], names=["a", "b", "c", "toxic"])
 
-    rows = train.select("text", "toxic").mapInArrow(measure, "a double, b double, c double, toxic int").toPandas()
-    rows = rows.sort_values(list(rows.columns))
-    fitted = _logistic(rows[["a", "b", "c"]].to_numpy(), rows["toxic"].to_numpy(float))
+    measured = train.select("text", "toxic").mapInArrow(measure, "a double, b double, c double, toxic int")
+    sums = measured.groupBy("a", "b", "c").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("pos")).toPandas()
+    sums = sums.sort_values(list(sums.columns))
+    fitted = _logistic(sums[["a", "b", "c"]].to_numpy(), sums["pos"].to_numpy(float), sums["n"].to_numpy(float))
     lexicon.scale = tuple(float(b) for b in fitted)
     return lexicon
 

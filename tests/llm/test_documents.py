@@ -202,6 +202,18 @@ def test_all_exception_phrases(spark):
     assert {f" idiot {w} " for w in words} | {f" {w} idiot " for w in words[:-1]} <= set(lexicon.exceptions)
 
 
+def test_repeated_training_rows(spark):
+    rows = [(k, ("you idiot " if k % 3 == 0 else "kind words ") + f"{chr(97 + k % 26)}word", 1 if k % 3 == 0 else 0) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    labels, one = docs.select("doc_id", "toxic"), docs.where("doc_id = 3")
+    want = train_lexicon(docs, labels)
+    for _ in range(8):
+        one = one.unionByName(one)
+    absent = spark.range(1000, 1500).select(F.col("id").alias("doc_id"), F.lit(1).alias("toxic"))
+    got = train_lexicon(docs.unionByName(one), labels.unionByName(absent))
+    assert got.weights == want.weights and got.exceptions == want.exceptions and got.scale == pytest.approx(want.scale)
+
+
 @needs_tables
 def test_toxicity_on_held_out_labels(spark):
     docs, labels = spark.read.parquet(f"{SF[:-7]}sf0.01/documents.parquet"), spark.read.parquet(f"{SF[:-7]}sf0.01/labels.parquet")
