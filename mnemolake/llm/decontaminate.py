@@ -22,20 +22,22 @@ class Windows:
     are grouped by length; a window of one or two words is its own shingle.
     """
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int, shingle: int = 3):
+    def __init__(self, items: list[tuple[str | None, bytes]], window: int, shingle: int = 3):
         words = [(item, ascii_words(text)) for item, text in items]
         self.vocabulary = {w: k for k, w in enumerate(sorted({w for _, ws in words for w in ws}), 1)}
         self.base = len(self.vocabulary) + 1
         if self.base >= 1 << 21:
             raise ValueError("a block's vocabulary must stay below 2**21 words")
-        self.items = sorted({item for item, ws in words if ws})
+        self.items = sorted({item for item, ws in words if ws and item is not None})
         number = {item: k for k, item in enumerate(self.items)}
         found: dict[int, dict[tuple, set]] = {}
         for item, ws in words:
             ids = [self.vocabulary[w] for w in ws]
             size = min(window, len(ids))
             for s in range(len(ids) - size + 1 if size else 0):
-                found.setdefault(size, {}).setdefault(tuple(ids[s : s + size]), set()).add(number[item])
+                owners = found.setdefault(size, {}).setdefault(tuple(ids[s : s + size]), set())
+                if item is not None:
+                    owners.add(number[item])
         self.groups = []
         for size, owners in sorted(found.items()):
             rows = np.array(list(owners), np.int64).reshape(-1, size)
@@ -116,9 +118,9 @@ def _verdict(n_words: int, starts: list[int], ends: list[int], items: list[str])
     return n_words, hit, len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), hit > 0
 
 
-def benchmark_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[str, bytes]]]:
-    """Items as text in blocks of about ``block_bytes``, one block at a time on the driver."""
-    rows = benchmark.where(named(id_col).isNotNull()).select(named(id_col).cast("string").alias("i"), named(text_col).cast("string").alias("t"))
+def benchmark_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[str | None, bytes]]]:
+    """Distinct items as text in blocks of about ``block_bytes``, one block at a time on the driver."""
+    rows = benchmark.select(named(id_col).cast("string").alias("i"), named(text_col).cast("string").alias("t")).distinct()
     total = rows.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0)).alias("n")).first()["n"]
     n = -(-total // block_bytes)
     for k in range(n):
@@ -126,7 +128,7 @@ def benchmark_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_byt
         yield [(r["i"], (r["t"] or "").encode()) for r in block.toLocalIterator()]
 
 
-def _prepared(docs: DataFrame, items: list[tuple[str, bytes]], window: int) -> Windows:
+def _prepared(docs: DataFrame, items: list[tuple[str | None, bytes]], window: int) -> Windows:
     """Windows of a block with prefixes chosen by the shingles' counts over all documents."""
     windows = Windows(items, window)
     shared = Shared(docs.sparkSession, windows)
@@ -169,7 +171,7 @@ def decontaminate(
     to all tasks; documents are never shuffled (with several blocks only ranges of hits are).
 
     One row per document: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated``. Null texts have no words.
-    Items without an id or words are left out. Repeated documents get a row each. Equal item ids count once.
+    Items without words are left out; those without an id count in ``n_hit`` and ``contaminated`` only. Repeated documents get a row each. Equal item ids count once.
     """
     rows = id_text(docs, id_col, text_col)
     shared = []

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from mnemolake.llm import pii
 from mnemolake.llm.components import connected_components
-from mnemolake.llm.decontaminate import clean_documents, decontaminate
+from mnemolake.llm.decontaminate import benchmark_blocks, clean_documents, decontaminate
 from mnemolake.llm.licenses import scan_licenses
 from mnemolake.llm.resample import kth_largest, resample
 from mnemolake.llm.simhash import fingerprint, fingerprint_links, near_duplicates, one_per_group
@@ -71,6 +71,17 @@ def test_decontaminate(hard, items, block_bytes):
     assert Counter(r.doc_id for r in kept.collect()) == Counter(d for (d, *_, hit), n in want.items() for _ in range(n) if not hit)
 
 
+@pytest.mark.parametrize("block_bytes", [4 << 20, 8])
+def test_items_without_id(spark, block_bytes):
+    docs = spark.createDataFrame([(1, "aa a nameless passage bb"), (2, "a named passage"), (3, "clean")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "a nameless passage"), (7, "a named passage"), (7, "a named passage")], "item_id long, text string")
+    got = {r.doc_id: r for r in decontaminate(docs, items, block_bytes=block_bytes).collect()}
+    assert [(got[k].n_hit, got[k].n_items, got[k].contaminated) for k in (1, 2, 3)] == [(3, 0, True), (3, 1, True), (0, 0, False)]
+    assert got[1].items_sha256 == hashlib.sha256(b"").hexdigest()
+    assert [r.doc_id for r in clean_documents(docs, items, block_bytes=block_bytes).collect()] == [3]
+    assert sorted(len(b) for b in benchmark_blocks(items, "item_id", "text", 4 << 20)) == [2]
+
+
 def test_decontaminate_without_items(hard, items, nothing):
     assert decontaminate(hard, items.limit(0)).where("n_hit > 0 or n_items > 0").count() == 0
     assert decontaminate(nothing, items).count() == 0
