@@ -64,7 +64,7 @@ def scan_licenses(
     diagonal with a vote of every gram is a verbatim place of the template. Diagonals at most ``gap`` apart are
     merged (words added or left out), and a merged span counts if ``coverage`` of the template's grams voted.
 
-    Only hits and one line per document are shuffled, once; templates are a fixed table of the code and broadcast.
+    Only hits and one line per document are shuffled, those of equal rows added up per task before; templates are a fixed table of the code and broadcast.
     One row per document: ``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score``; the
     score is the largest coverage of any span. Null and empty texts have no words and score 0. Repeated rows get a
     row each. Windows go over one document's hits of one template.
@@ -89,10 +89,10 @@ def scan_licenses(
     votes = met.select(
         *key, "n_words", "_template", "_label", "_base", "_grams", (F.col("pos") - 1 - F.col("_at")).alias("_diagonal"),
         F.expr("shiftleft(1L, _at)").alias("_vote"), (F.col("pos") == 0).alias("_line"),
-    ).repartition(*key)
+    )
     diagonals = votes.groupBy(*key, "_template", "_label", "_base", "_grams", "_diagonal").agg(
         F.bit_or("_vote").alias("_mask"), F.max("n_words").alias("n_words"), F.count_if("_line").alias("_rows")
-    )
+    ).repartition(*key)  # equal rows' hits are one by now
     whole = F.bit_count("_mask") == F.col("_grams")
     by = Window.partitionBy(*key, "_template").orderBy("_diagonal")
     apart = F.coalesce(F.col("_diagonal") - F.lag("_diagonal").over(by) > gap, F.lit(True))

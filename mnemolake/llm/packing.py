@@ -80,8 +80,8 @@ def pack(
     """First-fit decreasing of all pieces, in randomised groups of about ``group_pieces`` each.
 
     Texts are tokenised once, where they lie; only narrow piece rows are staged and shuffled. A piece's group is a
-    hash of document and start, so neither one very long document nor equal ids fill a group, and the number of
-    groups follows the number of pieces. Each group packs on its own. A tokenising worker keeps twice ``known_words``
+    hash of its place among the staged rows, so neither one very long document nor equal rows fill a group, and the
+    number of groups follows the number of pieces. Each group packs on its own. A tokenising worker keeps twice ``known_words``
     words at most, some 200 bytes each.
 
     One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``. Null and empty texts
@@ -89,16 +89,17 @@ def pack(
     """
     if capacity < 1 or group_pieces < 1:
         raise ValueError("capacity and group_pieces must be positive")
-    pieces = stage(cut_documents(docs, capacity, vocabulary, end_id, known_words, id_col, text_col))
+    cut = cut_documents(docs, capacity, vocabulary, end_id, known_words, id_col, text_col)
+    pieces = stage(cut.withColumn("_row", F.monotonically_increasing_id()))
     groups = max(1, -(-pieces.rows // group_pieces))
-    group = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", F.lit(seed)), F.lit(groups))
+    group = F.pmod(F.xxhash64("_row", F.lit(seed)), F.lit(groups))
 
     def fill(table: pa.Table) -> pa.Table:
         table = table.sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending")])
         number = table.column("_group")[0].as_py()
         bins, offsets = first_fit_decreasing(table.column("length").to_pylist(), capacity)
         ids = pa.array(np.asarray(bins, np.int64) + (number << 32))
-        table = table.drop_columns(["_group"])
+        table = table.drop_columns(["_group", "_row"])
         return table.append_column("sequence_id", ids).append_column("offset", pa.array(offsets, pa.int64()))
 
     return pieces.df.withColumn("_group", group).groupBy("_group").applyInArrow(fill, PACKED)

@@ -4,6 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from mnemolake.llm.binary_ids import STRIDE, decode_stride, decode_words, encode_block, read_ids, write_ids
+from mnemolake.llm.licenses import scan_licenses
 from mnemolake.llm.packing import first_fit_decreasing, pack
 from mnemolake.llm.token_ids import Encoder
 from mnemolake.operators.staging import scratch_path
@@ -72,6 +73,16 @@ def test_pack(hard):
     assert check_packed(rows, hard.collect(), 64) < 0.05
 
 
+def test_equal_rows_are_spread(spark):
+    docs = spark.range(400).selectExpr("cast(null as long) AS doc_id", "'cc by' AS text").repartition(4)
+    rows = pack(docs, capacity=64, group_pieces=50).collect()
+    assert len(rows) == 400 and len({r.sequence_id >> 32 for r in rows}) == 8
+    plan = scan_licenses(docs)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    first = max(k for k, line in enumerate(plan) if "RepartitionByExpression" in line)
+    assert any("Aggregate" in line and "bit_or" in line for line in plan[first:])
+    assert scan_licenses(docs).count() == 400
+
+
 def test_pack_empty(nothing):
     assert pack(nothing).count() == 0
 
