@@ -125,16 +125,23 @@ def hybrid_search(
     categories: DataFrame | None = None,
     skip_zero: bool = False,
     fields: list[str] | None = None,
+    window: int | str | None = "reference",
     **options,
 ) -> DataFrame:
     """Text match and rank first, exact cosine over the best candidates second, blended top_k last.
 
+    ``window`` is how many matches of a query, best text rank first, get a vector score: the reference's four times
+    top_k, at least 40, by default; a number; or None for all, so that only the blended rank decides.
     Vectors are read for candidates only, and content, tags and metadata for results only. A zero
     vector has no similarity: it gives NaN, which ranks first, unless ``skip_zero`` is set.
     """
     vector_column(dim, vector_dims(m))
     batch = q if isinstance(q, Batch) else prepare_queries(q, categories, **options)
-    candidates = stage(text_search(batch, m, postings, dim, skip_zero=skip_zero))
+    if window is None:
+        found = _candidates(batch, m, postings, dim, skip_zero).select("qid", "id", "text_rank")
+    else:
+        found = text_search(batch, m, postings, dim, None if window == "reference" else window, skip_zero)
+    candidates = stage(found)
     per_query = batch.queries.df.select("qid", "query_vector", "top_k", "text_weight")
     scored = attach_vectors(candidates, m, dim).join(per_query, "qid")
     scored = scored.withColumn("vector_sim", cosine(F.col("vector"), F.col("query_vector"))).drop("vector", "query_vector")

@@ -161,3 +161,12 @@ def test_verification_search_orders_by_similarity(queries, memory):
     batch = search.prepare_queries(queries.where("qid = 1"))
     got = [(r.position, r.id) for r in search.verification_search(batch, memory, build_postings(memory), 4, 2).collect()]
     assert sorted(got) == [(1, 4), (2, 1)]
+
+
+def test_window(spark, memory):
+    from mnemolake.operators.text_index import build_postings
+    from mnemolake.plans.search import hybrid_search
+
+    q = spark.createDataFrame([("a", "quick", [0.0, 1.0, 0.0, 0.0])], "qid string, query_text string, query_vector array<float>")
+    found = {w: hybrid_search(q, memory, build_postings(memory), 4, fields=[], window=w).count() for w in (1, None)}
+    assert found == {1: 1, None: 4}
