@@ -3,15 +3,22 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mnemolake.operators.staging import Staged, stage
 
-__all__ = ["Shared", "Staged", "ascii_words", "byte_texts", "id_text", "named", "read", "space_words", "stage", "texts", "tokenizer_path"]
+__all__ = [
+    "Shared", "Staged", "ascii_words", "byte_texts", "id_text", "named", "parts", "read", "space_words", "stage", "text_parts", "texts",
+    "tokenizer_path",
+]
+#: Bytes of text that a task turns into Python values at a time; a longer text is a part of its own.
+PART_BYTES = 1 << 20
 
 #: Bytes that are no word characters become blanks, A-Z become a-z; bytes of 0x80 and above stay.
 _WORD_TABLE = bytes(
@@ -62,6 +69,26 @@ def byte_texts(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
+def parts(column: pa.Array, size: int = PART_BYTES) -> Iterator[tuple[int, int]]:
+    """First row and number of rows of each part of a text column, about ``size`` bytes each."""
+    lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    lo = total = 0
+    for k, n in enumerate(lengths.tolist()):
+        if k > lo and total + n > size:
+            yield lo, k - lo
+            lo, total = k, 0
+        total += n
+    if lo < len(lengths):
+        yield lo, len(lengths) - lo
+
+
+def text_parts(batch: pa.RecordBatch, text: int, size: int = PART_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Slices of a batch with the texts of column number ``text``, about ``size`` bytes each."""
+    for lo, n in parts(batch.column(text), size):
+        part = batch.slice(lo, n)
+        yield part, texts(part.column(text))
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     """Place of a public vocabulary file on this machine; looked up again on each executor."""
     if os.sep in name:

@@ -10,6 +10,7 @@ from mnemolake.llm.common import read
 from mnemolake.llm.decontaminate import decontaminate
 from mnemolake.llm.licenses import TEMPLATES, scan_licenses
 from mnemolake.llm.packing import pack
+from mnemolake.llm.pieces import decode_pieces, encode_pieces
 from mnemolake.llm.pii import personal_data, span_digest
 from mnemolake.llm.pivot_search import top_products
 from mnemolake.llm.resample import resample
@@ -63,11 +64,21 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(read(spark, sf_dir, "pages")).drop("confidence")
 
 
+def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids, text = F.col("ids"), decode_pieces(F.col("ids"))
+    return encode_pieces(read(spark, sf_dir, "documents")).select(
+        "doc_id",
+        (F.octet_length(ids) / 4).cast("long").alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2(text.cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_pack, op2_pii, op3_licenses, op4_resample, op5_decontaminate, op6_token_files, op7_toxicity, op8_top_products,
-        op9_simhash, op10_urls,
+        op9_simhash, op10_urls, op11_pieces,
     )
 }
 
