@@ -58,7 +58,7 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(F.concat(*parts), lambda x: ~x.endswith(":"))))
 
 
-def tested_tokens(rules: Sequence[tuple[str, str, str]]) -> tuple[list[str], list[str]]:
+def rule_tokens(rules: Sequence[tuple[str, str, str]]) -> tuple[list[str], list[str]]:
     """Tokens that repeat what the rules test, and beginnings of such tokens where a rule's path ends within a segment."""
     exact, begun = set(), set()
     letters = lambda x: re.sub("[0-9]+", "0", x.lower())
@@ -109,7 +109,7 @@ def judge_urls(
     host, path = host_and_path(named(url_col))
     parts = pages.select(named(id_col).cast("long").alias("page_id"), named(url_col).alias("_url"), host.alias("host"), path.alias("path"))
     rule, verdict = longest_rule(F.col("host"), F.col("path"), rules)
-    exact, begun = tested_tokens(rules)
+    exact, begun = rule_tokens(rules)
     tested = lambda x: reduce(Column.__or__, [x.startswith(b) for b in begun], x.isin(exact))
     tokens = F.filter(url_tokens(F.col("_url"), F.col("host"), F.col("path")), lambda x: ~tested(x))
     known = parts.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("verdict"), tokens.alias("tokens"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from mnemolake.llm.pivot_search import top_products
-from mnemolake.llm.url_rules import host_and_path, judge_urls, longest_rule, mine_rules, tested_tokens
+from mnemolake.llm.url_rules import host_and_path, judge_urls, longest_rule, mine_rules, rule_tokens
 
 from . import brute
 
@@ -88,7 +88,7 @@ def test_mined_rules_do_not_repeat_the_given_ones(spark):
     assert got == Counter({("net", "en", "x", "block"): 20, ("net", "de", "x", "block"): 20, ("org", "en", "y", "allow"): 20, ("net", "it", "spam", "block"): 20})
     clean = judge_urls(spark.createDataFrame([(k, u.removesuffix("/x")) for k, u in enumerate(urls) if "spam" not in u], "page_id long, url string"))
     assert clean.where("rule is null and verdict = 'block'").count() == 0
-    assert tested_tokens([("block", "A-b.net", "/es/f")]) == (["host:a-b", "host:net", "name:a", "name:b", "name:net", "path:es", "tld:net"], ["path:f"])
+    assert rule_tokens([("block", "A-b.net", "/es/f")]) == (["host:a-b", "host:net", "name:a", "name:b", "name:net", "path:es", "tld:net"], ["path:f"])
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not there")
@@ -115,4 +115,4 @@ def test_pipeline_by_hand(spark):
 
 def test_registered():
     names = [q for q in entry.queries() if q.startswith("op") or q == "pipeline"]
-    assert len(names) == 11
+    assert len(names) == 14
