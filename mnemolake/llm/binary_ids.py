@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from mnemolake.llm.common import id_text, texts
+from mnemolake.llm.common import id_text, text_parts
 from mnemolake.llm.token_ids import encoder
 
 #: Fixed values of the format: ids per word and bits per id of the selectors 1 to 14. Selector 15 marks an escape,
@@ -128,20 +128,20 @@ def decode_stride(words: bytes, word_starts: bytes, escapes: bytes, stride: int)
 
 def write_ids(
     docs: DataFrame, path: str, vocabulary: str = "byte_bpe_50k.json", end_id: int = 2, block_ids: int = 1 << 18,
-    known_words: int = 300_000, id_col: str = "doc_id", text_col: str = "text",
+    known_words: int = 300_000, keep_words: bool = False, id_col: str = "doc_id", text_col: str = "text",
 ) -> None:
     """Encode whole texts and write their ids to ``path`` in ascending order of the document id.
 
-    One range shuffle by id; each range is one file and a row of it one block of about ``block_ids`` ids: whole
+    One range shuffle by id, text hash and place in the input, so that equal rows are split like others; each range is one file and a row of it one block of about ``block_ids`` ids: whole
     documents' ids as Simple-8b words, the offsets of its strides, its escapes, ids and sizes of its documents, and
     the ids before it in the file. Blocks lie in Parquet, so that Spark's committer handles lost executors and any
-    store works. Null ids come first, null and empty texts are the end id alone, ties of an id are ordered by text
+    store works. ``known_words`` and ``keep_words`` as in ``pack``. An empty table gives no blocks. Null ids come first, null and empty texts are the end id alone, ties of an id are ordered by text
     hash, repeated rows are written once each.
     """
     end = np.array([end_id], "<u4").tobytes()
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, shard = encoder(vocabulary, known_words), TaskContext.get().partitionId()
+        ids, shard = encoder(vocabulary, known_words, keep_words), TaskContext.get().partitionId()
         block, before, held, keys, parts = 0, 0, 0, [], []
 
         def close() -> pa.RecordBatch:
@@ -150,9 +150,8 @@ def write_ids(
             return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, _BLOCK_SCHEMA, strict=True)], schema=_BLOCK_SCHEMA)
 
         for batch in batches:
-            for lo in range(0, batch.num_rows, 64):
-                part = batch.slice(lo, 64)
-                for doc, data in zip(part.column(0).to_pylist(), map(ids.encode, texts(part.column(1))), strict=True):
+            for part, own in text_parts(batch, 1, 1 << 17):
+                for doc, data in zip(part.column(0).to_pylist(), map(ids.encode, own), strict=True):
                     keys.append(doc)
                     parts.append(data + end)
                     held += len(parts[-1]) // 4
@@ -162,10 +161,10 @@ def write_ids(
         if keys:
             yield close()
 
-    rows = id_text(docs, id_col, text_col)
-    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    rows = id_text(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col("row")]
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    ranged.mapInArrow(blocks, BLOCKS).write.option("compression", "zstd").parquet(path)
+    ranged.select("doc_id", "text").mapInArrow(blocks, BLOCKS).write.option("compression", "zstd").parquet(path)
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:

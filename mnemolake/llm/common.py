@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from mnemolake.operators.staging import Staged, stage
 
 __all__ = [
-    "Shared", "Staged", "ascii_words", "byte_texts", "id_text", "named", "parts", "read", "space_words", "stage", "text_parts", "texts",
+    "Shared", "Staged", "ascii_words", "byte_texts", "each_text", "id_text", "named", "parts", "read", "space_words", "stage", "text_parts", "texts",
     "tokenizer_path",
 ]
 #: Bytes of text that a task turns into Python values at a time; a longer text is a part of its own.
@@ -65,8 +65,16 @@ def texts(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
-def byte_texts(column: pa.Array) -> list[bytes]:
-    return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
+def each_text(column: pa.Array) -> Iterator[str]:
+    """The texts of a column, null as empty; only a part of bounded bytes is turned into Python values at a time."""
+    for lo, n in parts(column):
+        yield from texts(column.slice(lo, n))
+
+
+def byte_texts(column: pa.Array) -> Iterator[bytes]:
+    """The same as UTF-8 bytes."""
+    for lo, n in parts(column):
+        yield from (t or b"" for t in column.slice(lo, n).cast(pa.binary()).to_pylist())
 
 
 def parts(column: pa.Array, size: int = PART_BYTES) -> Iterator[tuple[int, int]]:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mnemolake.llm.common import id_text, stage, texts
+from mnemolake.llm.common import id_text, stage, text_parts
 from mnemolake.llm.token_ids import encoder
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -46,18 +46,17 @@ def first_fit_decreasing(lengths: list[int], capacity: int) -> tuple[list[int],
 
 def cut_documents(
     docs: DataFrame, capacity: int = 2048, vocabulary: str = "byte_bpe_50k.json", end_id: int = 1,
-    known_words: int = 300_000, id_col: str = "doc_id", text_col: str = "text",
+    known_words: int = 300_000, keep_words: bool = False, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """Pieces of at most ``capacity`` ids of every document, which ends with ``end_id``."""
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = encoder(vocabulary, known_words)
+        ids = encoder(vocabulary, known_words, keep_words)
         for batch in batches:
             rows = []
-            for lo in range(0, batch.num_rows, 64):
-                part = batch.slice(lo, 64)
-                for doc, data in zip(part.column(0).to_pylist(), map(ids.encode, texts(part.column(1))), strict=True):
+            for part, own in text_parts(batch, 1, 1 << 17):
+                for doc, data in zip(part.column(0).to_pylist(), map(ids.encode, own), strict=True):
                     view = memoryview(data + end)
                     n = len(view) // 4
                     for s in range(0, n, capacity):
@@ -75,21 +74,22 @@ def cut_documents(
 
 def pack(
     docs: DataFrame, capacity: int = 2048, vocabulary: str = "byte_bpe_50k.json", end_id: int = 1,
-    group_pieces: int = 16384, seed: int = 17, known_words: int = 300_000, id_col: str = "doc_id", text_col: str = "text",
+    group_pieces: int = 16384, seed: int = 17, known_words: int = 300_000, keep_words: bool = False, id_col: str = "doc_id",
+    text_col: str = "text",
 ) -> DataFrame:
     """First-fit decreasing of all pieces, in randomised groups of about ``group_pieces`` each.
 
     Texts are tokenised once, where they lie; only narrow piece rows are staged and shuffled. A piece's group is a
     hash of its place among the staged rows, so neither one very long document nor equal rows fill a group, and the
-    number of groups follows the number of pieces. Each group packs on its own. A tokenising worker keeps twice ``known_words``
-    words at most, some 200 bytes each.
+    number of groups follows the number of pieces. Each group packs on its own. A tokenising task remembers twice
+    ``known_words`` words at most, some 200 bytes each; with ``keep_words`` its Python worker keeps them for later tasks.
 
     One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``. Null and empty texts
     are the end id alone. Repeated rows are packed once each. A null id stays null. An empty table gives no rows.
     """
     if capacity < 1 or group_pieces < 1:
         raise ValueError("capacity and group_pieces must be positive")
-    cut = cut_documents(docs, capacity, vocabulary, end_id, known_words, id_col, text_col)
+    cut = cut_documents(docs, capacity, vocabulary, end_id, known_words, keep_words, id_col, text_col)
     pieces = stage(cut.withColumn("_row", F.monotonically_increasing_id()))
     groups = max(1, -(-pieces.rows // group_pieces))
     group = F.pmod(F.xxhash64("_row", F.lit(seed)), F.lit(groups))

@@ -23,7 +23,7 @@ from mnemolake.operators.staging import scratch_path
 
 
 def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(read(spark, sf_dir, "documents"), known_words=600_000)
+    return pack(read(spark, sf_dir, "documents"), known_words=600_000, keep_words=True)
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,7 +45,7 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark)
-    write_ids(read(spark, sf_dir, "documents"), path, known_words=600_000)
+    write_ids(read(spark, sf_dir, "documents"), path, known_words=600_000, keep_words=True)
     return read_ids(spark, path)
 
 
@@ -155,7 +155,7 @@ SELECT d.doc_id, len(any_value(w))::BIGINT AS n_words, coalesce(sum(places) FILT
   coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base AND places > 0 OR NOT base AND covered >= 0.8), '') AS labels, coalesce(max(covered), 0.0)::DOUBLE AS score
 FROM d LEFT JOIN spans s ON s.doc_id = d.doc_id GROUP BY d.doc_id""",
     "op5_decontaminate": f"""WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
-b AS (SELECT item_id::VARCHAR AS item, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+b AS (SELECT item_id::VARCHAR AS item, {_WORDS} AS w FROM benchmark),
 bw AS (SELECT DISTINCT item, least(10, len(w)) AS size, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS g FROM b, unnest(range(1, len(w) - least(10, len(w)) + 2)) u(i) WHERE len(w) > 0),
 sizes AS (SELECT DISTINCT size FROM bw),
 dw AS (SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS g FROM d, sizes, unnest(range(1, len(w) - size + 2)) u(i)),

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 from array import array
+from types import ModuleType
 
 import numpy as np
 
@@ -23,6 +25,9 @@ _OTHER = [b for b in range(256) if b not in _OWN]
 _BYTES = {b: chr(b) for b in _OWN} | {b: chr(256 + k) for k, b in enumerate(_OTHER)}
 
 
+_KEPT = "mnemolake_kept_encoder"
+
+
 class Encoder(dict):
     """Ids of words with a blank before them, as bytes: a memory of words over a tokenizer.
 
@@ -76,15 +81,15 @@ class Encoder(dict):
         return self._whole(parts[0]) + b"".join(map(self.__getitem__, parts[1:]))
 
 
-def encoder(vocabulary: str, words: int) -> Encoder:
-    """One encoder per vocabulary, size of its memory and Python worker.
+def encoder(vocabulary: str, words: int, keep: bool = False) -> Encoder:
+    """An encoder for the task, or with ``keep`` for all tasks of this Python worker, which then holds its words for good.
 
-    The library travels by value, so that its own globals are new in every task; the encoder, with the words it
-    knows, stays on a module that the worker keeps.
+    The library travels by value, so that its own globals are new in every task; a kept encoder lies on a module that
+    the worker knows by name. A worker keeps one encoder, that of the last vocabulary and size asked for.
     """
-    import tokenizers
-
-    kept = tokenizers.__dict__.setdefault("_kept_encoders", {})
-    if (vocabulary, words) not in kept:
-        kept[vocabulary, words] = Encoder(vocabulary, words)
-    return kept[vocabulary, words]
+    if not keep:
+        return Encoder(vocabulary, words)
+    kept = sys.modules.setdefault(_KEPT, ModuleType(_KEPT))
+    if getattr(kept, "made_for", None) != (vocabulary, words):
+        kept.encoder, kept.made_for = Encoder(vocabulary, words), (vocabulary, words)
+    return kept.encoder
