@@ -1,5 +1,6 @@
 """Near-duplicate groups by SimHash fingerprints and a binary trie self-join."""
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +14,8 @@ from mnemolake.llm.common import byte_texts, id_text, named, space_words, stage
 from mnemolake.llm.components import connected_components
 
 SEED = 42
+#: Fingerprints that a task joins at a time, if no single bucket holds more.
+RUN_ROWS = 1 << 19
 _U = np.uint64
 
 
@@ -50,7 +53,7 @@ class _Forest:
     """Keeps of many links only those that join two groups."""
 
     def __init__(self, n: int):
-        self.up = list(range(n))
+        self.up = array("q", range(n))
 
     def root(self, x: int) -> int:
         while self.up[x] != x:
@@ -127,9 +130,10 @@ def fingerprint_links(fps: DataFrame, budget: int = 3) -> DataFrame:
 
     The 64 bits are cut into ``budget + 1`` blocks. Two fingerprints within the budget agree in one block at least,
     so each travels once per block to the bucket of that block's bits, and a bucket is the subtree of a trie whose
-    first bits are that block. Each task joins the tries of its buckets with themselves and returns a spanning
-    forest of what it found: at most one row less than it got, however many pairs there are. Two fingerprints
-    within the budget are always connected, directly or through others.
+    first bits are that block. Each task joins the tries of its buckets with themselves, bucket after bucket, and
+    returns a spanning forest of what it found: at most one row less than it got, however many pairs there are. It
+    holds some ``RUN_ROWS`` fingerprints at a time, or one bucket where that is larger: 24 bytes each, the forest
+    included. Two fingerprints within the budget are always connected, directly or through others.
     """
     width = 64 // (budget + 1)
     blocks = F.explode(F.array(*[F.lit(k) for k in range(budget + 1)])).alias("block")
@@ -137,22 +141,41 @@ def fingerprint_links(fps: DataFrame, budget: int = 3) -> DataFrame:
     turned = F.when(F.col("block") == 0, F.col("fp")).otherwise(key)
     rows = fps.select("fp", blocks).select("block", turned.alias("turned"))
     bucket = F.shiftrightunsigned("turned", 64 - width)
-    dealt = rows.withColumn("bucket", bucket).repartition("block", "bucket").sortWithinPartitions("block")
+    dealt = rows.withColumn("bucket", bucket).repartition("block", "bucket").sortWithinPartitions("block", "bucket")
+
+    def linked(block: int, values: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        v = np.unique(np.concatenate(values))
+        forest = _Forest(len(v))
+        plain = _rotated(v, (64 - block * width) % 64).view(np.int64)
+        for i, j in trie_links(v, width, budget):
+            kept = [x for x, (p, q) in enumerate(zip(i.tolist(), j.tolist(), strict=True)) if forest.join(p, q)]
+            if kept:
+                yield pa.RecordBatch.from_arrays([pa.array(plain[i[kept]]), pa.array(plain[j[kept]])], names=["a", "b"])
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
+        now, held, n, room = -1, [], 0, RUN_ROWS
         for b in batches:
             block, turned = b.column(0).to_numpy(), b.column(1).to_numpy().view(_U)
-            for k in np.unique(block).tolist():
-                held.setdefault(k, []).append(turned[block == k])
-        for k in list(held):
-            v = np.unique(np.concatenate(held.pop(k)))
-            forest = _Forest(len(v))
-            plain = _rotated(v, (64 - k * width) % 64).view(np.int64)
-            for i, j in trie_links(v, width, budget):
-                kept = [x for x, (p, q) in enumerate(zip(i.tolist(), j.tolist(), strict=True)) if forest.join(p, q)]
-                if kept:
-                    yield pa.RecordBatch.from_arrays([pa.array(plain[i[kept]]), pa.array(plain[j[kept]])], names=["a", "b"])
+            edges = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), len(block)]
+            for lo, hi in zip(edges, edges[1:], strict=False):
+                if lo == hi:
+                    continue
+                if held and block[lo] != now:
+                    yield from linked(now, held)
+                    held, n, room = [], 0, RUN_ROWS
+                now = int(block[lo])
+                held.append(turned[lo:hi])
+                n += hi - lo
+                if n >= room:  # all buckets but the last one are whole
+                    v = np.concatenate(held)
+                    heads = v >> _U(64 - width)
+                    cut = int(np.argmax(heads == heads[-1]))
+                    if cut:
+                        yield from linked(now, [v[:cut]])
+                    held, n = [v[cut:]], len(v) - cut
+                    room = max(RUN_ROWS, 2 * n)
+        if held:
+            yield from linked(now, held)
 
     return dealt.select("block", "turned").mapInArrow(join, "a long, b long")
 
@@ -187,7 +210,8 @@ def one_per_group(docs: DataFrame, budget: int = 3, shingle: int = 3, id_col: st
     """The documents, all columns as they are, with one row of each near-duplicate group: that of the smallest id.
 
     Ties of an id go to the row with the smaller hash of all its columns; rows equal in every column stay once.
-    A group without any id keeps one of its rows. Groups are resolved on three numbers a row; texts move once, in
+    A group without any id keeps one of its rows. Map columns don't take part in that equality. An empty table
+    gives no rows. Groups are resolved on three numbers a row; texts move once, in
     the join with the rows to keep.
     """
     hashable = [named(f.name) for f in docs.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
