@@ -2,7 +2,6 @@
 
 import math
 import re
-import warnings
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -13,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mnemolake.llm.common import id_text, named, stage, texts
+from mnemolake.llm.common import each_text, id_text, named, stage
 
 #: Letters of other scripts that look like Latin ones, and the letters they stand for.
 HOMOGLYPHS = str.maketrans(
@@ -111,7 +110,7 @@ def _counted(train: DataFrame, made, flush: int = 200_000) -> DataFrame:
             return pa.RecordBatch.from_arrays(columns, names=["term", "pos", "neg"])
 
         for batch in batches:
-            for text, toxic in zip(texts(batch.column(0)), batch.column(1).to_pylist(), strict=True):
+            for text, toxic in zip(each_text(batch.column(0)), batch.column(1).to_pylist(), strict=True):
                 sums[toxic].update(of(fold(text)))
                 if len(sums[0]) + len(sums[1]) > flush:
                     yield out()
@@ -136,16 +135,15 @@ def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, ridge: float = 1e-2,
 
 
 def train_lexicon(
-    docs: DataFrame, labels: DataFrame, folds: int = 5, sample: int = 20_000, terms: int = 2_000, least: int = 3,
+    docs: DataFrame, labels: DataFrame, folds: int = 5, sample: int = 20_000, least: int = 3,
     prefixes: tuple[int, int] = (4, 8), id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
 ) -> Lexicon:
     """Learn terms, weights, exception phrases and the score's scale from labelled documents.
 
     Labels of documents whose crc32 of the id is divisible by ``folds`` are never read. At most ``sample``
     labels are used, those with the smallest hash of the id, so that the labels sent to the tasks have a bound; of
-    their documents, rows equal in id and text count once, and labels without a document count nothing. Terms are words and word beginnings of ``prefixes`` letters, counted in Spark; the lexicon holds at most
-    ``terms`` of those that speak for toxicity most clearly, and a warning says where there were more. All exception
-    phrases that pass the count test are kept; the sample bounds them. Null labels and ids are left out; without labels of
+    their documents, rows equal in id and text count once, and labels without a document count nothing. Terms are words and word beginnings of ``prefixes`` letters, counted in Spark; the lexicon holds all that
+    pass the tests of weight and clearness, and all exception phrases that pass the count test; the sample bounds both. Null labels and ids are left out; without labels of
     both kinds the lexicon is empty and scores are 0.12 for every text.
     """
     spark_crc = F.crc32(named(id_col).cast("string").cast("binary"))
@@ -165,10 +163,7 @@ def train_lexicon(
     error = F.sqrt(1 / (F.col("pos") + 0.5) + 1 / (F.col("neg") + 0.5))
     scored = _counted(train, lambda: lambda t: _terms(t, prefixes)).where(F.col("pos") >= least)
     scored = scored.select("term", "pos", "neg", weight.alias("w"), (weight / error).alias("z"))
-    best = scored.where((F.col("w") >= 1.5) & (F.col("z") >= 2.7)).orderBy(F.desc("z"), "term").limit(terms + 1).collect()
-    if len(best) > terms:
-        warnings.warn(f"more than {terms} terms speak for toxicity; the clearest {terms} are used", stacklevel=2)
-        best = best[:terms]
+    best = scored.where((F.col("w") >= 1.5) & (F.col("z") >= 2.7)).collect()
     weights: dict[str, float] = {}
     share: dict[str, float] = {}
     for r in sorted(best, key=lambda r: (len(r["term"]), r["term"])):
@@ -182,7 +177,7 @@ def train_lexicon(
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a = lexicon.automaton()
         for batch in batches:
-            rows = [lexicon.features(a, t) for t in texts(batch.column(0))]
+            rows = [lexicon.features(a, t) for t in each_text(batch.column(0))]
             columns = np.array(rows, np.float64).reshape(-1, 3).T
             yield pa.RecordBatch.from_arrays([*map(pa.array, columns), batch.column(1)], names=["a", "b", "c", "toxic"])
 
@@ -217,7 +212,7 @@ def toxicity_score(column, lexicon: Lexicon):
     def rate(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         a = lexicon.automaton()
         for part in batches:
-            yield pa.array([lexicon.score(a, t) for t in texts(part)], pa.float64())
+            yield pa.array([lexicon.score(a, t) for t in each_text(part)], pa.float64())
 
     return F.arrow_udf(rate, "double")(column.cast("string"))
 
