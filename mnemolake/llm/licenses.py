@@ -36,7 +36,37 @@ TEMPLATES = (
     Template("mit", "released under the mit license"),
     Template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
     Template("mpl-2.0", "subject to the terms of the mozilla public license v 2 0"),
+    Template(
+        "mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation "
+        "files the software to deal in the software without restriction including without limitation the rights to use copy modify "
+        "merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is "
+        "furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be "
+        "included in all copies or substantial portions of the software the software is provided as is without warranty of any "
+        "kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose "
+        "and noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other liability "
+        "whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or "
+        "other dealings in the software",
+    ),
+    Template(
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted "
+        "provided that the above copyright notice and this permission notice appear in all copies the software is provided as is "
+        "and the author disclaims all warranties with regard to this software including all implied warranties of merchantability "
+        "and fitness in no event shall the author be liable for any special direct indirect or consequential damages or any "
+        "damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other "
+        "tortious action arising out of or in connection with the use or performance of this software",
+    ),
+    Template(
+        "bsd",
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following "
+        "conditions are met redistributions of source code must retain the above copyright notice this list of conditions and the "
+        "following disclaimer redistributions in binary form must reproduce the above copyright notice this list of conditions and "
+        "the following disclaimer in the documentation and or other materials provided with the distribution",
+    ),
 )
+#: Votes that fit the bits of one number.
+_SECTION = 62
 
 
 def _gram_table(spark: SparkSession, templates: tuple[Template, ...], k: int) -> DataFrame:
@@ -44,8 +74,8 @@ def _gram_table(spark: SparkSession, templates: tuple[Template, ...], k: int) ->
     rows = []
     for number, t in enumerate(templates):
         words = t.text.split()
-        if not k <= len(words) < 63 + k:
-            raise ValueError(f"a template needs {k} to {62 + k} words: {t.text!r}")
+        if len(words) < k:
+            raise ValueError(f"a template needs {k} words: {t.text!r}")
         grams = len(words) - k + 1
         rows += [(number, t.label, t.base, grams, at, *words[at : at + k]) for at in range(grams)]
     gram = ", ".join(f"_t{j} string" for j in range(k))
@@ -66,7 +96,7 @@ def scan_licenses(
 
     Only hits and one line per document are shuffled, those of equal rows added up per task before; templates are a fixed table of the code and broadcast.
     One row per document: ``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score``; the
-    score is the largest coverage of any span. Null and empty texts have no words and score 0. Repeated rows get a
+    score is the largest coverage of any span. Templates may have any length. An empty table gives no rows. Null and empty texts have no words and score 0. Repeated rows get a
     row each. Windows go over one document's hits of one template.
     """
     spark = docs.sparkSession
@@ -88,20 +118,25 @@ def scan_licenses(
     key = ["doc_id", "text_hash"]
     votes = met.select(
         *key, "n_words", "_template", "_label", "_base", "_grams", (F.col("pos") - 1 - F.col("_at")).alias("_diagonal"),
-        F.expr("shiftleft(1L, _at)").alias("_vote"), (F.col("pos") == 0).alias("_line"),
+        F.expr(f"_at div {_SECTION}").alias("_section"), F.expr(f"shiftleft(1L, cast(_at % {_SECTION} AS int))").alias("_vote"),
+        (F.col("pos") == 0).alias("_line"),
     )
-    diagonals = votes.groupBy(*key, "_template", "_label", "_base", "_grams", "_diagonal").agg(
+    diagonals = votes.groupBy(*key, "_template", "_label", "_base", "_grams", "_diagonal", "_section").agg(
         F.bit_or("_vote").alias("_mask"), F.max("n_words").alias("n_words"), F.count_if("_line").alias("_rows")
     ).repartition(*key)  # equal rows' hits are one by now
-    whole = F.bit_count("_mask") == F.col("_grams")
-    by = Window.partitionBy(*key, "_template").orderBy("_diagonal")
+    by = Window.partitionBy(*key, "_template").orderBy("_diagonal", "_section")
+    whole = F.sum(F.bit_count("_mask")).over(Window.partitionBy(*key, "_template", "_diagonal")) == F.col("_grams")
     apart = F.coalesce(F.col("_diagonal") - F.lag("_diagonal").over(by) > gap, F.lit(True))
     spans = diagonals.withColumn("_whole", whole).withColumn("_apart", apart.cast("int"))
-    spans = spans.withColumn("_span", F.sum("_apart").over(by)).groupBy(*key, "_template", "_label", "_base", "_grams", "_span").agg(
-        F.bit_or("_mask").alias("_mask"), F.max("n_words").alias("n_words"), F.sum("_rows").alias("_rows"), F.count_if("_whole").alias("_places"),
+    spans = spans.withColumn("_span", F.sum("_apart").over(by)).groupBy(*key, "_template", "_label", "_base", "_grams", "_span", "_section").agg(
+        F.bit_or("_mask").alias("_mask"), F.max("n_words").alias("n_words"), F.sum("_rows").alias("_rows"),
+        F.count_if(F.col("_whole") & (F.col("_section") == 0)).alias("_places"),
         F.min(F.when(F.col("_whole"), F.col("_diagonal"))).alias("_first"), F.max(F.when(F.col("_whole"), F.col("_diagonal"))).alias("_last"),
+    ).groupBy(*key, "_template", "_label", "_base", "_grams", "_span").agg(
+        F.sum(F.bit_count("_mask")).alias("_votes"), F.max("n_words").alias("n_words"), F.sum("_rows").alias("_rows"), F.sum("_places").alias("_places"),
+        F.min("_first").alias("_first"), F.max("_last").alias("_last"),
     )
-    covered = F.coalesce(F.bit_count("_mask") / F.col("_grams"), F.lit(0.0))
+    covered = F.coalesce(F.col("_votes") / F.col("_grams"), F.lit(0.0))
     is_base = F.coalesce(F.col("_base"), F.lit(False))
     listed = lambda c: F.array_join(F.array_sort(F.collect_set(F.when(c, F.col("_label")))), ",")
     found = spans.groupBy(*key).agg(
