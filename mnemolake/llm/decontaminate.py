@@ -18,16 +18,15 @@ _RANGES = "doc_id long, text_hash long, n_words long, starts array<long>, ends a
 class Windows:
     """Item windows of one block of the benchmark, with the shingle that stands for each.
 
-    Words are numbers in the block's vocabulary, so a shingle of up to three words is one exact integer. Windows
-    are grouped by length; a window of one or two words is its own shingle.
+    Words are numbers in the block's vocabulary, and a shingle of up to three words is one integer: exact up to
+    2**21 words, folded into 63 bits beyond, where shingles that share a number cost a comparison of words and no more.
+    Windows are grouped by length; a window of one or two words is its own shingle.
     """
 
     def __init__(self, items: list[tuple[str | None, bytes]], window: int, shingle: int = 3):
         words = [(item, ascii_words(text)) for item, text in items]
         self.vocabulary = {w: k for k, w in enumerate(sorted({w for _, ws in words for w in ws}), 1)}
         self.base = len(self.vocabulary) + 1
-        if self.base >= 1 << 21:
-            raise ValueError("a block's vocabulary must stay below 2**21 words")
         self.items = sorted({item for item, ws in words if ws and item is not None})
         number = {item: k for k, item in enumerate(self.items)}
         found: dict[int, dict[tuple, set]] = {}
@@ -53,7 +52,7 @@ class Windows:
             part = ids[..., j : j + n]
             key = key * self.base + part
             known &= part > 0
-        return np.where(known, key, 0)
+        return np.where(known, np.maximum(key & np.int64((1 << 63) - 1), 1), 0)
 
     def numbers(self, text: bytes) -> np.ndarray:
         words = ascii_words(text)

@@ -62,14 +62,14 @@ def contamination(text, items, window=10):
     w, hit, names = words(text), set(), set()
     for item, body in items:
         b = words(body)
-        if item is None or not b:
+        if not b:
             continue
         size = min(window, len(b))
         targets = {tuple(b[s : s + size]) for s in range(len(b) - size + 1)}
         for s in range(len(w) - size + 1):
             if tuple(w[s : s + size]) in targets:
                 hit.update(range(s, s + size))
-                names.add(str(item))
+                names |= set() if item is None else {str(item)}
     line = ",".join(sorted(names))
     return len(w), len(hit), len(names), hashlib.sha256(line.encode()).hexdigest(), bool(hit)
 
