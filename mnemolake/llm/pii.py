@@ -1,16 +1,18 @@
 """Personal data in texts: patterns, and a span classifier learnt from voting labelers without labels."""
 
 import hashlib
+import ipaddress
 import re
+from bisect import bisect_left, insort
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mnemolake.llm.common import id_text, named, stage, texts
+from mnemolake.llm.common import each_text, id_text, named, parts, stage
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -36,13 +38,16 @@ FAR = {
     "card": ("isbn", "order", "token", "serial", "id"),
     "phone": ("version", "year", "page", "isbn", "id"),
 }
-# Wider candidates than the base, for the labelers to vote on.
+# Wider candidates than the base, for the labelers to vote on. Each begins where a run of its characters begins.
+_AT, _DOT = r"(?: ?[\[(] ?[Aa][Tt] ?[\])] ?)", r"(?:\.| ?[\[(] ?[Dd][Oo][Tt] ?[\])] ?)"
 _WIDE = {
-    "email": re.compile(r"[A-Za-z0-9_%+-]{1,64}(?: ?[\[(] ?(?:at|AT) ?[\])] ?)[A-Za-z0-9-]{1,63}(?:(?:\.| ?[\[(] ?(?:dot|DOT) ?[\])] ?)[A-Za-z0-9-]{1,63}){1,8}"),
-    "ip": re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])"),
+    "email": re.compile(rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++{_AT}[A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]++)+"),
+    "ip": re.compile(r"(?<![0-9A-Za-z:.])[0-9A-Fa-f]*+:[0-9A-Fa-f:]++(?![0-9A-Za-z:.])"),
     "card": re.compile(r"(?<![0-9.])[0-9]{4}(?:[\x20.-]?[0-9]{2,7}){2,3}(?![0-9])"),
-    "phone": re.compile(r"(?<![0-9+(.-])(?:\(?[0-9]{3}\)?[\x20.-])?[0-9]{3}[-.\x20][0-9]{4}(?![0-9])"),
-}
+    "phone": re.compile(
+        r"(?<![0-9+(.-])(?:\(?0[0-9]{1,4}\)?(?:[\x20./-][0-9]{2,5}){1,4}|(?:\(?[0-9]{3}\)?[\x20.-])?[0-9]{3}[-.\x20][0-9]{4})(?![0-9])"
+    ),
+}
 
 
 def luhn(digits: str) -> bool:
@@ -89,8 +94,33 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return spans
 
 
-def _overlaps(spans: list[tuple[int, int]], start: int, end: int) -> bool:
-    return any(s < end and start < e for s, e in spans)
+class Taken:
+    """Ranges that never overlap, in order; adding and asking cost a binary search."""
+
+    def __init__(self, spans: list[tuple[int, int]] = ()):
+        self.ranges: list[tuple[int, int]] = []
+        for s, e in sorted(spans):
+            if self.ranges and s < self.ranges[-1][1]:
+                self.ranges[-1] = (self.ranges[-1][0], max(e, self.ranges[-1][1]))
+            else:
+                self.ranges.append((s, e))
+
+    def meets(self, start: int, end: int) -> bool:
+        k = bisect_left(self.ranges, (end, -1))  # ranges before k begin before the end
+        return k > 0 and self.ranges[k - 1][1] > start
+
+    def add(self, start: int, end: int) -> None:
+        insort(self.ranges, (start, end))
+
+
+def _address(s: str) -> bool:
+    """An address of eight groups, or a compressed one of at least three."""
+    if len(s) > 39 or "::" not in s and s.count(":") != 7 or sum(map(bool, s.split(":"))) < 3:
+        return False
+    try:
+        return bool(ipaddress.IPv6Address(s))
+    except ValueError:
+        return False
 
 
 def _votes(kind: str, match: str, around: str) -> tuple[int, int, int, int]:
@@ -105,13 +135,29 @@ def _votes(kind: str, match: str, around: str) -> tuple[int, int, int, int]:
         return 2 if "[" in match or "(" in match else 0, 2 if top in TOP_LEVEL else 0, 1 if len(match) > 6 else 0, context
     if kind == "ip":
         private = match.lower().startswith(("fd", "fe8", "::1")) or set(_digits(match)) <= {"0"}
-        return 2 if match.count(":") == 7 else 0, 0 if private else 1, 2 if any(c.isdigit() for c in match) else 0, context
+        return 2 if match.count(":") == 7 else 1, 0 if private else 1, 2 if any(c.isdigit() for c in match) else 0, context
     if kind == "card":
         grouped = bool(re.fullmatch(r"[0-9]{4}[\x20.-][0-9]{4}[\x20.-][0-9]{4}[\x20.-][0-9]{4}|[0-9]{4}[\x20.-][0-9]{6}[\x20.-][0-9]{5}", match))
         return 2 if grouped else 1, 2 if digits.startswith(ISSUERS) else 0, 2 if 13 <= len(digits) <= 19 and luhn(digits) else 0, context
     shaped = bool(re.fullmatch(r"\(?[0-9]{3}\)?[\x20.-][0-9]{3}[-.\x20][0-9]{4}", match))
+    national = digits[0] == "0"
     area = digits[0] not in "01" if len(digits) == 10 else True
-    return 2 if shaped else 1, 2 if area and len(digits) == 10 else 1, 0 if len(set(digits)) < 3 else 1, context
+    known = 2 if 9 <= len(digits) <= 12 and national or area and len(digits) == 10 else 1
+    return 2 if shaped else 1, known, 0 if len(set(digits)) < 3 or len(digits) > 15 or national and len(digits) < 8 else 1, context
+
+
+#: Bits of a span and of its surroundings that no labeler looks at.
+SHAPES = 10
+
+
+def _shape(text: str, s: int, e: int) -> tuple[bool, ...]:
+    match, before, after = text[s:e], text[max(0, s - 1) : s], text[e : e + 1]
+    around = text[max(0, s - 30) : s] + text[e : e + 30]
+    return (
+        min(len(_digits(match)), 19) > 9, " " in match, "." in match, "-" in match, "(" in match or "[" in match,
+        before.isalnum() or before in "#_/=" and before != "", after.isalnum() or after in "%_/=" and after != "", any(c.isdigit() for c in around),
+        not around.isascii(), len(set(_digits(match))) > 5,
+    )
 
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
@@ -120,23 +166,20 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
     A candidate never overlaps a base span of any kind.
     """
     out = []
-    taken = [(s, e) for _, s, e in base]
+    taken = Taken([(s, e) for _, s, e in base])
     for k, kind in enumerate(KINDS):
         if kind == "email" and "[" not in text and "(" not in text or kind == "ip" and ":" not in text:
             continue
         for m in _WIDE[kind].finditer(text):
             s, e = m.span()
-            if _overlaps(taken, s, e):
-                continue
             match = m.group()
-            if kind == "card" and len(_digits(match)) < 13:
+            if kind == "card" and len(_digits(match)) < 13 or kind == "ip" and not _address(match) or taken.meets(s, e):
                 continue
             votes = _votes(kind, match, text[max(0, s - 40) : s] + " " + text[e : e + 20])
-            shape = (min(len(_digits(match)), 19) > 9, " " in match, "." in match, "-" in match, "(" in match or "[" in match)
             number = 0
             for v in votes:
                 number = number * 3 + v
-            for b in shape:
+            for b in _shape(text, s, e):
                 number = number * 2 + b
             out.append((k, s, e, number))
     return out
@@ -144,7 +187,7 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
 
 def _unpacked(pattern: int) -> tuple[list[int], list[int]]:
     shape, votes = [], []
-    for _ in range(5):
+    for _ in range(SHAPES):
         pattern, b = divmod(pattern, 2)
         shape.append(b)
     for _ in range(4):
@@ -153,19 +196,38 @@ def _unpacked(pattern: int) -> tuple[list[int], list[int]]:
     return votes[::-1], shape[::-1]
 
 
+def _inputs(votes: np.ndarray, shape: np.ndarray) -> np.ndarray:
+    return np.column_stack([np.ones(len(votes)), votes - 1, shape])
+
+
 @dataclass
 class SpanModel:
-    """Reliabilities of the labelers by kind, and the probability of every candidate pattern seen."""
+    """Reliabilities of the labelers and coefficients of the span classifier, by kind; it scores unseen patterns, too."""
 
     reliabilities: dict[str, list[list[list[float]]]]
-    probability: dict[tuple[int, int], float]
+    coefficients: dict[int, list[float]]
+    seen: dict[tuple[int, int], float] = field(default_factory=dict)
+
+    def probability(self, kind: int, pattern: int) -> float:
+        p = self.seen.get((kind, pattern))
+        if p is None:
+            b = self.coefficients.get(kind)
+            votes, shape = _unpacked(pattern)
+            x = 0.0 if b is None else float(_inputs(np.array([votes]), np.array([shape]))[0] @ np.array(b))
+            p = self.seen[kind, pattern] = 0.0 if b is None else 1 / (1 + float(np.exp(-np.clip(x, -30, 30))))
+        return p
 
     def accepts(self, kind: int, pattern: int, threshold: float) -> bool:
-        return self.probability.get((kind, pattern), 0.0) >= threshold
+        return self.probability(kind, pattern) >= threshold
+
+
+#: So many candidates of a kind stand for all, whatever their number: the same shares give the same model at any size.
+_AS_MANY = 200.0
 
 
 def _em(votes: np.ndarray, n: np.ndarray, rounds: int = 100) -> tuple[np.ndarray, np.ndarray]:
-    """Expectation-maximisation over weighted vote patterns: each labeler's vote rates by truth, and posteriors."""
+    """Expectation-maximisation over vote patterns of weights that add up to ``_AS_MANY``: each labeler's vote rates by
+    truth, and posteriors."""
     said = votes.mean(axis=1) - 1
     post = np.clip(0.5 + 0.4 * said, 0.05, 0.95)
     onehot = votes[:, :, None] == np.arange(3)
@@ -183,31 +245,30 @@ def _em(votes: np.ndarray, n: np.ndarray, rounds: int = 100) -> tuple[np.ndarray
     return rates, post
 
 
-def train_span_model(counts: list[tuple[int, int, int]]) -> SpanModel:
-    """Fit on ``kind, pattern, n``: EM for the labelers' reliabilities, then a logistic span classifier on votes and
-    shape, weighted by the posteriors."""
-    reliabilities, probability = {}, {}
+def train_span_model(counts: list[tuple[int, int, int]], ridge: float = 1.0) -> SpanModel:
+    """Fit on ``kind, pattern, n``: EM for the labelers' reliabilities, then a logistic span classifier on votes, shape
+    and surroundings, weighted by the posteriors. Only the shares of the patterns count, not how many there are."""
+    reliabilities, coefficients = {}, {}
     for k, kind in enumerate(KINDS):
         own = sorted((p, n) for kk, p, n in counts if kk == k)
         if not own:
             continue
         parts = [_unpacked(p) for p, _ in own]
         votes, shape = np.array([v for v, _ in parts]), np.array([s for _, s in parts], float)
-        n = np.array([c for _, c in own], float)
-        rates, post = _em(votes, n)
+        weight = np.array([c for _, c in own], float)
+        weight *= _AS_MANY / weight.sum()
+        rates, post = _em(votes, weight)
         reliabilities[kind] = rates.tolist()
-        x = np.column_stack([np.ones(len(own)), votes - 1, shape])
+        x = _inputs(votes, shape)
         b = np.zeros(x.shape[1])
-        weight = n / n.sum() * min(n.sum(), 1000)
         for _ in range(50):
             p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
-            step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + np.eye(len(b)), x.T @ (weight * (post - p)) - b)
+            step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(b)), x.T @ (weight * (post - p)) - ridge * b)
             b += step
             if np.abs(step).max() < 1e-8:
                 break
-        for (pattern, _), p in zip(own, 1 / (1 + np.exp(-np.clip(x @ b, -30, 30))), strict=True):
-            probability[(k, pattern)] = float(p)
-    return SpanModel(reliabilities, probability)
+        coefficients[k] = b.tolist()
+    return SpanModel(reliabilities, coefficients)
 
 
 _FOUND = "array<struct<k:int,s:int,e:int,p:int>>"
@@ -220,7 +281,7 @@ def find_spans(column):
     def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in batches:
             out = []
-            for text in texts(part):
+            for text in each_text(part):
                 base = base_spans(text)
                 out.append([{"k": k, "s": s, "e": e, "p": -1} for k, s, e in base] + [{"k": k, "s": s, "e": e, "p": p} for k, s, e, p in candidates(text, base)])
             yield pa.array(out, _FOUND_TYPE)
@@ -229,7 +290,7 @@ def find_spans(column):
 
 
 def learn_spans(found: DataFrame, column: str = "found") -> SpanModel:
-    """Count the patterns of all candidates (at most 4 x 2,592 sums reach the driver) and fit the model."""
+    """Count the patterns of all candidates (at most 4 x 82,944 sums reach the driver) and fit the model."""
     each = found.select(F.explode(column).alias("f")).where("f.p >= 0")
     counts = each.groupBy(F.col("f.k").alias("k"), F.col("f.p").alias("p")).agg(F.count(F.lit(1)).alias("n"))
     return train_span_model([(r["k"], r["p"], r["n"]) for r in counts.collect()])
@@ -242,13 +303,13 @@ def accepted(found, model: SpanModel, threshold: float):
         for part in batches:
             out = []
             for row in part.to_pylist():
-                kept, ends = [], []
+                kept, ends = [], Taken()
                 for f in row or []:
                     if f["p"] < 0:
                         kept.append(f)
-                    elif model.accepts(f["k"], f["p"], threshold) and not _overlaps(ends, f["s"], f["e"]):
+                    elif model.accepts(f["k"], f["p"], threshold) and not ends.meets(f["s"], f["e"]):
                         kept.append(f)
-                        ends.append((f["s"], f["e"]))
+                        ends.add(f["s"], f["e"])
                 out.append(sorted(kept, key=lambda f: (f["k"], f["s"])))
             yield pa.array(out, _FOUND_TYPE)
 
@@ -260,7 +321,8 @@ def personal_data(docs: DataFrame, threshold: float = 0.5, id_col: str = "doc_id
 
     Texts are read once; the spans of each row are staged next to its id, patterns are summed, the model is fitted
     on those sums and applied to the staged rows. Nothing but sums is shuffled. Null and empty texts have no spans;
-    repeated rows get a row each; whole texts are read, in time linear in their length.
+    repeated rows get a row each; whole texts are read, in time linear in their length but for a binary search per
+    span. An empty table gives no rows.
     """
     found = stage(id_text(docs, id_col, text_col).select("doc_id", find_spans(F.col("text")).alias("found"))).df
     model = learn_spans(found)
@@ -291,14 +353,15 @@ def redact(docs: DataFrame, threshold: float = 0.5, text_col: str = "text") -> D
     """The documents, all columns as they are, with every span in the text replaced by its kind in angle brackets.
 
     Overlapping spans of two kinds become the placeholder of the first. ``n_chars``, where there is such a column,
-    follows the new text. Null texts stay null. Candidates are counted over all documents first.
+    follows the new text. Null texts stay null. Candidates are counted over all documents first. Repeated rows stay
+    repeated; an empty table gives no rows.
     """
     model = learn_spans(docs.select(find_spans(named(text_col)).alias("found")))
 
     def hide(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in batches:
             out = []
-            for text in part.to_pylist():
+            for text in (t for lo, n in parts(part) for t in part.slice(lo, n).to_pylist()):
                 if text:
                     base = base_spans(text)
                     more = [c[:3] for c in candidates(text, base) if model.accepts(c[0], c[3], threshold)]
@@ -306,8 +369,6 @@ def redact(docs: DataFrame, threshold: float = 0.5, text_col: str = "text") -> D
                     for k, s, e in sorted([*base, *more], key=lambda c: (c[1], c[0])):
                         if s >= done:
                             pieces += [text[done:s], f"<{KINDS[k].upper()}>"]
-                        elif e > done:
-                            pass
                         done = max(done, e)
                     text = "".join([*pieces, text[done:]])
                 out.append(text)

@@ -1,5 +1,6 @@
 import hashlib
 import os
+import time
 from collections import Counter
 
 import numpy as np
@@ -8,10 +9,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from mnemolake.llm import pii
+from mnemolake.llm import pii, simhash
 from mnemolake.llm.components import connected_components
-from mnemolake.llm.decontaminate import benchmark_blocks, clean_documents, decontaminate
-from mnemolake.llm.licenses import scan_licenses
+from mnemolake.llm.decontaminate import Windows, benchmark_blocks, clean_documents, decontaminate
+from mnemolake.llm.licenses import TEMPLATES, Template, scan_licenses
 from mnemolake.llm.resample import kth_largest, resample
 from mnemolake.llm.simhash import fingerprint, fingerprint_links, near_duplicates, one_per_group
 from mnemolake.llm.toxicity import Lexicon, fold, score_toxicity, toxicity_score, train_lexicon
@@ -49,6 +50,45 @@ def test_labelers_agree(spark):
     assert set(model.reliabilities) <= set(pii.KINDS)
 
 
+def test_same_shares_give_the_same_span_model():
+    counts = [(2, 3 * k + 1, 1 + k % 4) for k in range(0, 4000, 37)] + [(3, 5 * k, 2) for k in range(50)]
+    few, many = pii.train_span_model(counts), pii.train_span_model([(k, p, 1000 * n) for k, p, n in counts])
+    for k, p, _ in [*counts, (2, 82_000, 0), (3, 82_943, 0)]:
+        assert few.probability(k, p) == pytest.approx(many.probability(k, p), abs=1e-9)
+    assert few.probability(0, 5) == 0.0
+
+
+@pytest.mark.parametrize(
+    "text, kind, span",
+    [
+        ("mail: jo.doe+x [At] mail [dot] example (DOT) com now", 0, "jo.doe+x [At] mail [dot] example (DOT) com"),
+        ("mail " + "a" * 80 + "(at)" + "b" * 70 + ".org", 0, "a" * 80 + "(at)" + "b" * 70 + ".org"),
+        ("server 2001:db8::8a2e:370:7334 is up", 1, "2001:db8::8a2e:370:7334"),
+        ("host fe80:0:0:0:1:2:3:4,", 1, "fe80:0:0:0:1:2:3:4"),
+        ("Telefon 030 1234 5678, bitte", 3, "030 1234 5678"),
+        ("tel (0161) 496 0000", 3, "(0161) 496 0000"),
+    ],
+)
+def test_wide_candidates(text, kind, span):
+    assert [(k, text[s:e]) for k, s, e, _ in pii.candidates(text, pii.base_spans(text))] == [(kind, span)]
+
+
+def test_no_candidates():
+    for text in ("at 12:30:45 and a::b::c, 1:2:3", "::", "std::vector", "12345::67890"):
+        assert [c for c in pii.candidates(text, []) if c[0] == 1] == []
+
+
+def test_long_texts_in_linear_time():
+    text = "call 212 555-0134 or a@b.co or 10.0.0.1, card 4111 1111 1111 1112; " * 30_000
+    start = time.process_time()
+    base = pii.base_spans(text)
+    more = pii.candidates(text, base)
+    assert len(base) == 60_000 and len(more) == 60_000
+    for junk in ("a" * 2_000_000, "a.b-" * 500_000, "1:" * 1_000_000, "0 12 " * 400_000, "a [at " * 300_000):
+        pii.candidates(junk, pii.base_spans(junk))
+    assert time.process_time() - start < 40
+
+
 def test_redact(hard):
     out = pii.redact(hard.withColumn("n_chars", F.char_length("text")))
     assert out.columns == [*hard.columns, "n_chars"] and out.count() == hard.count()
@@ -106,13 +146,42 @@ def test_license_spans_with_gaps(spark):
     assert got[3].labels == "" and got[4].n_base == 0
 
 
+def test_long_license_texts(spark):
+    whole = max((t for t in TEMPLATES if t.label == "mit"), key=lambda t: len(t.text)).text
+    words = whole.split()
+    assert len(words) > 150
+    long = Template("all", " ".join(f"w{k}" for k in range(400)), True)
+    texts = [
+        f"Some words first. {whole.upper()}, and more", " ".join(words[:70] + words[72:]), " ".join(words[:60]),
+        " ".join(reversed(words)), f"x {long.text} y {long.text}", " ".join(f"w{k}" for k in range(399)),
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in scan_licenses(docs, (*TEMPLATES, long)).collect()}
+    assert got[0].score == 1.0 and "mit" in got[0].labels.split(",") and "mit" in got[1].labels.split(",")
+    assert (got[4].n_base, got[4].first_word, got[4].last_word, got[4].base_labels) == (2, 1, 402, "all")
+    assert got[5].n_base == 0 and 0.99 < got[5].score < 1
+
+
+def test_shingles_that_share_a_number():
+    text = b"alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"
+    for base in (14, 1 << 22, 1 << 40, 1 << 62):  # from 2**21 on, words share numbers
+        w = Windows([("1", text), ("2", b"beta gamma"), (None, b"eta theta iota")], 10)
+        w.base = base
+        shingles = w.shingles()
+        w.order({k: np.ones(len(v), np.int64) for k, v in shingles.items()})
+        starts, ends, items = w.search(w.numbers(b"x " + text + b" y"))
+        assert sorted(zip(starts, ends, strict=True)) == [(1, 11), (2, 4), (2, 12), (3, 13), (7, 10)]
+        assert {w.items[k] for k in items} == {"1", "2"}
+
+
 def test_fingerprints():
     for text in ("", "  ", "One", "one two", "one two three", "A b C d é F g", "x y " * 2000, "\x1c odd \x85 blanks\u00a0here a b"):
         assert fingerprint(text.encode()) == brute.fingerprint(text), text
 
 
-@pytest.mark.parametrize("budget", [1, 3])
-def test_links_connect(spark, budget):
+@pytest.mark.parametrize("budget, run_rows", [(1, 1 << 19), (3, 1 << 19), (3, 40)])
+def test_links_connect(spark, budget, run_rows, monkeypatch):
+    monkeypatch.setattr(simhash, "RUN_ROWS", run_rows)
     rng = np.random.default_rng(7)
     seeds = rng.integers(0, 1 << 63, 30, dtype=np.uint64)
     values = set()
@@ -206,8 +275,6 @@ def test_all_exception_phrases(spark):
     rows = [(k, f"you idiot {'z' * 50}" if k % 2 else "kind talk", k % 2) for k in range(400)]
     rows += [(400 + k, " ".join(f"idiot {w}" for w in words), 0) for k in range(20)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
-    with pytest.warns(UserWarning, match="more than 3 terms"):
-        train_lexicon(docs.drop("toxic"), docs.select("doc_id", "toxic"), terms=3)
     lexicon = train_lexicon(docs.drop("toxic"), docs.select("doc_id", "toxic"))
     assert f" {'z' * 50} " in lexicon.weights or " zzzz" in lexicon.weights
     assert {f" idiot {w} " for w in words} | {f" {w} idiot " for w in words[:-1]} <= set(lexicon.exceptions)
