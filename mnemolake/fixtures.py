@@ -8,7 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.text import tokens
+from .functions import stemmer
+from .functions.text import stop_words
+from .operators.text_index import build_postings
 from .schemas import CATEGORY_SEED, category_seed
 from .sources.tables import widen
 
@@ -70,9 +72,8 @@ def _with_vector(q: DataFrame, spark: SparkSession, sf_dir: str, number) -> Data
 
 
 def _word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    words = docs.select("doc_id", F.explode(tokens(F.col("text"))).alias("w"))
-    return words.groupBy("doc_id", "w").agg(F.count(F.lit(1)).alias("n"))
+    words = build_postings(table(spark, sf_dir, "documents"), id_col="doc_id", text_col="text")
+    return words.select(F.col("id").alias("doc_id"), F.col("lexeme").alias("w"), F.size("positions").alias("n"))
 
 
 def known_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,6 +175,61 @@ POSTINGS_SQL = """postings AS (
 
 TEXT_SQL = f"{MEMORY_SQL},\n{TOKENS_SQL},\n{POSTINGS_SQL}"
 
+
+
+def _endings(rules) -> str:
+    return "(" + "|".join(sorted(rules, key=lambda e: (-len(e), e))) + ")$"
+
+
+def _map_sql(rules: dict[str, str]) -> str:
+    return "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in rules.items()) + "}"
+
+
+def stems_sql(words: str, name: str = "stems") -> str:
+    """CTE ``name(token, lexeme)``: English stems of the rows of ``words(token)``, step by step from the rule tables."""
+    region = stemmer.REGION.pattern
+    short = stemmer.SHORT_END.pattern
+    vowel = stemmer.VOWEL.pattern
+    doubles = "(" + "|".join(c * 2 for c in "bdfgmnprt") + ")$"
+    return f"""{name}_1 AS (SELECT token, regexp_replace(CASE WHEN token[1] = 'y' THEN 'Y' || token[2:] ELSE token END, '([aeiouy])y', '\\1Y', 'g') AS w FROM {words}),
+{name}_2 AS (SELECT *, length(regexp_extract(w, '^(?:{stemmer.REGION_PREFIX.pattern}|{region})')) AS h FROM {name}_1),
+{name}_3 AS (SELECT *, CASE h WHEN 0 THEN length(w) ELSE h END AS r1, length(regexp_extract(substr(w, CASE h WHEN 0 THEN length(w) ELSE h END + 1), '^{region}')) AS g FROM {name}_2),
+{name}_4 AS (SELECT *, CASE g WHEN 0 THEN length(w) ELSE r1 + g END AS r2, CASE WHEN w LIKE '%sses' THEN w[:-3]
+    WHEN regexp_matches(w, '(ied|ies)$') THEN CASE WHEN length(w) > 4 THEN w[:-3] ELSE w[:-2] END
+    WHEN regexp_matches(w, '(us|ss)$') OR w NOT LIKE '%s' THEN w
+    WHEN regexp_matches(w[:-3], '{vowel}') THEN w[:-2] ELSE w END AS p FROM {name}_3),
+{name}_5 AS (SELECT *, regexp_extract(p, '{_endings(stemmer.PAST)}') AS e FROM {name}_4),
+{name}_6 AS (SELECT *, left(p, length(p) - length(e)) AS b FROM {name}_5),
+{name}_7 AS (SELECT token, r1, r2, p, CASE WHEN e LIKE 'eed%' THEN CASE WHEN length(b) >= r1 THEN b || 'ee' ELSE p END
+    WHEN e = '' OR NOT regexp_matches(b, '{vowel}') THEN p WHEN regexp_matches(b, '(at|bl|iz)$') THEN b || 'e'
+    WHEN regexp_matches(b, '{doubles}') THEN b[:-2] WHEN r1 >= length(b) AND regexp_matches(b, '{short}') THEN b || 'e' ELSE b END AS q FROM {name}_6),
+{name}_8 AS (SELECT * REPLACE (CASE WHEN length(q) > 2 THEN regexp_replace(q, '([^aeiouy])[yY]$', '\\1i') ELSE q END AS q) FROM {name}_7),
+{name}_9 AS (SELECT *, regexp_extract(q, '{_endings(stemmer.DERIVED)}') AS e, left(q, length(q) - length(regexp_extract(q, '{_endings(stemmer.DERIVED)}'))) AS b FROM {name}_8),
+{name}_10 AS (SELECT token, r1, r2, p, CASE WHEN length(b) >= r1 AND CASE e WHEN 'ogi' THEN b LIKE '%l' WHEN 'li' THEN regexp_matches(b, '[cdeghkmnrt]$') ELSE e <> '' END
+    THEN b || {_map_sql(stemmer.DERIVED)}[e] ELSE q END AS d FROM {name}_9),
+{name}_11 AS (SELECT *, regexp_extract(d, '{_endings(stemmer.ADJECTIVAL)}') AS e, left(d, length(d) - length(regexp_extract(d, '{_endings(stemmer.ADJECTIVAL)}'))) AS b FROM {name}_10),
+{name}_12 AS (SELECT token, r1, r2, p, CASE WHEN e <> '' AND length(b) >= CASE e WHEN 'ative' THEN greatest(r1, r2) ELSE r1 END
+    THEN b || {_map_sql(stemmer.ADJECTIVAL)}[e] ELSE d END AS a FROM {name}_11),
+{name}_13 AS (SELECT *, regexp_extract(a, '{_endings(stemmer.DROPPED)}') AS e, left(a, length(a) - length(regexp_extract(a, '{_endings(stemmer.DROPPED)}'))) AS b FROM {name}_12),
+{name}_14 AS (SELECT token, r1, r2, p, CASE WHEN length(b) >= r2 AND CASE e WHEN 'ion' THEN regexp_matches(b, '[st]$') ELSE e <> '' END THEN b ELSE a END AS x FROM {name}_13),
+{name}_15 AS (SELECT *, left(x, length(x) - 1) AS b FROM {name}_14),
+{name} AS (SELECT token, CASE WHEN length(token) <= 2 THEN token WHEN {_map_sql(stemmer.IRREGULAR)}[token] IS NOT NULL THEN {_map_sql(stemmer.IRREGULAR)}[token]
+    WHEN p IN ({", ".join(f"'{w}'" for w in stemmer.DONE_AFTER_PLURAL)}) THEN p
+    WHEN x LIKE '%e' AND (length(b) >= r2 OR length(b) >= r1 AND NOT regexp_matches(b, '{short}')) THEN replace(b, 'Y', 'y')
+    WHEN x LIKE '%ll' AND length(b) >= r2 THEN replace(b, 'Y', 'y') ELSE replace(x, 'Y', 'y') END AS lexeme FROM {name}_15)"""
+
+
+#: Like ``TEXT_SQL``, with the words of all texts and of the queries in ``{q}(query_text)`` stemmed.
+STOP_SQL = "(" + ", ".join(f"'{w}'" for w in stop_words()) + ")"
+ENGLISH_SQL = rf"""{MEMORY_SQL},
+raw AS (
+  SELECT id, unnest(toks) AS token, generate_subscripts(toks, 1) AS pos
+  FROM (SELECT id, regexp_extract_all(lower(content), '[\p{{L}}\p{{N}}]+') AS toks FROM memory)),
+vocabulary AS (SELECT DISTINCT token FROM raw WHERE token NOT IN {STOP_SQL}),
+{stems_sql("vocabulary")},
+tokens AS (SELECT id, lexeme, pos FROM raw JOIN stems USING (token)),
+{POSTINGS_SQL}"""
+
 _VECTOR_OF = "JOIN embeddings e ON e.vec_id = q.qid % (SELECT count(*) FROM embeddings)"
 
 KNOWN_SQL = f"""words AS (

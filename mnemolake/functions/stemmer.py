@@ -1,14 +1,14 @@
-"""English (Porter2) stemming: a small helper that runs in Arrow batches over distinct or rare words.
+"""English (Porter2) stemming, from one set of rule tables.
 
-See ``operators.text_index.build_lexicon`` for how texts get their stems.
+``with_stems`` applies them to a column of words as Spark expressions, ``stem_word`` to a single word.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
-import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values of the published algorithm: irregular words, suffix tables and letter classes.
@@ -120,11 +120,85 @@ def stem_word(word: str) -> str:
     return _final(w, r1, r2).replace("Y", "y")
 
 
-def stem(token: Column) -> Column:
-    """Stems of lower-case words, batch by batch."""
-
-    @F.pandas_udf("string")
-    def stems(words: pd.Series) -> pd.Series:
-        return words.map(stem_word, na_action="ignore")
-
-    return stems(token)
+def _one_of(endings: Iterable[str]) -> str:
+    """Pattern of the longest listed ending of a word."""
+    return "(" + "|".join(sorted(endings, key=lambda e: (-len(e), e))) + ")$"
+
+
+def _table(rules: dict[str, str]) -> Column:
+    return F.create_map(*[F.lit(x) for pair in rules.items() for x in pair])
+
+
+def with_stems(df: DataFrame, token: str = "token", out: str = "lexeme") -> DataFrame:
+    """The rows with the stems of a column of lower-case words, as built-in expressions only.
+
+    Every step finds the longest ending that its rule table lists, looks the replacement up, and applies it where the
+    rule's region and the letters before the ending allow it. A null word has a null stem.
+    """
+    col, long = F.col, F.length
+    rows = df
+
+    def let(name: str, value: Column) -> None:
+        nonlocal rows
+        rows = rows.withColumn(f"_s_{name}", value)
+
+    def cut(word: str, ending: str) -> Column:
+        return F.substring(col(word), F.lit(1), long(word) - long(ending))
+
+    def ends(word: Column, pattern: str) -> Column:
+        return word.rlike(pattern)
+
+    prefix = f"^(?:{REGION_PREFIX.pattern}|{REGION.pattern})"
+    vowel, short = VOWEL.pattern, SHORT_END.pattern
+    w = col(token)
+    marked = F.when(w.startswith("y"), F.concat(F.lit("Y"), F.expr(f"substring({_quoted(token)}, 2)"))).otherwise(w)
+    let("w", F.regexp_replace(marked, "([aeiouy])y", "$1Y"))
+    let("h1", F.regexp_extract("_s_w", prefix, 0))
+    let("r1", F.when(col("_s_h1") == "", long("_s_w")).otherwise(long("_s_h1")))
+    let("h2", F.regexp_extract(F.expr("substring(_s_w, _s_r1 + 1)"), f"^{REGION.pattern}", 0))
+    let("r2", F.when(col("_s_h2") == "", long("_s_w")).otherwise(col("_s_r1") + long("_s_h2")))
+    less = lambda n: F.substring(col("_s_w"), F.lit(1), long("_s_w") - n)
+    word = col("_s_w")
+    plural = (
+        F.when(word.endswith("sses"), less(2))
+        .when(ends(word, "(ied|ies)$"), F.when(long(word) > 4, less(2)).otherwise(less(1)))
+        .when(ends(word, "(us|ss)$") | ~word.endswith("s"), word)
+        .otherwise(F.when(ends(less(2), vowel), less(1)).otherwise(word))
+    )
+    let("p", plural)
+    let("e", F.regexp_extract("_s_p", _one_of(PAST), 1))
+    let("b", cut("_s_p", "_s_e"))
+    base = col("_s_b")
+    past = (
+        F.when(col("_s_e").startswith("eed"), F.when(long(base) >= col("_s_r1"), F.concat(base, F.lit("ee"))).otherwise(col("_s_p")))
+        .when((col("_s_e") == "") | ~ends(base, vowel), col("_s_p"))
+        .when(ends(base, "(at|bl|iz)$"), F.concat(base, F.lit("e")))
+        .when(ends(base, r"([bdfgmnprt])\1$"), F.substring(base, F.lit(1), long(base) - 1))
+        .when((col("_s_r1") >= long(base)) & ends(base, short), F.concat(base, F.lit("e")))
+        .otherwise(base)
+    )
+    let("q", past)
+    let("q", F.when(long("_s_q") > 2, F.regexp_replace("_s_q", "(?<=[^aeiouy])[yY]$", "i")).otherwise(col("_s_q")))
+    let("e", F.regexp_extract("_s_q", _one_of(DERIVED), 1))
+    let("b", cut("_s_q", "_s_e"))
+    fits = F.when(col("_s_e") == "ogi", base.endswith("l")).when(col("_s_e") == "li", ends(base, "[cdeghkmnrt]$")).otherwise(col("_s_e") != "")
+    let("d", F.when(fits & (long(base) >= col("_s_r1")), F.concat(base, F.element_at(_table(DERIVED), col("_s_e")))).otherwise(col("_s_q")))
+    let("e", F.regexp_extract("_s_d", _one_of(ADJECTIVAL), 1))
+    let("b", cut("_s_d", "_s_e"))
+    region = F.when(col("_s_e") == "ative", F.greatest("_s_r1", "_s_r2")).otherwise(col("_s_r1"))
+    fits = (col("_s_e") != "") & (long(base) >= region)
+    let("a", F.when(fits, F.concat(base, F.element_at(_table(ADJECTIVAL), col("_s_e")))).otherwise(col("_s_d")))
+    let("e", F.regexp_extract("_s_a", _one_of(DROPPED), 1))
+    let("b", cut("_s_a", "_s_e"))
+    fits = F.when(col("_s_e") == "ion", ends(base, "[st]$")).otherwise(col("_s_e") != "")
+    let("x", F.when(fits & (long(base) >= col("_s_r2")), base).otherwise(col("_s_a")))
+    let("b", F.substring(col("_s_x"), F.lit(1), long("_s_x") - 1))
+    silent = col("_s_x").endswith("e") & ((long(base) >= col("_s_r2")) | (long(base) >= col("_s_r1")) & ~ends(base, short))
+    final = F.when(silent | col("_s_x").endswith("ll") & (long(base) >= col("_s_r2")), base).otherwise(col("_s_x"))
+    stemmed = F.when(col("_s_p").isin(DONE_AFTER_PLURAL), col("_s_p")).otherwise(F.replace(final, F.lit("Y"), F.lit("y")))
+    value = F.when(long(w) <= 2, w).otherwise(F.coalesce(F.element_at(_table(IRREGULAR), w), stemmed))
+    return rows.withColumn(out, value).select(*[c for c in df.columns if c != out], out)
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"

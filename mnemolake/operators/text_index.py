@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.stemmer import stem
-from ..functions.text import CONFIGS, positions, stop_words, tokens, ts_rank
+from ..functions.stemmer import stem_word, with_stems
+from ..functions.text import CONFIGS, grammar_tokens, positions, stop_words, tokens, ts_rank
 from .staging import BROADCAST_BYTES, HEAVY_MIN_ROWS, Staged, balanced_join, counted_heavy_keys, row_bytes, stage
 
 
 POSTING_BUCKETS = 64
 LEXICON_WORDS = 500_000
+#: Tokens that a task sorts at a time, if no single text has more, and words whose stems it remembers.
+TOKENS_AT_A_TIME, KNOWN_WORDS = 1 << 20, 200_000
 
 
 def _check(config: str) -> None:
@@ -22,10 +27,17 @@ def _check(config: str) -> None:
         raise ValueError(f"unknown text config {config!r}; expected one of {list(CONFIGS)}")
 
 
-def token_rows(df: DataFrame, text_col: str, keep: Sequence[str], config: str = "simple") -> DataFrame:
-    """One row per token with its 1-based position; stop words leave gaps, as they are counted first."""
+def _words(text: Column, grammar: bool) -> Column:
+    return grammar_tokens(text) if grammar else tokens(text)
+
+
+def token_rows(df: DataFrame, text_col: str, keep: Sequence[str], config: str = "simple", grammar: bool = False) -> DataFrame:
+    """One row per token with its 1-based position; stop words leave gaps, as they are counted first.
+
+    ``grammar`` knows addresses, paths, numbers and compounds next to words, see ``grammar_parts``.
+    """
     _check(config)
-    rows = df.select(*keep, F.posexplode(tokens(F.col(text_col))).alias("_p", "token"))
+    rows = df.select(*keep, F.posexplode(_words(F.col(text_col), grammar)).alias("_p", "token"))
     rows = rows.select(*keep, "token", (F.col("_p") + 1).alias("pos"))
     return rows if config == "simple" else rows.where(~F.col("token").isin(stop_words()))
 
@@ -49,7 +61,7 @@ def build_lexicon(tokens_df: DataFrame, max_words: int = LEXICON_WORDS) -> Lexic
         tokens_df.groupBy("token").agg(F.count(F.lit(1)).alias("n")), total=F.coalesce(F.sum("n"), F.lit(0))
     )
     frequent = counts.df.where(F.col("n") * max_words >= counts.seen["total"])
-    words = stage(frequent.select("token", stem(F.col("token")).alias("lexeme")))
+    words = stage(with_stems(frequent.select("token")))
     return Lexicon(words, words.rows == counts.rows)
 
 
@@ -75,7 +87,7 @@ def analyze(
     if complete and lexicon.complete:
         return frequent
     rare = rows.join(words, "token", "left_anti")
-    return frequent.unionByName(rare.select(*keep, stem(F.col("token")).alias("lexeme"), "pos"))
+    return frequent.unionByName(with_stems(rare).select(*keep, "lexeme", "pos"))
 
 
 def build_postings(
@@ -84,19 +96,77 @@ def build_postings(
     id_col: str = "id",
     text_col: str = "content",
     lexicon: Lexicon | None = None,
+    grammar: bool = False,
 ) -> DataFrame:
     """Positions of every lexeme per memory: ``(id, lexeme, positions)``.
 
-    All tokens of a text sit in one task, so the map-side half of the aggregation already builds the
-    complete lists and the shuffle moves one row per distinct lexeme.
+    All tokens of a text lie in its row, so its postings are built there and nothing is shuffled: in Arrow batches,
+    tokens become numbers of a dictionary, numbers and positions are sorted text by text and cut into runs. ``english``
+    stems the entries of the dictionary that are words or compounds. ``grammar`` as in ``token_rows``. With a ``lexicon``, stems come from there, by rows, which takes a shuffle.
     """
-    rows = analyze(m.select(F.col(id_col).alias("id"), text_col), text_col, ("id",), config, lexicon)
-    grouped = rows.groupBy("id", "lexeme").agg(F.collect_list("pos").alias("_all"))
-    return grouped.select("id", "lexeme", positions(F.col("_all")).alias("positions"))
+    _check(config)
+    rows = m.select(F.col(id_col).alias("id"), text_col)
+    if lexicon is not None:
+        grouped = analyze(rows, text_col, ("id",), config, lexicon).groupBy("id", "lexeme").agg(F.collect_list("pos").alias("_all"))
+        return grouped.select("id", "lexeme", positions(F.col("_all")).alias("positions"))
+    english, stops = config == "english", stop_words() if config == "english" else []
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, str] = {}
+
+        def stemmed(words: list[str]) -> list[str]:
+            if len(known) > KNOWN_WORDS:
+                known.clear()
+            return [known[w] if w in known else known.setdefault(w, stem_word(w) if _is_word(w) else w) for w in words]
+
+        for b in batches:
+            sizes = b.column(1).value_lengths().fill_null(0).to_numpy()
+            ends = np.cumsum(sizes)
+            for lo, hi in _parts(ends, TOKENS_AT_A_TIME):
+                part = b.slice(lo, hi - lo)
+                yield _runs(part.column(0), part.column(1), sizes[lo:hi], stops, stemmed if english else None)
+
+    schema = rows.select("id", F.lit("").alias("lexeme"), F.array(F.lit(0)).alias("positions")).schema
+    return rows.select("id", _words(F.col(text_col), grammar).alias("_tokens")).mapInArrow(build, schema)
+
+
+def _is_word(token: str) -> bool:
+    return all(map(str.isalnum, token.split("-")))
+
+
+def _parts(ends: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with some ``most`` tokens each; a longer text is a range of its own."""
+    lo = 0
+    while lo < len(ends):
+        before = int(ends[lo - 1]) if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield lo, hi
+        lo = hi
+
+
+def _runs(ids: pa.Array, lists: pa.Array, sizes: np.ndarray, stops: list[str], stems: Callable[[list[str]], list[str]] | None) -> pa.RecordBatch:
+    """A row per text and lexeme with its positions; stop words are counted and left out."""
+    coded = lists.flatten().dictionary_encode()
+    words, code = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    pos = np.arange(len(text)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + 1
+    if stems is not None:
+        keep = ~pc.is_in(words, value_set=pa.array(stops, pa.string())).to_numpy(zero_copy_only=False)[code] if len(words) else code == code
+        text, pos, code = text[keep], pos[keep], code[keep]
+        again = pa.array(stems(words.to_pylist()), pa.string()).dictionary_encode()
+        words, code = again.dictionary, again.indices.to_numpy(zero_copy_only=False).astype(np.int64)[code]
+    key = text * max(len(words), 1) + code
+    order = np.argsort(key, kind="stable")  # positions of equal keys stay in order
+    key = key[order]
+    start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+    first = order[start]
+    offsets = pa.array(np.append(start, len(key)).astype(np.int32))
+    found = pa.ListArray.from_arrays(offsets, pa.array(pos[order].astype(np.int32)))
+    return pa.RecordBatch.from_arrays([ids.take(pa.array(text[first])), words.take(pa.array(code[first])), found], names=["id", "lexeme", "positions"])
 
 
 def update_postings(
-    postings: DataFrame, m: DataFrame, changed: Staged, config: str = "simple", lexicon: Lexicon | None = None
+    postings: DataFrame, m: DataFrame, changed: Staged, config: str = "simple", lexicon: Lexicon | None = None, grammar: bool = False
 ) -> DataFrame:
     """Postings after the memories with the ``changed`` ids were added, edited or removed.
 
@@ -106,21 +176,22 @@ def update_postings(
     side = F.broadcast(ids) if changed.small else ids
     kept = postings.join(side, "id", "left_anti").select("id", "lexeme", "positions")
     rows = m.select("id", "content").join(side, "id", "left_semi")
-    return kept.unionByName(build_postings(rows, config, lexicon=lexicon))
+    return kept.unionByName(build_postings(rows, config, lexicon=lexicon, grammar=grammar))
 
 
 def document_frequency(postings: DataFrame) -> DataFrame:
     return postings.groupBy("lexeme").agg(F.count(F.lit(1)).alias("df"))
 
 
-def analyze_queries(q: DataFrame, config: str = "simple", by: str = "qid", text_col: str = "query_text") -> DataFrame:
+def analyze_queries(q: DataFrame, config: str = "simple", by: str = "qid", text_col: str = "query_text", grammar: bool = False) -> DataFrame:
     """Distinct lexemes per query with their number: ``(qid, lexeme, n_terms)``.
 
     Texts without a lexeme give no row, and so match nothing.
     """
-    rows = token_rows(q, text_col, (by,), config).select(by, "token")
+    rows = token_rows(q, text_col, (by,), config, grammar).select(by, "token")
     if config == "english":
-        rows = rows.distinct().select(by, stem(F.col("token")).alias("lexeme"))
+        word = F.col("token").rlike(r"^[\p{L}\p{N}]+(-[\p{L}\p{N}]+)*$")
+        rows = with_stems(rows.distinct()).select(by, F.when(word, F.col("lexeme")).otherwise(F.col("token")).alias("lexeme"))
     else:
         rows = rows.withColumnRenamed("token", "lexeme")
     per_query = rows.groupBy(by).agg(F.array_sort(F.collect_set("lexeme")).alias("_terms"))
@@ -182,25 +253,34 @@ def match_terms(
     drivers = drivers.where("_found = n_terms").drop("_found").withColumnRenamed("_rarest", "lexeme")
     if queries is not None:
         drivers = drivers.join(queries, by)
-    candidates = balanced_join(
-        relevant.df.select("lexeme", "id"),
-        drivers,
-        "lexeme",
-        right_small=terms.small and (queries_fit or queries_small(queries)),
-        heavy=counted_heavy_keys(frequency, "lexeme", "df", relevant.rows),
-    ).drop("lexeme")
+    extra = [c for c in (queries.columns if queries is not None else []) if c != by]
+    small = terms.small and (queries_fit or queries_small(queries))
+    heavy = counted_heavy_keys(frequency, "lexeme", "df", relevant.rows)
+
+    def met(columns: Sequence[str], wanted: DataFrame) -> DataFrame:
+        return balanced_join(relevant.df.select("lexeme", *columns), wanted, "lexeme", right_small=small, heavy=heavy).drop("lexeme")
+
+    # A query of one lexeme has its positions at hand; only the others meet further lexemes.
+    single = met(["id", "positions"], drivers.where("n_terms = 1").drop("_terms", "n_terms"))
+    single = single.join(allowed, "id").withColumn("lists", F.array("positions"))
+    candidates = met(["id"], drivers.where("n_terms > 1"))
+    shared = terms.df.where("n_terms > 1").select("lexeme").distinct()
+    own = relevant.df.join(F.broadcast(shared) if terms.small else shared, "lexeme", "left_semi").join(allowed, "id")
     entries = F.map_from_entries(F.collect_list(F.struct("lexeme", "positions")))
-    texts = relevant.df.groupBy("id").agg(entries.alias("_lexemes")).join(allowed, "id")
+    kept = [c for c in allowed.columns if c != "id"]
+    texts = own.groupBy("id").agg(entries.alias("_lexemes"), *[F.first(c).alias(c) for c in kept])
     # A memory has at most one candidate row per query, so it can be hot only in a very large batch.
     if terms.rows >= HEAVY_MIN_ROWS:
         pairs = balanced_join(candidates, texts, "id")
     else:
         pairs = candidates.join(texts, "id")
+    pairs = pairs.where(F.forall("_terms", lambda t: F.map_contains_key(F.col("_lexemes"), t)))
+    pairs = pairs.withColumn("lists", F.transform("_terms", lambda t: F.element_at(F.col("_lexemes"), t)))
+    columns = [by, "id", *kept, *extra, "lists"]
+    matched = single.select(columns).unionByName(pairs.select(columns))
     if accept is not None:
-        pairs = pairs.where(accept)
-    matched = pairs.where(F.forall("_terms", lambda t: F.map_contains_key(F.col("_lexemes"), t)))
-    lists = F.transform("_terms", lambda t: F.element_at(F.col("_lexemes"), t))
-    return matched.select(by, "id", *[c for c in (queries.columns if queries is not None else []) if c != by], lists.alias("lists"))
+        matched = matched.where(accept)
+    return matched.select(by, "id", *extra, "lists")
 
 
 def queries_small(queries: DataFrame | None, limit: int = BROADCAST_BYTES) -> bool:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from . import fixtures as fx
 from .functions.embedders import EmbeddingError, EmbedSpec, embedder_factory, register_embedder
 from .functions.scalars import cache_key, is_blank, json_int, percent
-from .functions.text import TOKEN_PATTERN
+from .functions.text import GRAMMAR, GRAMMAR_PATTERN, PROTOCOL, TOKEN_PATTERN, grammar_parts
 from .functions.vectors import check_width, norm, parse_vector
 from .operators import aggregates, embedding, filters, joins, knn, mutations, text_index
 from .operators.staging import scratch_path, stage
@@ -77,10 +77,16 @@ def _scores(df: DataFrame) -> DataFrame:
 _LN_MISS = "ln(1 - 0.1 * sqrt(CASE WHEN dist > 100 THEN 1e-30 ELSE 1 / (1.005 + 0.05 * exp(dist / 1.5 - 2)) END))"
 
 
-def _match_sql(q: str, allowed: str) -> str:
+def _match_sql(q: str, allowed: str, english: bool = False) -> str:
     """CTEs ``hits(qid, id)`` and ``ranked(qid, id, text_rank)`` for the query table ``q``."""
-    return f"""terms AS (
-  SELECT qid, unnest(list_distinct(regexp_extract_all(lower(query_text), '{TOKEN_PATTERN}'))) AS lexeme FROM {q}),
+    terms = f"""terms AS (
+  SELECT qid, unnest(list_distinct(regexp_extract_all(lower(query_text), '{TOKEN_PATTERN}'))) AS lexeme FROM {q})"""
+    if english:
+        terms = f"""asked AS (SELECT qid, unnest(regexp_extract_all(lower(query_text), '{TOKEN_PATTERN}')) AS token FROM {q}),
+asked_words AS (SELECT DISTINCT token FROM asked WHERE token NOT IN {fx.STOP_SQL}),
+{fx.stems_sql("asked_words", "asked_stems")},
+terms AS (SELECT DISTINCT qid, lexeme FROM asked JOIN asked_stems USING (token))"""
+    return f"""{terms},
 needed AS (SELECT qid, count(*) AS n_terms FROM terms GROUP BY qid),
 found AS (SELECT t.qid, p.id, p.lexeme, p.positions FROM terms t JOIN postings p USING (lexeme)),
 hits AS (
@@ -107,8 +113,8 @@ ranked AS (
 _COSINE = """CASE WHEN na * nb = 0 THEN 'nan'::DOUBLE ELSE greatest(-1, least(1, ab / (na * nb))) END"""
 
 
-def _hybrid_sql(q: str, allowed: str, top_k: str = "10", weight: str = "0.5") -> str:
-    return f"""{_match_sql(q, allowed)},
+def _hybrid_sql(q: str, allowed: str, top_k: str = "10", weight: str = "0.5", english: bool = False) -> str:
+    return f"""{_match_sql(q, allowed, english)},
 windowed AS (
   SELECT r.*, row_number() OVER (PARTITION BY r.qid ORDER BY round(text_rank, 9) DESC, id) AS rn FROM ranked r),
 measured AS (
@@ -205,7 +211,13 @@ def verification_search(spark, sf):
     return _scores(search.verification_search(batch, m, text_index.build_postings(m), DIM))
 
 
-@query()
+_PLAIN_SQL = f"""plain_tokens AS (
+  SELECT id, unnest(regexp_extract_all(lower(content), '{TOKEN_PATTERN}')) AS lexeme FROM memory),
+plain AS (SELECT id, lexeme, count(*) AS n FROM plain_tokens GROUP BY id, lexeme)"""
+
+
+@query(f"""WITH {fx.ENGLISH_SQL}, {_PLAIN_SQL}, {fx.KNOWN_SQL.replace("FROM postings", "FROM plain")}, {_hybrid_sql("known", _SEARCHABLE, english=True)}
+SELECT {_SCORE_COLUMNS} FROM placed WHERE position <= top_k""")
 def hybrid_search_english(spark, sf):
     m = fx.memory(spark, sf)
     postings = text_index.build_postings(m, "english")
@@ -479,18 +491,76 @@ def document_frequency(spark, sf):
     return text_index.document_frequency(text_index.build_postings(fx.memory(spark, sf)))
 
 
-@query()
+@query(f"""WITH {fx.ENGLISH_SQL}
+SELECT id, lexeme, array_to_string(positions, ' ') AS positions FROM postings""")
+def postings_english(spark, sf):
+    rows = text_index.build_postings(fx.memory(spark, sf), "english")
+    return rows.withColumn("positions", F.array_join(F.col("positions").cast("array<string>"), " "))
+
+
+@query(f"WITH {fx.ENGLISH_SQL} SELECT token, lexeme FROM stems")
 def lexicon_english(spark, sf):
     rows = text_index.token_rows(fx.memory(spark, sf), "content", ("id",), "english")
     return text_index.build_lexicon(rows).words.df
 
 
+@query(f"""WITH w AS (SELECT item_id AS qid, unnest(regexp_extract_all(lower(text), '{TOKEN_PATTERN}')) AS token FROM benchmark),
+words AS (SELECT DISTINCT token FROM w WHERE token NOT IN {fx.STOP_SQL}), {fx.stems_sql("words")},
+t AS (SELECT DISTINCT qid, lexeme FROM w JOIN stems USING (token))
+SELECT qid, lexeme, count(*) OVER (PARTITION BY qid)::INTEGER AS n_terms FROM t""")
+def query_terms_english(spark, sf):
+    return text_index.analyze_queries(fx.benchmark_queries(spark, sf), "english")
+
+
 @query(f"""WITH t AS (SELECT item_id AS qid, list_distinct(regexp_extract_all(lower(text), '{TOKEN_PATTERN}')) AS w FROM benchmark)
 SELECT qid, unnest(w) AS lexeme, len(w)::INTEGER AS n_terms FROM t""")
 def query_terms(spark, sf):
     return text_index.analyze_queries(fx.benchmark_queries(spark, sf))
 
 
+def _grammar_sql(source: str) -> str:
+    """CTE ``parts(id, kind, token, pos)`` of the rows ``source(id, content)``."""
+    q = lambda p: "'" + p.replace("'", "''") + "'"
+    fits = lambda kind: f"regexp_full_match(t, {q(GRAMMAR[kind])})"
+    plain = " ".join(f"WHEN {fits(k)} THEN [{{'kind': '{k}', 'token': t}}]" for k in ("file", "version", "float", "int"))
+    return f"""raw AS (
+  SELECT id, unnest(x) AS t, generate_subscripts(x, 1) AS n FROM (SELECT id, regexp_extract_all(lower(content), {q(GRAMMAR_PATTERN)}) AS x FROM {source})),
+bare AS (SELECT *, regexp_replace(t, '{PROTOCOL}', '') AS b, regexp_replace(t, '-+$', '') AS r FROM raw),
+split AS (SELECT id, n, CASE WHEN {fits("email")} THEN [{{'kind': 'email', 'token': t}}]
+    WHEN {fits("url")} THEN [{{'kind': 'url', 'token': b}}, {{'kind': 'host', 'token': regexp_extract(b, '^[^/]+')}}, {{'kind': 'url_path', 'token': regexp_extract(b, '/.*$')}}]
+    WHEN {fits("host")} THEN [{{'kind': 'host', 'token': b}}]
+    {plain} WHEN r NOT LIKE '%-%' THEN [{{'kind': CASE WHEN regexp_matches(r, '\\p{{L}}') THEN 'word' WHEN regexp_matches(r, '^[0-9]+$') THEN 'int' ELSE 'other' END, 'token': r}}]
+    WHEN regexp_matches(r, '\\p{{L}}') THEN list_concat([{{'kind': 'hword', 'token': r}}], list_transform(list_filter(string_split(r, '-'), lambda p: p <> ''), lambda p: {{'kind': 'hword_part', 'token': p}}))
+    ELSE list_transform(list_filter(string_split(r, '-'), lambda p: p <> ''), lambda p: {{'kind': 'int', 'token': p}}) END AS found FROM bare),
+each AS (SELECT id, n, unnest(found) AS f, generate_subscripts(found, 1) AS k FROM split),
+parts AS (SELECT id, f.kind AS kind, f.token AS token, row_number() OVER (PARTITION BY id ORDER BY n, k)::INTEGER AS pos FROM each)"""
+
+
+def _grammar_rows(df: DataFrame) -> DataFrame:
+    rows = df.select("id", F.posexplode(grammar_parts(F.col("content"))).alias("p", "x"))
+    return rows.select("id", "x.kind", "x.token", (F.col("p") + 1).alias("pos"))
+
+
+@query(f"""WITH u AS (SELECT page_id AS id, url AS content FROM pages), {_grammar_sql("u")}
+SELECT id, kind, token, pos FROM parts""")
+def grammar_urls(spark, sf):
+    return _grammar_rows(fx.table(spark, sf, "pages").select(F.col("page_id").alias("id"), F.col("url").alias("content")))
+
+
+@query(f"""WITH {fx.MEMORY_SQL}, {_grammar_sql("memory")}
+SELECT id, token AS lexeme, string_agg(pos, ' ' ORDER BY pos) AS positions FROM parts GROUP BY id, token""")
+def postings_grammar(spark, sf):
+    rows = text_index.build_postings(fx.memory(spark, sf), grammar=True)
+    return rows.withColumn("positions", F.array_join(F.col("positions").cast("array<string>"), " "))
+
+
+@query(f"""WITH {fx.MEMORY_SQL}, {_grammar_sql("memory")}
+SELECT kind, count(*) AS n, count(DISTINCT token) AS tokens FROM parts GROUP BY kind""")
+def grammar_kinds(spark, sf):
+    rows = _grammar_rows(fx.memory(spark, sf).select("id", "content"))
+    return rows.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("token").alias("tokens"))
+
+
 # --- filters -----------------------------------------------------------------------------------
 
 

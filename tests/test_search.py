@@ -5,7 +5,7 @@ import pytest
 from brute import hybrid
 from pyspark.sql import functions as F
 
-from mnemolake.functions.stemmer import stem
+from mnemolake.functions.stemmer import with_stems
 from mnemolake.functions.text import stop_words
 from mnemolake.operators.text_index import build_postings
 from mnemolake.plans import search
@@ -105,7 +105,7 @@ def test_english_matches_definition(spark, memory, rows):
     data = [(1, "jumping foxes", [1.0, 0.0, 0.0, 0.0]), (2, "the dogs", [0.0, 1.0, 0.0, 0.0]), (3, "the of a", [1.0, 0.0, 0.0, 0.0])]
     q = spark.createDataFrame(data, SCHEMA)
     words = {w for r in rows for w in r["content"].lower().split()} | {"jumping", "foxes", "dogs"}
-    table = spark.createDataFrame([(w,) for w in words], "token string").select("token", stem(F.col("token")).alias("lexeme"))
+    table = with_stems(spark.createDataFrame([(w,) for w in words], "token string"))
     stems = {r.token: r.lexeme for r in table.collect()}
     stops = set(stop_words())
     analyse = lambda w: None if w in stops else stems[w]

@@ -4,8 +4,8 @@ import pytest
 from brute import lexemes, rank
 from pyspark.sql import functions as F
 
-from mnemolake.functions.stemmer import stem
-from mnemolake.functions.text import positions, stop_words, tokens, ts_rank
+from mnemolake.functions.stemmer import stem_word, with_stems
+from mnemolake.functions.text import grammar_parts, positions, stop_words, tokens, ts_rank
 from mnemolake.operators import text_index as ti
 from mnemolake.operators.staging import stage
 
@@ -92,7 +92,7 @@ STEMS = {
 
 def test_stemmer(spark):
     df = spark.createDataFrame([(w,) for w in STEMS], "token string")
-    got = {r.token: r.lexeme for r in df.select("token", stem(F.col("token")).alias("lexeme")).collect()}
+    got = {r.token: r.lexeme for r in with_stems(df).collect()}
     assert {w: s for w, s in got.items() if s != STEMS[w]} == {}
 
 
@@ -166,3 +166,80 @@ def test_english_match_survives_filters_on_the_lexeme(spark, memory):
     terms = stage(ti.analyze_queries(q, "english"))
     got = ti.fts_match(terms, ti.build_postings(memory, "english"), memory.select("id")).collect()
     assert {(r.qid, r.id) for r in got} == {(1, 1), (2, 1), (2, 2)}
+
+
+def test_stems_as_expressions_equal_stems_of_single_words(spark):
+    heads = ("gener", "commun", "arsen", "y", "say", "hopp", "luxuri", "cr", "sens", "feud", "abl", "rat", "", "é")
+    ends = ("ational", "ization", "izer", "ing", "ed", "eedly", "eed", "sses", "ied", "ies", "ly", "li", "logi", "fulli", "ative", "icate",
+            "ement", "sion", "tion", "ll", "e", "y", "yy", "ness", "ously", "us", "ss", "ical", "entli", "s")
+    words = {h + e for h in heads for e in ends} | set(STEMS) | {"skies", "dying", "inning", "succeed", "syzygy", "a", "yes", "x2s"}
+    df = spark.createDataFrame([(w,) for w in sorted(words)] + [(None,)], "token string")
+    got = {r.token: r.lexeme for r in with_stems(df).collect()}
+    assert {w: (s, stem_word(w)) for w, s in got.items() if w is not None and s != stem_word(w)} == {}
+    assert got[None] is None
+
+
+@pytest.mark.parametrize("config", ["simple", "english"])
+def test_postings_without_a_shuffle(spark, config):
+    rows = [(1, "the runs, run running; run"), (2, None), (3, ""), (4, "x " * 3000 + "y"), (5, "one two one")]
+    m = spark.createDataFrame(rows, "id long, content string")
+    found = ti.build_postings(m, config)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    got = {(r.id, r.lexeme): r.positions for r in found.collect()}
+    assert got[5, "one"] == [1, 3] and got[4, "x"] == list(range(1, 3001)) and got[4, "y"] == [3001]
+    assert (got.get((1, "run")) == [2, 3, 4, 5]) == (config == "english") and ((1, "the") in got) == (config == "simple")
+    assert {i for i, _ in got} == {1, 4, 5}
+
+
+def test_postings_in_small_parts(memory, monkeypatch):
+    want = sorted(ti.build_postings(memory).collect())
+    monkeypatch.setattr(ti, "TOKENS_AT_A_TIME", 3)
+    assert sorted(ti.build_postings(memory).collect()) == want
+
+
+def test_ranks_of_a_batch(spark):
+    import random
+
+    rng = random.Random(9)
+    cases = [[sorted(rng.sample(range(1, rng.choice([30, 400, 40_000])), rng.randint(1, 25))) for _ in range(rng.randint(0, 5))] for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(cases)), "i int, l array<array<int>>").select("i", ts_rank(F.col("l")).alias("r"))
+    for r in df.collect():
+        want = rank(cases[r.i]) if cases[r.i] else None
+        assert (r.r is None) if want is None else r.r == pytest.approx(want, rel=1e-9), cases[r.i]
+
+
+GRAMMAR_CASES = {
+    "Mail Jo.Doe+x@mail.example.com, now.": [("word", "mail"), ("email", "jo.doe+x@mail.example.com"), ("word", "now")],
+    "see https://Example.com/a/b?x=1.": [("word", "see"), ("url", "example.com/a/b?x=1"), ("host", "example.com"), ("url_path", "/a/b?x=1")],
+    "http://host.org:8080 www.x-y.de": [("host", "host.org:8080"), ("host", "www.x-y.de")],
+    "a well-known state-of-the-art- thing": [
+        ("word", "a"), ("hword", "well-known"), ("hword_part", "well"), ("hword_part", "known"), ("hword", "state-of-the-art"),
+        ("hword_part", "state"), ("hword_part", "of"), ("hword_part", "the"), ("hword_part", "art"), ("word", "thing"),
+    ],
+    "-12 +3.5 1.2.3 6e-3 42 2nd 10-20": [
+        ("int", "-12"), ("float", "+3.5"), ("version", "1.2.3"), ("float", "6e-3"), ("int", "42"), ("word", "2nd"), ("int", "10"), ("int", "20"),
+    ],
+    "in /usr/local/lib.txt, wait...what ½": [("word", "in"), ("file", "/usr/local/lib.txt"), ("word", "wait"), ("word", "what"), ("other", "½")],
+    "": [], " -- @ / . ": [],
+}
+
+
+def test_token_grammar(spark):
+    df = spark.createDataFrame([(t,) for t in GRAMMAR_CASES] + [(None,)], "t string")
+    got = {r.t: r.p for r in df.select("t", grammar_parts(F.col("t")).alias("p")).collect()}
+    assert {t: [tuple(x) for x in got[t]] for t in GRAMMAR_CASES} == GRAMMAR_CASES and got[None] is None
+
+
+def test_token_grammar_of_long_runs(spark):
+    runs = ["x" * 200_000, "a-" * 100_000, "a." * 100_000, "1." * 100_000, "a@" * 100_000, "/a" * 100_000, "9" * 200_000, "ab://" * 40_000]
+    df = spark.createDataFrame([(t,) for t in runs], "t string").select(F.size(grammar_parts(F.col("t"))).alias("n"))
+    assert min(r.n for r in df.collect()) >= 1
+
+
+def test_search_by_grammar(spark):
+    m = spark.createDataFrame([(1, "write to jo@mail.example.com"), (2, "jo mail example com"), (3, "well-known houses")], "id long, content string")
+    for config, text, want in (("simple", "JO@mail.example.com", {1}), ("simple", "known", {3}), ("english", "well-known house", {3})):
+        q = spark.createDataFrame([(1, text)], "qid long, query_text string")
+        terms = stage(ti.analyze_queries(q, config, grammar=True))
+        hits = ti.fts_match(terms, ti.build_postings(m, config, grammar=True), m.select("id"))
+        assert {r.id for r in hits.collect()} == want
