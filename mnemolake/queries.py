@@ -88,11 +88,11 @@ asked_words AS (SELECT DISTINCT token FROM asked WHERE token NOT IN {fx.STOP_SQL
 terms AS (SELECT DISTINCT qid, lexeme FROM asked JOIN asked_stems USING (token))"""
     return f"""{terms},
 needed AS (SELECT qid, count(*) AS n_terms FROM terms GROUP BY qid),
-found AS (SELECT t.qid, p.id, p.lexeme, p.positions FROM terms t JOIN postings p USING (lexeme)),
-hits AS (
+found AS MATERIALIZED (SELECT t.qid, p.id, p.lexeme, p.positions FROM terms t JOIN postings p USING (lexeme)),
+hits AS MATERIALIZED (
   SELECT f.qid, f.id, any_value(n.n_terms) AS n_terms FROM found f JOIN needed n USING (qid)
   GROUP BY f.qid, f.id HAVING count(*) = any_value(n.n_terms)),
-kept AS (SELECT h.qid, h.id, h.n_terms FROM hits h JOIN memory m ON m.id = h.id JOIN {q} q ON q.qid = h.qid WHERE {allowed}),
+kept AS MATERIALIZED (SELECT h.qid, h.id, h.n_terms FROM hits h JOIN memory m ON m.id = h.id JOIN {q} q ON q.qid = h.qid WHERE {allowed}),
 spots AS (SELECT f.qid, f.id, f.lexeme, unnest(f.positions) AS p FROM found f JOIN kept k ON k.qid = f.qid AND k.id = f.id WHERE k.n_terms > 1),
 pair_rank AS (
   SELECT qid, id, 1 - exp(sum(ln_miss)) AS text_rank
@@ -476,6 +476,31 @@ def verify(spark, sf):
     )
 
 
+_CATEGORY_COUNTS = "n AS (SELECT category_id, count(*) AS n FROM memory GROUP BY category_id)"
+
+
+@query(f"""WITH {fx.MEMORY_SQL}, {fx.CATEGORIES_SQL}, {_CATEGORY_COUNTS}
+SELECT c.id, c.name, coalesce(n.n, 0) AS memories FROM categories c LEFT JOIN n ON n.category_id = c.id""")
+def stored_categories(spark, sf):
+    path = scratch_path(spark)
+    fx.categories(spark).write.parquet(path)
+    counts = fx.memory(spark, sf).groupBy(F.col("category_id").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    rows = tables.scan_categories(spark, path).join(counts, "id", "left")
+    return rows.select("id", "name", F.coalesce("n", F.lit(0)).alias("memories"))
+
+
+@query(f"""WITH {fx.MEMORY_SQL}
+SELECT dim, provider, CASE dim WHEN {DIM} THEN (SELECT count(*) FROM memory WHERE {_REAL}) ELSE (SELECT count(*) FROM memory WHERE {_REAL_SMALL}) END AS embedded
+FROM (VALUES ({DIM}, 'hashing'), ({SMALL}, 'noop')) m(dim, provider)""")
+def stored_models(spark, sf):
+    path = scratch_path(spark)
+    models = spark.createDataFrame([(DIM, "hashing"), (SMALL, "noop")], "dim smallint, provider string")
+    models.write.parquet(path)
+    m = fx.memory(spark, sf)
+    counts = [filters.embedded(m, d).agg(F.lit(d).cast("smallint").alias("dim"), F.count(F.lit(1)).alias("embedded")) for d in (DIM, SMALL)]
+    return tables.model_list(tables.scan_models(spark, path)).join(counts[0].unionByName(counts[1]), "dim").select("dim", "provider", "embedded")
+
+
 # --- text index --------------------------------------------------------------------------------
 
 

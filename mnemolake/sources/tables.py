@@ -13,7 +13,6 @@ from ..operators.filters import vector_state
 from ..schemas import CATEGORY_SCHEMA, DIMS, MODEL_SCHEMA, NO_RESULTS, SETTING_SCHEMA, memory_schema, vector_dims
 
 _VERSION = "version="
-WIDEN_BYTES = 512 * 1024 * 1024
 
 
 def state_columns(m: DataFrame) -> list[str]:
@@ -60,19 +59,13 @@ def read_setting(settings: DataFrame, key: str) -> DataFrame:
 
 
 def widen(df: DataFrame) -> DataFrame:
-    """Spread a small table that comes in fewer files than there are cores.
+    """Spread a table that comes in fewer partitions than there are cores.
 
-    A file of one row group is one task, whatever is computed from it. Tables with enough files, or
-    too large to be moved for free, pass unchanged.
+    A file of one row group is one task, whatever is computed from it. Tables that Spark reads in enough partitions
+    pass unchanged; their number comes from the planned scan, whatever the size of the files.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if not files or len(files) >= cores:
-        return df
-    conf, path = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path
-    sizes = [path(f).getFileSystem(conf).getFileStatus(path(f)).getLen() for f in files]
-    return df.repartition(cores) if sum(sizes) <= WIDEN_BYTES else df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def append_memories(m: DataFrame, new: DataFrame) -> DataFrame:

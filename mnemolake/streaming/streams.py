@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.embedders import EmbedSpec
 from ..operators.embedding import ERROR, attach_embedding, embed_texts
+from ..operators.filters import needs_embedding
 from ..operators.mutations import current_state, mirror_writes, prepare_memories
 from ..sources.tables import with_vector_state
 
@@ -116,14 +117,14 @@ def stream_backfill(
 ) -> StreamingQuery:
     """Embed arriving rows ``(id, content)`` that lack a vector; writes ``(id, vector, status, updated_at)``.
 
-    Rows that bring a vector of this width are left alone. With ``keep_errors`` texts that fail are not written.
+    Rows that bring a real vector of this width are left alone; missing, empty and all-zero ones are renewed. With ``keep_errors`` texts that fail are not written.
 
     The written rows are changes by id for ``apply_by_id``.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if f"vector_{embed.dim}" in batch.columns:
-            batch = batch.where(F.col(f"vector_{embed.dim}").isNull())
+            batch = needs_embedding(batch, embed.dim)
         vectors = embed_texts(batch.select(F.col("content").alias("text")), embed, cache)
         joined = attach_embedding(batch.select("id", "content"), "content", embed, vectors)
         out = joined.where(F.col("status") != ERROR).select("id", F.col("vector").alias(f"vector_{embed.dim}"), "status", now.alias("updated_at"))
