@@ -13,7 +13,7 @@ from ..functions.embedders import EmbeddingError, EmbedSpec, Factory, embedder_f
 from ..functions.scalars import cache_key, is_blank, json_int
 from ..functions.vectors import check_width, zero_vector
 from ..schemas import CACHE_SCHEMA, DIMS, FALLBACK_DIM
-from .staging import Staged, balanced_join, counted_heavy_keys, missing, stage
+from .staging import Staged, balanced_join, counted_heavy_keys, missing, prunable, stage
 
 # Status of an embedded row.
 BLANK, HIT, OK, FALLBACK, ERROR = "blank", "hit", "ok", "zero_fallback", "error"
@@ -29,26 +29,50 @@ _VECTORS = T.StructType(
 )
 
 
+def _place(key: Column) -> Column:
+    """Directory of a stored entry."""
+    return F.substring(key, 1, 2)
+
+
+def cached(wanted: Staged, cache: DataFrame, dim: int) -> Staged:
+    """One valid entry ``(key, vector)`` per requested key that has one; the cache is read once.
+
+    Of a cache from ``read_cache`` only the directories of the requested keys are read.
+    """
+    stored = "prefix" in cache.columns
+    on = ["prefix", "key"] if stored else ["key"]
+    keys = wanted.df.select("key").distinct()
+    if stored:
+        keys = prunable(keys.withColumn("prefix", _place(F.col("key"))), "prefix")
+    valid = cache.where(check_width(F.col("vector"), dim)).select(*on, "vector")
+    found = valid.join(F.broadcast(keys) if wanted.small else keys, on)
+    return stage(found.select("key", F.col("vector").cast("array<float>").alias("vector")).dropDuplicates(["key"]))
+
+
 def cache_lookup(reqs: DataFrame, cache: DataFrame, dim: int) -> DataFrame:
     """Cached vector per requested key, NULL on a miss. An entry of another width is a miss."""
-    valid = cache.where(check_width(F.col("vector"), dim)).select("key", "vector")
-    return reqs.join(valid, "key", "left")
+    found = cached(stage(reqs.select("key")), cache, dim)
+    return reqs.join(F.broadcast(found.df) if found.small else found.df, "key", "left")
 
 
 def cache_append(cache: DataFrame | None, fresh: DataFrame) -> DataFrame:
     """The cache with new entries; existing keys keep their entry."""
-    return fresh if cache is None else cache.unionByName(missing(fresh, cache, "key"))
+    if cache is None:
+        return fresh
+    known = cache.drop("prefix")
+    return known.unionByName(missing(fresh, known, "key"))
 
 
 def write_cache(fresh: DataFrame, path: str) -> None:
     """Append entries in directories by the first two characters of the key."""
-    entries = fresh.withColumn("prefix", F.substring("key", 1, 2)).hint("rebalance", "prefix")
+    entries = fresh.withColumn("prefix", _place(F.col("key"))).hint("rebalance", "prefix")
     entries.write.mode("append").partitionBy("prefix").parquet(path)
 
 
 def read_cache(spark, path: str) -> DataFrame:
+    """The stored entries with their directory ``prefix``, by which look-ups leave out what they don't need."""
     schema = T.StructType([*CACHE_SCHEMA.fields, T.StructField("prefix", T.StringType())])
-    return spark.read.schema(schema).parquet(path).drop("prefix")
+    return spark.read.schema(schema).parquet(path)
 
 
 def _embed_batches(factory: Factory, spec: EmbedSpec):
@@ -103,21 +127,24 @@ def embed_texts(texts: DataFrame, spec: EmbedSpec, cache: DataFrame | None = Non
         .agg(F.count(F.lit(1)).alias("n"))
     )
     total = F.coalesce(F.sum("n"), F.lit(0))
-    hits = None
-    if cache is not None:
-        wanted = stage(reqs)
-        side = F.broadcast(wanted.df) if wanted.small else wanted.df
-        valid = cache.where(check_width(F.col("vector"), spec.dim)).select("key", "vector")
-        found = valid.join(side.select("key", "n"), "key").dropDuplicates(["key"])
-        hits = found.select(
-            "key", "n", F.col("vector").cast("array<float>").alias("vector"), F.lit(HIT).alias("status"),
-            F.lit(None).cast("string").alias("error"),
-        )
-        reqs = missing(wanted.df, valid, "key")
+    if cache is None:
+        return stage(_embedded(reqs, spec), total=total)
+    wanted = stage(reqs, total=total)
+    found = cached(wanted, cache, spec.dim)
+    known = F.broadcast(found.df) if found.small else found.df
+    hits = wanted.df.select("key", "n").join(known, "key").select(
+        "key", "n", "vector", F.lit(HIT).alias("status"), F.lit(None).cast("string").alias("error")
+    )
+    names = F.broadcast(found.df.select("key")) if found.small else found.df.select("key")
+    fresh = stage(_embedded(wanted.df.join(names, "key", "left_anti"), spec))
+    both = hits.unionByName(fresh.df)
+    return Staged(both, wanted.rows, found.bytes + fresh.bytes, {**wanted.seen})
+
+
+def _embedded(reqs: DataFrame, spec: EmbedSpec) -> DataFrame:
     if spec.parallelism:
         reqs = reqs.repartition(spec.parallelism, "key")
-    fresh = reqs.mapInPandas(_embed_batches(embedder_factory(spec.provider), spec), _VECTORS)
-    return stage(fresh if hits is None else hits.unionByName(fresh), total=total)
+    return reqs.mapInPandas(_embed_batches(embedder_factory(spec.provider), spec), _VECTORS)
 
 
 def cache_entries(vectors: DataFrame, spec: EmbedSpec, ts: Column) -> DataFrame:

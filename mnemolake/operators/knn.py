@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .filters import active, vector_state
-from .staging import BROADCAST_BYTES, Staged, stage, top_per_query
+from .staging import BROADCAST_BYTES, Staged, prunable, stage, top_per_query
 
 # Rows of one group: what a task holds in memory at a time.
 QUERY_BLOCK = 16384
@@ -245,7 +245,7 @@ def knn_approx(
     schema = _pair_schema(left, index)
     asked = stage(left.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cq")))
     near = asked.df.withColumn("part", _part(F.col("_bucket")))
-    near = F.broadcast(near) if asked.small else near
+    near = F.broadcast(prunable(near, "part")) if asked.small else near
     counted = index.select("_bucket", "part").join(near, ["part", "_bucket"]).groupBy("_bucket", "part", "_cq")
     sizes = stage(
         counted.agg(F.count(F.lit(1)).alias("_cv")), total=F.coalesce(F.sum(F.greatest("_cq", "_cv")), F.lit(0))
@@ -254,7 +254,7 @@ def knn_approx(
         "_bucket", "part",
         F.ceil(F.col("_cq") / QUERY_BLOCK).alias("_nq"), F.ceil(F.col("_cv") / VECTOR_BLOCK).alias("_nv"),
     )
-    side = F.broadcast(counts) if sizes.small else counts
+    side = F.broadcast(prunable(counts, "part")) if sizes.small else counts
     packs = -(-sizes.seen["total"] // BUCKET_ROWS) or 1
     pairs = _block_topk(
         left.join(side.drop("part"), "_bucket"), index.join(side, ["part", "_bucket"]).drop("part"),

@@ -100,6 +100,16 @@ def stage(df: DataFrame, **metrics: Column) -> Staged:
     return Staged(spark.read.schema(df.schema).parquet(path), found["rows"], found["bytes"], found)
 
 
+def prunable(side: DataFrame, column: str) -> DataFrame:
+    """The small side of a join on a partition column of a stored table.
+
+    Spark prunes directories at run time only for a side that has a filter, so it gets one that every row with a
+    value passes: texts are at least empty, bucket numbers at least 0.
+    """
+    lowest = "" if isinstance(side.schema[column].dataType, T.StringType) else 0
+    return side.where(F.col(column) >= F.lit(lowest))
+
+
 def counted_heavy_keys(counts: DataFrame, key: str, n: str, total: int, share: float = HEAVY_SHARE) -> DataFrame:
     """Heavy keys from counts that are known already; fewer than ``1 / share`` rows."""
     return counts.where(F.col(n) > max(total * share, HEAVY_MIN_ROWS)).select(key)

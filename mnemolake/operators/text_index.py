@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.stemmer import stem_word, with_stems
 from ..functions.text import CONFIGS, grammar_tokens, positions, stop_words, tokens, ts_rank
-from .staging import BROADCAST_BYTES, HEAVY_MIN_ROWS, Staged, balanced_join, counted_heavy_keys, row_bytes, stage
+from .staging import BROADCAST_BYTES, HEAVY_MIN_ROWS, Staged, balanced_join, counted_heavy_keys, prunable, row_bytes, stage
 
 
 POSTING_BUCKETS = 64
@@ -221,7 +221,7 @@ def relevant_postings(terms: Staged, postings: DataFrame, buckets: int = POSTING
     vocabulary = terms.df.select("lexeme").distinct()
     if "bucket" in postings.columns and terms.small:
         vocabulary = vocabulary.withColumn("bucket", postings_bucket(F.col("lexeme"), buckets))
-        hits = postings.join(F.broadcast(vocabulary), ["bucket", "lexeme"], "left_semi")
+        hits = postings.join(F.broadcast(prunable(vocabulary, "bucket")), ["bucket", "lexeme"], "left_semi")
     else:
         hits = balanced_join(postings, vocabulary, "lexeme", "left_semi", right_small=terms.small)
     return stage(hits.select("id", "lexeme", "positions"))

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mnemolake.functions.embedders import EmbedSpec, embedder_factory, register_embedder
+from mnemolake.functions.scalars import cache_key
 from mnemolake.operators import embedding as E
 
 DIMS = (4, 8)
@@ -35,6 +36,10 @@ def calls(log):
     return open(log).read().splitlines() if __import__("os").path.exists(log) else []
 
 
+def key_of(spark, s, text):
+    return spark.range(1).select(cache_key(s.dim, s.provider, s.model, F.lit(text)).alias("k")).first().k
+
+
 @pytest.fixture
 def texts(spark):
     return spark.createDataFrame([(1, "hello"), (2, ""), (3, "   "), (4, "hello"), (5, "bad one"), (6, None), (7, "other")], "id int, text string")
@@ -103,6 +108,35 @@ def test_cache_saves_calls_and_ignores_wrong_widths(spark, texts, tmp_path):
     assert by_id(E.embed_column(texts, "text", s, broken))[1][1] == "ok"
 
 
+def test_lookup_reads_only_the_directories_of_its_keys(spark, tmp_path):
+    """The files of all other directories are made unreadable; the answer stays."""
+    s, path = spec("hashing"), tmp_path / "cache"
+    words = spark.range(300).select(F.format_string("word %d", "id").alias("text"))
+    E.write_cache(E.cache_entries(E.embed_texts(words, s).df, s, F.lit(1)), str(path))
+    asked = words.limit(3).unionByName(spark.createDataFrame([("unknown",)], "text string"))
+    want = {r.text: key_of(spark, s, r.text) for r in asked.collect()}
+    needed = {f"prefix={k[:2]}" for k in want.values()}
+    spoiled = [f for f in path.glob("prefix=*/*.parquet") if f.parent.name not in needed]
+    assert len(spoiled) > 100
+    for f in spoiled:
+        f.write_bytes(b"unreadable")
+    found = E.embed_texts(asked, s, E.read_cache(spark, str(path)))
+    got = {r.key: r.status for r in found.df.collect()}
+    assert got == {k: "ok" if t == "unknown" else "hit" for t, k in want.items()}
+    reqs = spark.createDataFrame([(k,) for k in want.values()] + [(None,)], "key string")
+    rows = E.cache_lookup(reqs, E.read_cache(spark, str(path)), 4).collect()
+    assert len(rows) == 5 and sum(r.vector is not None for r in rows) == 3
+
+
+def test_a_key_stored_twice_is_one_hit(spark, texts, tmp_path):
+    s, path = spec("hashing"), str(tmp_path / "cache")
+    entries = E.cache_entries(E.embed_texts(texts.select("text"), s).df, s, F.lit(1))
+    E.write_cache(entries, path)
+    E.write_cache(entries, path)
+    got = by_id(E.embed_column(texts, "text", s, E.read_cache(spark, path)))
+    assert len(got) == 7 and {got[i][1] for i in (1, 4, 5, 7)} == {"hit"}
+
+
 def test_cache_append_keeps_existing_entries(spark):
     old = spark.createDataFrame([("a", 1)], "key string, ts int")
     new = spark.createDataFrame([("a", 2), ("b", 2)], "key string, ts int")

@@ -97,10 +97,20 @@ def test_stored_index_gives_the_same_answer(spark, points, tmp_path):
     m, q, _ = points
     path = str(tmp_path / "index")
     knn.write_index(knn.signature_index(m, 8, 6, 4), path)
-    stored = knn.knn_approx(q, m, 8, 6, 6, 4, index=spark.read.parquet(path))
+    stored_index = spark.read.parquet(path)
+    stored = knn.knn_approx(q, m, 8, 6, 6, 4, index=stored_index)
     same(as_dict(stored), as_dict(knn.knn_approx(q, m, 8, 6, 6, 4)))
+    one = q.where("qid = 0")
+    want = as_dict(knn.knn_approx(one, m, 8, 6, 6, 4))
+    asked = knn.signatures(one.select(F.col("query_vector").alias("v")), "v", 8, 6, 4).select(knn._part(F.col("_bucket")).alias("p"))
+    needed = {f"part={r.p}" for r in asked.collect()}
+    others = [f for f in (tmp_path / "index").glob("part=*/*.parquet") if f.parent.name not in needed]
+    assert others
+    for f in others:
+        f.write_bytes(b"unreadable")
+    same(as_dict(knn.knn_approx(one, m, 8, 6, 6, 4, index=stored_index)), want)
     with pytest.raises(TypeError):
-        knn.knn_approx(q, m, 8, 6, index=spark.read.parquet(path))
+        knn.knn_approx(q, m, 8, 6, index=stored_index)
 
 
 def test_score_pieces(points, monkeypatch):
