@@ -13,7 +13,7 @@ from .functions.embedders import EmbeddingError, EmbedSpec, embedder_factory, re
 from .functions.scalars import cache_key, is_blank, json_int, percent
 from .functions.text import GRAMMAR, GRAMMAR_PATTERN, PROTOCOL, TOKEN_PATTERN, grammar_parts
 from .functions.vectors import check_width, norm, parse_vector
-from .operators import aggregates, embedding, filters, joins, knn, mutations, text_index
+from .operators import aggregates, embedding, filters, joins, knn, mutations, stored, text_index
 from .operators.staging import scratch_path, stage
 from .plans import reports, search
 from .schemas import NO_RESULTS, model_seed, settings_seed
@@ -860,6 +860,85 @@ def backfill_dry_run(spark, sf):
     return mutations.backfill(fx.memory(spark, sf), [HASHING], fx.now(), dry_run=True).stats
 
 
+# --- mutations in place ------------------------------------------------------------------------
+
+_WHOLE = """{state}, {mark} AS mark, {small} AS small_mark, confidence::INTEGER AS confidence, array_to_string(tags, ',') AS tags,
+  metadata, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created, strftime(expires_at, '%Y-%m-%d %H:%M:%S') AS expires""".format(
+    state=_STATE, mark="{mark}", small=fingerprint_sql(f"vector_{SMALL}", SMALL)
+)
+_OLD_MARK = fingerprint_sql(f"vector_{DIM}", DIM)
+_FULL_SQL = f"""{fx.MEMORY_SQL}, full_memory AS (SELECT *, '{{"n":' || n_chars || ',"src":"' || source || '"}}' AS metadata FROM memory)"""
+
+
+def _stored(spark, sf) -> str:
+    """All memories, written in buckets by id."""
+    path = scratch_path(spark)
+    stored.write_buckets(fx.memory(spark, sf), path, 16)
+    return path
+
+
+def _whole_state(spark, path: str) -> DataFrame:
+    """Every column of a stored table in a form that SQL can compare."""
+    m = stored.read_buckets(spark, path)
+    stamp = "yyyy-MM-dd HH:mm:ss"
+    extra = m.select(
+        "id", F.col("confidence").cast("int").alias("confidence"), F.array_join("tags", ",").alias("tags"), "metadata",
+        F.date_format("created_at", stamp).alias("created"), F.date_format("expires_at", stamp).alias("expires"),
+    )
+    return _state(m).join(extra, "id")
+
+
+@query(f"""WITH {_FULL_SQL}, {_NEW_PAGES}, src AS (SELECT content AS text FROM fresh), {_hash_sql(DIM)}
+SELECT {_WHOLE.format(mark=_OLD_MARK)} FROM full_memory
+UNION ALL
+SELECT f.id, f.category_id::INTEGER, 'memory', md5(f.content), true, '{fx.NOW}', round(h.mark, 4), NULL, 80, '', '{{}}', '{fx.NOW}', NULL
+FROM fresh f JOIN hashed h ON h.text = f.content WHERE f.id NOT IN (SELECT id FROM memory)""")
+def add_stored(spark, sf):
+    path, p = _stored(spark, sf), F.col("page_id")
+    category = F.when(p % 4 == 0, "user_preference").when(p % 4 == 1, "fact").when(p % 4 == 2, "no_such_category")
+    new = fx.table(spark, sf, "pages").select((p * 7).alias("id"), F.col("url").alias("content"), category.alias("category"))
+    stored.add_stored(spark, path, new, fx.categories(spark), HASHING, fx.now())
+    return _whole_state(spark, path)
+
+
+@query(f"""WITH {_FULL_SQL}, {_EDITS}, src AS (SELECT content AS text FROM edits), {_hash_sql(DIM)},
+state AS (
+  SELECT m.* REPLACE (coalesce(e.content, m.content) AS content,
+    CASE WHEN e.id IS NULL THEN updated_at ELSE TIMESTAMP '{fx.NOW}' END AS updated_at),
+    CASE WHEN e.id IS NULL THEN {_OLD_MARK} ELSE round(h.mark, 4) END AS new_mark
+  FROM full_memory m LEFT JOIN edits e ON e.id = m.id LEFT JOIN hashed h ON h.text = e.content)
+SELECT {_WHOLE.format(mark="new_mark")} FROM state""")
+def update_stored(spark, sf):
+    path = _stored(spark, sf)
+    edits = fx.table(spark, sf, "events").select(F.col("user_id").alias("id"), F.col("props").alias("content"), "ts", "event_id")
+    stored.update_stored(spark, path, edits, HASHING, fx.now(), ("ts", "event_id"))
+    return _whole_state(spark, path)
+
+
+@query(f"""WITH {_FULL_SQL}, gone AS (SELECT DISTINCT doc_id AS id FROM labels WHERE toxic = 1),
+state AS (SELECT m.* REPLACE (m.is_active AND g.id IS NULL AS is_active,
+    CASE WHEN g.id IS NULL THEN updated_at ELSE TIMESTAMP '{fx.NOW}' END AS updated_at)
+  FROM full_memory m LEFT JOIN gone g ON g.id = m.id)
+SELECT {_WHOLE.format(mark=_OLD_MARK)} FROM state""")
+def forget_stored(spark, sf):
+    path = _stored(spark, sf)
+    ids = fx.table(spark, sf, "labels").where("toxic = 1").select(F.col("doc_id").alias("id"))
+    stored.forget_stored(spark, path, ids, fx.now())
+    return _whole_state(spark, path)
+
+
+@query(f"""WITH {_FULL_SQL}, src AS (SELECT content AS text FROM memory), {_hash_sql(DIM)}, due AS (SELECT id FROM memory WHERE {_DUE_SQL}),
+state AS (
+  SELECT m.* REPLACE (CASE WHEN d.id IS NULL THEN updated_at ELSE TIMESTAMP '{fx.NOW}' END AS updated_at),
+    CASE WHEN d.id IS NULL THEN {_OLD_MARK} ELSE round(coalesce(h.mark, 0), 4) END AS new_mark
+  FROM full_memory m LEFT JOIN due d ON d.id = m.id LEFT JOIN hashed h ON h.text = m.content)
+SELECT {_WHOLE.format(mark="new_mark")} FROM state""")
+def backfill_stored(spark, sf):
+    path = _stored(spark, sf)
+    stored.backfill_stored(spark, path, [HASHING], fx.now())
+    return _whole_state(spark, path)
+
+
 @query(f"""WITH {fx.MEMORY_SQL}
 SELECT {_STATE}, {fingerprint_sql(f"vector_{DIM}", DIM)} AS mark, {fingerprint_sql(f"vector_{SMALL}", SMALL)} AS small_mark FROM memory""")
 def stored_scan(spark, sf):
