@@ -40,13 +40,18 @@ def write_buckets(rows: DataFrame, path: str, buckets: int = BUCKETS) -> None:
     _write(rows, path, buckets, "errorifexists")
 
 
-def stored_buckets(spark: SparkSession, path: str) -> int:
-    """Number of buckets that a table was written with."""
+def _buckets_of(spark: SparkSession, path: str) -> int | None:
     glob = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/buckets=*")
     found = glob.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(glob) or []
-    if len(found) != 1:
+    return int(found[0].getPath().getName().split("=")[1]) if len(found) == 1 else None
+
+
+def stored_buckets(spark: SparkSession, path: str) -> int:
+    """Number of buckets that a table was written with."""
+    found = _buckets_of(spark, path)
+    if found is None:
         raise ValueError(f"{path} is no table in buckets")
-    return int(found[0].getPath().getName().split("=")[1])
+    return found
 
 
 def read_buckets(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -79,6 +84,30 @@ def rewrite(spark: SparkSession, path: str, ids: DataFrame, change: Callable[[Da
     return hit.rows
 
 
+def merge_stored(
+    spark: SparkSession, path: str, part: Staged, combine: Callable[[DataFrame], DataFrame], buckets: int = BUCKETS
+) -> DataFrame:
+    """Combine ``part`` with the stored rows of its ids and return those rows as they are then stored.
+
+    ``combine`` folds all rows of an id into one. Where it is a minimum, maximum or union, merging the same part twice
+    changes nothing, so a cut-off merge may be repeated. The table is made on the first merge.
+    """
+    exists = _buckets_of(spark, path)
+    buckets = exists or buckets
+    if not part.rows:
+        return part.df
+    hit = stage(part.df.select(id_bucket(buckets).alias("bucket")).distinct())
+    rows = part.df
+    if exists:
+        stored = read_buckets(spark, path, part.df.schema)
+        near = stored.join(F.broadcast(prunable(hit.df, "bucket")), "bucket", "left_semi").drop("bucket")
+        rows = near.unionByName(rows)
+    _write(combine(rows), path, buckets, "overwrite")
+    keys = part.df.select("id", id_bucket(buckets).alias("bucket"))
+    side = F.broadcast(prunable(keys, "bucket")) if part.small else keys
+    return read_buckets(spark, path, part.df.schema).join(side, ["bucket", "id"], "left_semi").drop("bucket")
+
+
 def add_stored(
     spark: SparkSession, path: str, new: DataFrame, categories: DataFrame, embed: EmbedSpec, now: Column, cache: DataFrame | None = None
 ) -> None:

@@ -18,6 +18,7 @@ from .operators.staging import scratch_path, stage
 from .plans import reports, search
 from .schemas import NO_RESULTS, model_seed, settings_seed
 from .sources import tables
+from .streaming import rows as row_streams
 from .streaming import streams
 
 DIM, SMALL = fx.DIM, fx.SMALL_DIM
@@ -1113,6 +1114,66 @@ def stream_mutations(spark, sf):
     return _shown(streams.read_state(spark, path))
 
 
+_WHOLE_ROWS_SQL = f"""WITH state AS ({_CURRENT_SQL}), src AS (SELECT DISTINCT vector_text AS text FROM state), {_hash_sql(DIM)},
+firsts AS (SELECT memory_id AS id, arg_min(event_id, (ts, event_id)) AS e FROM (WITH {fx.MUTATIONS_SQL} SELECT * FROM mutations) WHERE op = 'add' GROUP BY memory_id)
+SELECT s.*, CASE WHEN e % 3 = 0 THEN 2 ELSE 8 END AS category_id, CASE WHEN e % 2 = 0 THEN 'user' ELSE 'memory' END AS target,
+  CASE WHEN e % 5 > 0 THEN 'e' || e % 5 ELSE '' END AS tags, CASE WHEN e % 7 > 0 THEN '{{"e":' || e || '}}' ELSE '{{}}' END AS metadata,
+  80 AS confidence, round(coalesce(h.mark, 0), 4) AS mark
+FROM state s JOIN firsts f ON f.id = s.id LEFT JOIN hashed h ON h.text = s.vector_text"""
+
+
+def _whole_events(spark, sf) -> DataFrame:
+    """Mutations with what an add brings; unknown and missing values fall back to defaults."""
+    e = F.col("event_id")
+    return fx.mutations(spark, sf).withColumns({
+        "category": F.when(e % 3 == 0, "user_profile").when(e % 3 == 1, "nonsense"),
+        "target": F.when(e % 2 == 0, "user"),
+        "tags": F.when(e % 5 > 0, F.array(F.concat(F.lit("e"), e % 5))),
+        "metadata": F.when(e % 7 > 0, F.concat(F.lit('{"e":'), e, F.lit("}"))),
+    })
+
+
+def _streamed(spark, events: DataFrame, base: DataFrame | None = None) -> str:
+    """Rows of a stream of four micro-batches, whose events come in no order of time and some of them twice."""
+    path, checkpoint = _out(spark)
+    twice, source = events.unionByName(events.where("event_id % 4 = 1")), scratch_path(spark)
+    twice.repartition(4, F.xxhash64("event_id", "op")).write.parquet(source)
+    stream = spark.readStream.schema(spark.read.parquet(source).schema).option("maxFilesPerTrigger", 1).parquet(source)
+    row_streams.stream_rows(stream, fx.categories(spark), HASHING, path, checkpoint, base, buckets=16).awaitTermination()
+    return path
+
+
+def _shown_rows(rows: DataFrame) -> DataFrame:
+    extra = rows.select(
+        "id", F.col("category_id").cast("int").alias("category_id"), "target", F.array_join("tags", ",").alias("tags"), "metadata",
+        F.col("confidence").cast("int").alias("confidence"), fingerprint(F.col(f"vector_{DIM}"), DIM).alias("mark"),
+    )
+    return _shown(rows).join(extra, "id")
+
+
+@query(_WHOLE_ROWS_SQL)
+def stream_rows(spark, sf):
+    return _shown_rows(row_streams.read_rows(spark, _streamed(spark, _whole_events(spark, sf))))
+
+
+@query(f"""WITH {fx.MEMORY_SQL}, {fx.MUTATIONS_SQL},
+late AS (SELECT m.* FROM mutations m JOIN memory b ON b.id = m.memory_id),
+done AS (
+  SELECT memory_id AS id, arg_max(content, (ts, event_id)) FILTER (op = 'update') AS content,
+    arg_max(content, (ts, event_id)) FILTER (op IN ('update', 'embed')) AS vector_text, bool_or(op = 'forget') AS gone, max(ts) FILTER (op <> 'add') AS ts
+  FROM late GROUP BY memory_id),
+src AS (SELECT DISTINCT vector_text AS text FROM done WHERE vector_text IS NOT NULL), {_hash_sql(DIM)}
+SELECT m.id, category_id::INTEGER AS category_id, target, md5(coalesce(d.content, m.content)) AS content_md5, is_active AND NOT coalesce(d.gone, false) AS is_active,
+  strftime(greatest(updated_at, d.ts), '%Y-%m-%d %H:%M:%S') AS updated, {fingerprint_sql(f"vector_{SMALL}", SMALL)} AS small_mark,
+  CASE WHEN d.vector_text IS NULL THEN {fingerprint_sql(f"vector_{DIM}", DIM)} ELSE round(coalesce(h.mark, 0), 4) END AS mark
+FROM memory m LEFT JOIN done d ON d.id = m.id LEFT JOIN hashed h ON h.text = d.vector_text""")
+def stream_rows_over_base(spark, sf):
+    """Events over the memories that exist; adds of known ids are rejected, all other ids are left out of the result."""
+    base = fx.memory(spark, sf)
+    rows = row_streams.read_rows(spark, _streamed(spark, _whole_events(spark, sf), base), base)
+    return _state(rows.join(base.select("id"), "id", "left_semi"))
+
+
 @query(f"""WITH {fx.MIRROR_SQL}, src AS (SELECT content AS text FROM mirror), {_hash_sql(DIM)}
 SELECT m.id, m.target, md5(m.content) AS content_md5, CASE WHEN m.target = 'user' THEN 2 ELSE 8 END AS category_id,
   coalesce(round(h.mark, 4), 0) AS mark
