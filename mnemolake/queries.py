@@ -1211,3 +1211,15 @@ def dedup_events(spark, sf):
         availableNow=True
     ).start().awaitTermination()
     return spark.read.parquet(path)
+
+
+@query("SELECT event_id, user_id, event_type FROM events")
+def stream_distinct(spark, sf):
+    """Every event comes twice, in four micro-batches that follow no order of time."""
+    path, checkpoint = _out(spark)
+    events, source = fx.table(spark, sf, "events"), scratch_path(spark)
+    again = events.withColumn("n", F.explode(F.array(F.lit(0), F.lit(1))))
+    again.repartition(4, F.xxhash64("event_id", "n")).drop("n").write.parquet(source)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    streams.stream_distinct(stream, path, checkpoint).awaitTermination()
+    return streams.read_log(spark, path).select("event_id", "user_id", "event_type")

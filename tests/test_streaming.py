@@ -92,6 +92,41 @@ def test_late_and_repeated_events(spark, feed, tmp_path):
     assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == list(range(12))
 
 
+def _distinct(spark, df, source, out):
+    df.coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    S.stream_distinct(stream, out, out + "-check", buckets=4).awaitTermination()
+
+
+def test_distinct_events_over_batches_late_and_repeated(spark, tmp_path):
+    day, start = 86_400, 1_700_000_000
+    rows = [(i, start - day * (i % 5), f"x{i}") for i in range(30)] + [(None, start, "no key"), (None, start, "no key"), (99, None, "no time")]
+    df = spark.createDataFrame(rows, "event_id long, s long, note string").select("event_id", F.timestamp_seconds("s").alias("ts"), "note")
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for part in (df.where("event_id < 20"), df.where("event_id >= 10 or event_id is null"), df, df.unionByName(df)):
+        _distinct(spark, part, source, out)
+    got = S.read_log(spark, out)
+    assert got.columns == df.columns
+    seen = sorted((r.event_id if r.event_id is not None else -1, r.note) for r in got.collect())
+    assert seen == sorted([(i, f"x{i}") for i in range(30)] + [(-1, "no key"), (99, "no time")])
+
+
+def test_distinct_reads_only_the_days_of_its_batch(spark, tmp_path):
+    day, start = 86_400, 1_700_000_000
+    df = spark.range(40).select(F.col("id").alias("event_id"), F.timestamp_seconds(F.lit(start) - F.lit(day) * (F.col("id") % 4)).alias("ts"))
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    _distinct(spark, df, source, out)
+    days = {f"event_day={r.d}" for r in df.where("event_id % 4 = 2").select(F.date_format("ts", "yyyy-MM-dd").alias("d")).distinct().collect()}
+    files = [f for f in (tmp_path / "out").glob("batch=0/*/*/*.parquet")]
+    kept = sorted(f for f in files if f.parent.parent.name in days)
+    others = [f for f in files if f.parent.parent.name not in days]
+    assert kept and others
+    for f in others:
+        f.write_bytes(b"unreadable")
+    _distinct(spark, df.where("event_id % 4 = 2").unionByName(df.where("event_id = 2").withColumn("event_id", F.lit(77).cast("long"))), source, out)
+    assert [r.event_id for r in spark.read.parquet(f"{out}/batch=1").collect()] == [77]
+
+
 def test_mirror_skips_ids_of_earlier_batches(spark, memory, categories, now, tmp_path):
     layout = memory.withColumn("id", F.col("id").cast("string")).limit(0)
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
