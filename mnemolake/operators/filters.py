@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.json_sets import json_holds, path_values_of
 from ..functions.scalars import is_blank, strip
 from ..functions.vectors import is_zero
 from ..schemas import MAX_TARGET_CHARS
-from .staging import stage
+from .staging import balanced_join, counted_heavy_keys, stage
 
 MISSING, ZERO, REAL = 0, 1, 2
 
@@ -75,6 +76,37 @@ def with_metadata(m: DataFrame, path: str, value, type: str = "string") -> DataF
     return m.where(F.try_variant_get(F.try_parse_json("metadata"), path, type) == F.lit(value).cast(type))
 
 
+def containing_metadata(m: DataFrame, wanted: str) -> DataFrame:
+    """Rows whose metadata contain a JSON document, nested objects and array elements included."""
+    return m.where(json_holds(F.col("metadata"), F.lit(wanted)))
+
+
+def match_metadata(q: DataFrame, m: DataFrame) -> DataFrame:
+    """``(qid, id)`` where a memory's metadata contain the query's JSON document ``wanted``.
+
+    Both sides become sets of paths with values. A query meets the memories that have its rarest pair, is compared by
+    inclusion of its set, and the rest is verified document against document, as elements of arrays share a path. Only pairs that
+    some query has are shuffled, and a pair that very many memories have is spread. What is no JSON matches nothing.
+    """
+    def hashed(text: str) -> Column:
+        return F.transform(path_values_of(F.col(text)), lambda p: F.xxhash64(p)).alias("pairs")
+
+    asked = stage(q.select("qid", "wanted", hashed("wanted")).where("pairs is not null"))
+    vocabulary = asked.df.select(F.explode("pairs").alias("pair")).distinct()
+    own = m.select("id", hashed("metadata")).select("id", F.explode("pairs").alias("pair"))
+    found = stage(balanced_join(own, vocabulary, "pair", "left_semi", right_small=asked.small))
+    counts = found.df.groupBy("pair").agg(F.count(F.lit(1)).alias("n"))
+    sized = asked.df.select("qid", F.explode("pairs").alias("pair")).join(counts, "pair", "left")
+    rarest = sized.groupBy("qid").agg(F.min_by("pair", F.struct(F.coalesce("n", F.lit(0)), "pair")).alias("pair"))
+    heavy = counted_heavy_keys(counts, "pair", "n", found.rows)
+    candidates = balanced_join(found.df, rarest, "pair", right_small=asked.small, heavy=heavy).select("qid", "id")
+    sets = found.df.groupBy("id").agg(F.collect_set("pair").alias("_own"))
+    questions = F.broadcast(asked.df) if asked.small else asked.df
+    met = candidates.join(sets, "id").join(questions, "qid").where(F.size(F.array_except("pairs", "_own")) == 0)
+    texts = met.select("qid", "id", "wanted").join(m.select("id", "metadata"), "id")
+    return texts.where(json_holds(F.col("metadata"), F.col("wanted"))).select("qid", "id")
+
+
 def not_expired(m: DataFrame, now: Column) -> DataFrame:
     return m.where(F.col("expires_at").isNull() | (F.col("expires_at") > now))
 

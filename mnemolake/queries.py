@@ -625,6 +625,26 @@ def metadata_filter(spark, sf):
     return filters.with_metadata(fx.memory(spark, sf), "$.src", "src3").select("id")
 
 
+@query("""WITH q AS (SELECT DISTINCT source, lang, doc_id % 4 AS k, doc_id % 3 AS v FROM documents)
+SELECT q.source || '-' || q.lang || '-' || k || '-' || v AS qid, doc_id AS id
+FROM documents d JOIN q ON q.source = d.source AND q.lang = d.lang
+WHERE (doc_id % 4 = k AND doc_id % 3 = v) OR (doc_id % 2 = k AND doc_id % 5 = v)""")
+def match_metadata(spark, sf):
+    """Nested objects and an array of objects, whose members must stand in one element."""
+    docs, d = fx.table(spark, sf, "documents"), F.col("doc_id")
+
+    def part(k, v):
+        return F.struct(k.alias("k"), v.alias("v"))
+
+    inner = F.struct("lang", F.col("n_chars").alias("n"))
+    own = F.struct(F.col("source").alias("src"), inner.alias("doc"), F.array(part(d % 4, d % 3), part(d % 2, d % 5)).alias("parts"))
+    m = docs.select(d.alias("id"), F.to_json(own).alias("metadata"))
+    asked = docs.select("source", "lang", (d % 4).alias("k"), (d % 3).alias("v")).distinct()
+    needle = F.struct(F.struct("lang").alias("doc"), F.array(part(F.col("k"), F.col("v"))).alias("parts"), F.col("source").alias("src"))
+    q = asked.select(F.concat_ws("-", "source", "lang", "k", "v").alias("qid"), F.to_json(needle).alias("wanted"))
+    return filters.match_metadata(q, m)
+
+
 @query(f"WITH {fx.MEMORY_SQL} SELECT id FROM memory WHERE expires_at IS NULL OR expires_at > TIMESTAMP '{fx.NOW}'")
 def not_expired(spark, sf):
     return filters.not_expired(fx.memory(spark, sf), fx.now()).select("id")
