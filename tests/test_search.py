@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from mnemolake.functions.stemmer import with_stems
 from mnemolake.functions.text import stop_words
+from mnemolake.operators import text_index
 from mnemolake.operators.text_index import build_postings
 from mnemolake.plans import search
 from mnemolake.schemas import NO_RESULTS
@@ -170,3 +171,32 @@ def test_window(spark, memory):
     q = spark.createDataFrame([("a", "quick", [0.0, 1.0, 0.0, 0.0])], "qid string, query_text string, query_vector array<float>")
     found = {w: hybrid_search(q, memory, build_postings(memory), 4, fields=[], window=w).count() for w in (1, None)}
     assert found == {1: 1, None: 4}
+
+
+def test_equal_queries_are_searched_once(spark, memory, rows):
+    q = spark.createDataFrame([(i, ("quick brown", "Brown QUICK")[i % 2], [1.0, float(i), 0.0, 0.0]) for i in range(30)], SCHEMA)
+    batch = search.prepare_queries(q)
+    searches, asked = text_index.distinct_searches(batch.terms, batch.queries.df.select("qid", "target", "top_k"), ["target"])
+    assert (searches.rows, asked.rows) == (1, 30)
+    got = results(search.hybrid_search(q, memory, build_postings(memory), 4))
+    same(got, {i: hybrid(rows, "quick brown", [1.0, float(i), 0.0, 0.0]) for i in range(30)})
+
+
+def test_any_blocks_of_searches_and_memories_agree(queries, memory, rows, monkeypatch):
+    for name in ("BLOCK_POSITIONS", "LEAST_POSITIONS", "BLOCK_SEARCHES", "PAIRS_AT_A_TIME"):
+        monkeypatch.setattr(text_index, name, 1)
+    got = results(search.hybrid_search(queries, memory, build_postings(memory), 4))
+    same(got, {q: hybrid(rows, t, v) for q, t, v in QUERIES})
+
+
+def test_pairs_are_not_shuffled(spark):
+    """Two words that every memory has: 400 queries and 400 memories, but only the best rows leave a task."""
+    text = "alpha beta"
+    m = spark.range(400).select(
+        "id", F.lit(text).alias("content"), F.lit(True).alias("is_active"), F.lit("memory").alias("target"),
+        F.lit(1).cast("smallint").alias("category_id"), F.array(F.lit(1.0).cast("float")).alias("vector_1"),
+    )
+    q = spark.range(400).select(F.col("id").alias("qid"), F.lit(text).alias("query_text"))
+    batch = search.prepare_queries(q)
+    hits = search._candidates(batch, m, build_postings(m), 1, False, 3)
+    assert {(r.qid, r.id) for r in hits.collect()} == {(i, j) for i in range(400) for j in range(3)}

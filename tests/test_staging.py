@@ -90,3 +90,10 @@ def test_drop_staged(spark):
     drop_staged(spark)
     with pytest.raises(Exception):
         spark.read.parquet(staged.df.inputFiles()[0]).count()
+
+
+def test_may_hold_keeps_every_wanted_row(spark):
+    rows = spark.range(20000).select("id", F.concat(F.lit("w"), "id").alias("word"))
+    wanted = rows.where("id % 100 = 0")
+    kept = {r.id for r in staging.may_hold(rows, wanted.select("word"), "word").collect()}
+    assert kept >= set(range(0, 20000, 100)) and len(kept) < 400
