@@ -248,3 +248,21 @@ def test_search_by_grammar(spark):
         terms = stage(ti.analyze_queries(q, config, grammar=True))
         hits = ti.fts_match(terms, ti.build_postings(m, config, grammar=True), m.select("id"))
         assert {r.id for r in hits.collect()} == want
+
+
+def test_plain_words_are_found_as_by_the_whole_grammar(spark):
+    """Plain words skip the other classes; all strings of pieces that could go on as one give the same tokens."""
+    import random
+
+    from mnemolake.functions import text as tx
+
+    rng = random.Random(3)
+    bits = ["word", "e1", "1e5", "a", "ß9", ".", "..", "-", "@", ":", "://", "/", " ", "\n", ",", ";", "'", '"', "(", ")", "[", "{", "<", ">", "?", " ", "com", "x" * 70, "7", "+3"]
+    texts = [("".join(rng.choices(bits, k=rng.randint(1, 9))),) for _ in range(4000)]
+    df = spark.createDataFrame(texts, "t string")
+    whole = F.regexp_extract_all(F.lower("t"), F.lit(tx.GRAMMAR_PATTERN), F.lit(0))
+    quick = F.regexp_extract_all(F.lower("t"), F.lit(tx._SCAN), F.lit(0))
+    assert df.where(whole != quick).collect() == []
+    plain = df.select(F.explode(quick).alias("w")).where(F.col("w").rlike(f"^{tx.PLAIN}\\z"))
+    others = "|".join(f"(?:{p})" for kind, p in tx.GRAMMAR.items() if kind != "run")
+    assert plain.where(F.col("w").rlike(f"^(?:{others})$")).count() == 0 < plain.count()
