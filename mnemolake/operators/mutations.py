@@ -206,8 +206,8 @@ def backfill(
 ) -> Backfill:
     """Embed what is missing at every given width.
 
-    Pending rows are split off by a predicate and only they meet new vectors; the others pass
-    through without a shuffle. A failed call of a fail-open embedder leaves a zero vector, which
+    The table is read once for all rows: pending ones meet new vectors by the key of their text, the others have
+    none. Counts come from the texts' own. A failed call of a fail-open embedder leaves a zero vector, which
     counts as embedded for the table and is told apart in ``zero_fallbacks``. With ``keep_errors`` a text that
     fails, or whose vector has another width, leaves its row as it is and counts in ``errors``; the others go on.
     ``skipped`` counts rows that another writer filled meanwhile: none, as a snapshot doesn't change.
@@ -227,17 +227,25 @@ def backfill(
         marked = m
         due = {d: F.coalesce(F.col("is_active"), F.lit(False)) & (vector_state(m, d) != REAL) for d in dims}
     marked = marked.withColumns({f"_due_{d}": due[d] for d in dims}).drop(*state_columns(m))
+    near = marked
+    if limit and all(c.small for c in chosen.values()):
+        # The few chosen ids leave out all other rows before their texts move.
+        ids = chosen[dims[0]].df
+        for d in dims[1:]:
+            ids = ids.unionByName(chosen[d].df)
+        near = m.drop(*state_columns(m)).join(F.broadcast(ids.distinct()), "id", "left_semi")
+        for d in dims:
+            near = near.join(F.broadcast(chosen[d].df.withColumn(f"_due_{d}", F.lit(True))), "id", "left")
+        near = near.fillna(False, [f"_due_{d}" for d in dims])
     if dry_run:
         return Backfill(plain, _dry_stats(marked, dims), {})
 
-    any_due = F.greatest(*[F.col(f"_due_{d}") for d in dims]) if len(dims) > 1 else F.col(f"_due_{dims[0]}")
-    rest = marked.where(~any_due).select(*plain.columns)
-    work = marked.where(any_due).withColumn("_touched", F.lit(False))
+    work = marked.withColumn("_touched", F.lit(False))
     fresh: dict[int, DataFrame] = {}
     stats: list[DataFrame] = []
     for spec in specs:
         d = spec.dim
-        rows = marked.where(f"_due_{d}")
+        rows = near.where(f"_due_{d}")
         vectors = embed_texts(rows.select(F.col("content").alias("text")), spec, cache)
         fresh[d] = cache_entries(vectors.df, spec, F.unix_timestamp(now))
         text = f"_text_{d}"
@@ -247,26 +255,26 @@ def backfill(
         work = joined.withColumns(
             {
                 f"vector_{d}": F.when(F.col(f"_due_{d}") & (F.col("status") != ERROR), F.col("vector")).otherwise(F.col(f"vector_{d}")),
-                f"_status_{d}": F.when(F.col(f"_due_{d}"), F.col("status")),
                 "_touched": F.col("_touched") | (F.col(f"_due_{d}") & (F.col("status") != ERROR)),
             }
         ).drop("vector", "status", "error", "key", text)
+        stats.append(_embed_counts(rows, vectors.df, d))
     stamp = F.when(F.col("_touched"), now.cast(plain.schema["updated_at"].dataType)).otherwise(F.col("updated_at"))
     done = work.withColumn("updated_at", stamp)
-    for d in dims:
-        per_dim = work.where(f"_due_{d}").agg(
-            F.lit(d).alias("dim"),
-            F.count(F.lit(1)).alias("total"),
-            F.count_if(F.col(f"_status_{d}") != ERROR).alias("embedded"),
-            F.count_if(F.col(f"_status_{d}") == FALLBACK).alias("zero_fallbacks"),
-            F.lit(0).cast("long").alias("skipped"),
-            F.count_if(F.col(f"_status_{d}") == ERROR).alias("errors"),
-        )
-        stats.append(per_dim)
     summary = stats[0]
     for s in stats[1:]:
         summary = summary.unionByName(s)
-    return Backfill(rest.unionByName(done.select(*plain.columns)), summary, fresh)
+    return Backfill(done.select(*plain.columns), summary, fresh)
+
+
+def _embed_counts(rows: DataFrame, vectors: DataFrame, dim: int) -> DataFrame:
+    """Counts of one width: rows by number, failures from the texts' own counts, so no text is looked up again."""
+    total = rows.agg(F.count(F.lit(1)).alias("total"))
+    failed = [F.coalesce(F.sum(F.when(F.col("status") == s, F.col("n"))), F.lit(0)).alias(c) for s, c in ((ERROR, "errors"), (FALLBACK, "zero_fallbacks"))]
+    return total.join(vectors.agg(*failed), how="cross").select(
+        F.lit(dim).alias("dim"), "total", (F.col("total") - F.col("errors")).alias("embedded"), "zero_fallbacks",
+        F.lit(0).cast("long").alias("skipped"), "errors",
+    )
 
 
 def _dry_stats(marked: DataFrame, dims: Sequence[int]) -> DataFrame:

@@ -218,3 +218,12 @@ def test_registry_scans(spark, tmp_path):
     assert tables.scan_categories(spark, str(tmp_path / "c")).count() == 8
     assert [r.dim for r in tables.model_list(tables.scan_models(spark, str(tmp_path / "m"))).collect()] == [768, 1024, 1536]
     assert tables.read_setting(tables.scan_settings(spark, str(tmp_path / "s")), "default_dim").first().value == "1024"
+
+
+def test_backfill_counts_read_no_text_again(spark, memory, now, tmp_path):
+    """The texts are read to embed them; the counts of a backfill then need neither texts nor vectors."""
+    memory.write.parquet(str(tmp_path / "m"))
+    stats = M.backfill(spark.read.parquet(str(tmp_path / "m")), [FOUR, TWO], now).stats
+    plan = stats._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema" in plan and "content:" not in plan
+    assert {r.dim: (r.total, r.embedded, r.errors) for r in stats.collect()}.keys() == {2, 4}

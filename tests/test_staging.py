@@ -97,3 +97,11 @@ def test_may_hold_keeps_every_wanted_row(spark):
     wanted = rows.where("id % 100 = 0")
     kept = {r.id for r in staging.may_hold(rows, wanted.select("word"), "word").collect()}
     assert kept >= set(range(0, 20000, 100)) and len(kept) < 400
+
+
+def test_split_by_keys_loses_no_row(spark):
+    rows = spark.range(5000).select(F.when(F.col("id") % 7 > 0, F.col("id")).alias("id"), F.col("id").alias("n"))
+    near, far = staging.split_by_keys(rows, rows.select("id").where("id % 50 = 1"), "id")
+    kept = {r.id for r in near.collect()}
+    assert kept >= {i for i in range(5000) if i % 7 and i % 50 == 1}
+    assert sorted(r.n for r in near.unionByName(far).collect()) == list(range(5000)) and far.count() > 4500
