@@ -179,3 +179,11 @@ def test_default_dim_and_registry(spark):
 def test_many_parallel_partitions(spark, texts):
     vectors = E.embed_texts(texts.select("text"), spec("hashing", parallelism=5))
     assert vectors.rows == 3
+
+
+def test_calls_get_a_bounded_number_of_texts(spark):
+    register_embedder("counting", lambda dim, model: lambda texts: [[float(len(texts)), float(sum(map(len, texts)))] + [0.0] * (dim - 2)] * len(texts))
+    texts = spark.range(0, 3000, 1, 1).select(F.concat(F.col("id").cast("string"), F.repeat(F.lit("x"), 3000)).alias("text"))
+    found = E.embed_texts(texts.coalesce(1), spec("counting")).df
+    most = found.agg(F.max(F.col("vector")[0]).alias("n"), F.max(F.col("vector")[1]).alias("chars"), F.count("key").alias("rows")).first()
+    assert most.rows == 3000 and most.n <= E.CALL_TEXTS and most.chars <= E.CALL_BYTES
