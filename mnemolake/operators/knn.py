@@ -21,51 +21,77 @@ from .staging import BROADCAST_BYTES, Staged, prunable, stage, top_per_query
 QUERY_BLOCK = 16384
 VECTOR_BLOCK = 16384
 # Rows and columns of one score matrix.
-SCORE_ROWS, SCORE_COLUMNS = 1024, 8192
+SCORE_ROWS, SCORE_COLUMNS = 512, 2048
 INDEX_PARTS = 256
 BUCKET_ROWS = 4096
 SCORE_DIGITS = 9
 
 
 def _unit(vectors) -> np.ndarray:
-    x = np.stack([np.asarray(v, dtype="f8") for v in vectors])
-    return x / np.linalg.norm(x, axis=1, keepdims=True)
-
-
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column numbers of the k best entries per row, ties by the smaller id."""
-    scores = np.round(scores, SCORE_DIGITS)
-    n = scores.shape[1]
-    if n > k:
-        floor = -np.partition(-scores, k - 1, axis=1)[:, k - 1 : k]
-        rows, cols = np.nonzero(scores >= floor)
-    else:
-        rows, cols = (a.ravel() for a in np.indices(scores.shape))
-    order = np.lexsort((ids[cols], -scores[rows, cols], rows))
-    rows, cols = rows[order], cols[order]
-    first = np.searchsorted(rows, np.arange(scores.shape[0]))
-    keep = np.arange(len(rows)) - first[rows] < k
-    return rows[keep], cols[keep]
+    x = np.empty((len(vectors), len(vectors.iloc[0])))
+    for i, v in enumerate(vectors):
+        x[i] = v
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    return x
+
+
+class _Best:
+    """The k best ids of every query seen so far, in arrays of fixed size; ties go to the smaller id."""
+
+    def __init__(self, n: int, k: int, ids: np.ndarray):
+        self.k = k
+        self.rounded, self.scores = np.full((n, k), -np.inf), np.zeros((n, k))
+        self.ids = np.zeros((n, k), ids.dtype) if ids.dtype != object else np.full((n, k), None, object)
+
+    def add(self, q: np.ndarray, ids: np.ndarray, v: np.ndarray) -> None:
+        """Score all queries with some vectors, piece by piece; only scores that reach a query's last place are looked at."""
+        if not self.k:
+            return
+        # Single precision finds what may reach the last place, double precision scores it. Rows have length 1.
+        slack = (q.shape[1] + 8) * 2.0**-23 + 2 * 10.0**-SCORE_DIGITS
+        q4, v4 = q.astype("f4"), v.astype("f4")
+        for at in range(0, len(q), SCORE_ROWS):
+            part = slice(at, at + SCORE_ROWS)
+            for start in range(0, len(v), SCORE_COLUMNS):
+                scores = q4[part] @ v4[start : start + SCORE_COLUMNS].T
+                floor = self.rounded[part, -1] - slack
+                if scores.shape[1] > self.k and not np.isfinite(floor).all():
+                    kth = np.partition(scores, scores.shape[1] - self.k, axis=1)[:, -self.k]
+                    floor = np.maximum(floor, kth - 2 * slack)
+                rows, cols = np.nonzero(scores >= floor[:, None].astype("f4"))
+                if len(rows):
+                    exact = np.einsum("ij,ij->i", q[at + rows], v[start + cols])
+                    self._merge(at, rows, ids[start + cols], np.clip(exact, -1.0, 1.0))
+
+    def _merge(self, at: int, rows: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        changed = np.unique(rows)
+        held = np.isfinite(self.rounded[at + changed])
+        owner = np.concatenate((np.repeat(changed, held.sum(axis=1)), rows))
+        ids = np.concatenate((self.ids[at + changed][held], ids))
+        scores = np.concatenate((self.scores[at + changed][held], scores))
+        rounded = np.round(scores, SCORE_DIGITS)
+        order = np.lexsort((ids, -rounded, owner))
+        owner = owner[order]
+        place = np.arange(len(owner)) - np.searchsorted(owner, owner)
+        order, owner, place = (x[place < self.k] for x in (order, owner, place))
+        self.rounded[at + owner, place], self.scores[at + owner, place], self.ids[at + owner, place] = rounded[order], scores[order], ids[order]
+
+    def part(self, start: int, end: int) -> _Best:
+        """The same of some of the queries."""
+        out = _Best(0, self.k, self.ids)
+        out.rounded, out.scores, out.ids = self.rounded[start:end], self.scores[start:end], self.ids[start:end]
+        return out
+
+    def pairs(self, qids: np.ndarray) -> pd.DataFrame:
+        rows, cols = np.nonzero(np.isfinite(self.rounded))
+        return pd.DataFrame({"qid": qids[rows], "id": self.ids[rows, cols], "vector_sim": self.scores[rows, cols]})
 
 
 def _pairs(qids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, k: int) -> pd.DataFrame:
-    """Best k per query of one block pair; the scores are computed piece by piece."""
-    done = []
-    for at in range(0, len(q), SCORE_ROWS):
-        names, part = qids[at : at + SCORE_ROWS], []
-        for start in range(0, len(v), SCORE_COLUMNS):
-            columns = ids[start : start + SCORE_COLUMNS]
-            scores = np.clip(q[at : at + SCORE_ROWS] @ v[start : start + SCORE_COLUMNS].T, -1.0, 1.0)
-            rows, cols = _best(scores, columns, k)
-            part.append(pd.DataFrame({"qid": names[rows], "id": columns[cols], "vector_sim": scores[rows, cols]}))
-        done.append(_trim(pd.concat(part), k) if len(part) > 1 else part[0])
-    return pd.concat(done)
-
-
-def _trim(pairs: pd.DataFrame, k: int) -> pd.DataFrame:
-    pairs = pairs.assign(_s=pairs.vector_sim.round(SCORE_DIGITS))
-    pairs = pairs.sort_values(["qid", "_s", "id"], ascending=[True, False, True])
-    return pairs.groupby("qid", sort=False).head(k).drop(columns="_s")
+    """Best k per query of one block pair."""
+    best = _Best(len(q), k, ids)
+    best.add(q, ids, v)
+    return best.pairs(qids)
 
 
 def searchable(m: DataFrame, dim: int, only_active: bool = True) -> DataFrame:
@@ -123,15 +149,15 @@ def _scan_topk(queries: Staged, vectors: DataFrame, k: int, schema: T.StructType
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         qids, matrix = shared.value
-        best: pd.DataFrame | None = None
+        best: _Best | None = None
         for batch in batches:
             if batch.empty:
                 continue
-            ids, v = batch.id.to_numpy(), _unit(batch.v)
-            found = _pairs(qids, matrix, ids, v, k)
-            best = found if best is None else _trim(pd.concat([best, found]), k)
-        if best is not None:
-            yield best
+            ids = batch.id.to_numpy()
+            best = _Best(len(qids), k, ids) if best is None else best
+            best.add(matrix, ids, _unit(batch.v))
+        for at in range(0, len(qids) if best else 0, QUERY_BLOCK):
+            yield best.part(at, at + QUERY_BLOCK).pairs(qids[at : at + QUERY_BLOCK])
 
     return vectors.mapInPandas(scan, schema)
 

@@ -144,3 +144,20 @@ def test_planes_are_balanced_and_fixed():
     a = knn.hyperplanes(64, 128)
     assert (a == knn.hyperplanes(64, 128)).all() and set(np.unique(a)) == {-1.0, 1.0}
     assert abs(a.mean()) < 0.05
+
+
+def test_best_of_pieces_equals_sorting_all(monkeypatch):
+    """Queries keep their best over any pieces; ties by the smaller id, and no query needs more than its k places."""
+    monkeypatch.setattr(knn, "SCORE_ROWS", 3)
+    monkeypatch.setattr(knn, "SCORE_COLUMNS", 4)
+    rng = np.random.default_rng(5)
+    unit = lambda n: (lambda x: x / np.linalg.norm(x, axis=1, keepdims=True))(rng.integers(-2, 3, (n, 6)) + 0.25)
+    q, v, ids = unit(8), unit(50), rng.permutation(50)
+    for k in (1, 5, 60):
+        best = knn._Best(len(q), k, ids)
+        for at in range(0, 50, 7):
+            best.add(q, ids[at : at + 7], v[at : at + 7])
+        got = best.pairs(np.arange(len(q)))
+        scores = np.round(q @ v.T, knn.SCORE_DIGITS)
+        for i in range(len(q)):
+            assert list(got[got.qid == i].id) == list(ids[np.lexsort((ids, -scores[i]))][:k])
