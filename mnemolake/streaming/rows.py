@@ -17,7 +17,7 @@ from ..functions.scalars import default_confidence, default_metadata, default_ta
 from ..operators.embedding import ERROR, attach_embedding, embed_texts
 from ..operators.joins import resolve_category
 from ..operators.staging import stage
-from ..operators.stored import BUCKETS, merge_stored, write_buckets
+from ..operators.stored import BUCKETS, merge_stored
 from ..schemas import vector_column, vector_dims
 from ..sources.tables import state_columns
 from .streams import _batch_path, _start
@@ -114,20 +114,23 @@ def stream_rows(
 ) -> StreamingQuery:
     """Fold events into whole rows; every micro-batch writes its changed rows to ``path/rows/batch=N``.
 
-    ``base`` holds the memories that exist at the start; its state is written once, before the first batch. A text is
-    embedded when it becomes a row's newest one, so a soft delete costs no call; ``read_rows`` finds its older vector.
+    ``base`` holds the memories that exist at the start and must stay as it is: the rows of a batch's ids are taken from
+    there, and taking them again changes nothing, so the state holds only ids that had an event. A text is embedded when it becomes a row's newest one, so a soft delete costs no call; ``read_rows`` finds its older vector.
     Texts that fail under ``keep_errors`` leave the vector as it was.
     """
-    spark, states = events.sparkSession, f"{path.rstrip('/')}/state"
+    states = f"{path.rstrip('/')}/state"
     event_type = events.schema["event_id"].dataType.simpleString()
-    if base is not None and _is_new(spark, checkpoint):
-        write_buckets(base_states(base, event_type), states, buckets)
     vector = vector_column(embed.dim, embed.dims)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         part = stage(event_states(batch, categories))
-        merged = stage(merge_stored(session, states, part, fold, buckets))
+        known = part
+        if base is not None:
+            ids = part.df.select("id")
+            old = base.join(F.broadcast(ids) if part.small else ids, "id", "left_semi")
+            known = stage(part.df.unionByName(base_states(old, event_type)))
+        merged = stage(merge_stored(session, states, known, fold, buckets).dropDuplicates(["id"]))
         # The newest text is this batch's if one of its events brought it, or if its add made older ones count.
         mine = part.df.select("id", *[F.col(f"{op}.event_id").alias(f"_{op}") for op in _OPS[:3]])
         own_add = merged.df.select("id", F.col("add.event_id").alias("_first"))
@@ -146,12 +149,6 @@ def stream_rows(
     return _start(events, write, checkpoint, available_now, **trigger)
 
 
-def _is_new(spark: SparkSession, checkpoint: str) -> bool:
-    """Whether no micro-batch has been planned with this checkpoint."""
-    offsets = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/offsets/0")
-    return not offsets.getFileSystem(spark._jsc.hadoopConfiguration()).exists(offsets)
-
-
 def read_rows(spark: SparkSession, path: str, base: DataFrame | None = None) -> DataFrame:
     """The memories after all batches: of every id the last row written, with the last vector written.
 

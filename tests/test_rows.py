@@ -114,3 +114,11 @@ def test_no_events(spark, events, categories, tmp_path):
     out = run(spark, events.where("op = 'none'").unionByName(events.where("event_id = 0")), categories, tmp_path, "few", 1)
     assert R.read_rows(spark, out).count() <= 1
     assert category_seed(spark).count() == categories.count()
+
+
+def test_state_holds_only_ids_with_events(spark, events, categories, tmp_path):
+    base = R.read_rows(spark, run(spark, events, categories, tmp_path, "first", 1)).drop("vector_text")
+    one = base.orderBy("id").first().id
+    out = run(spark, events.where(F.col("memory_id") == one), categories, tmp_path, "second", 1, base)
+    assert base.count() > 1
+    assert [r.id for r in spark.read.parquet(f"{out}/state").select("id").collect()] == [one]
