@@ -4,6 +4,7 @@ import pytest
 from brute import lexemes, rank
 from pyspark.sql import functions as F
 
+from mnemolake import queries as catalogue
 from mnemolake.functions.stemmer import stem_word, with_stems
 from mnemolake.functions.text import grammar_parts, positions, stop_words, tokens, ts_rank
 from mnemolake.operators import text_index as ti
@@ -159,6 +160,22 @@ def test_rare_words_are_stemmed_without_the_lexicon(memory):
     assert sorted(ti.build_postings(memory, "english", lexicon=few).collect()) == everything
 
 
+def test_the_lexicon_has_every_word(memory):
+    rows = ti.token_rows(memory, "content", ("id",), "english")
+    want = sorted(with_stems(rows.select("token").distinct()).collect())
+    for most in (5, 1, ti.LEXICON_WORDS):
+        built = ti.build_lexicon(rows, max_words=most)
+        assert built.complete == (built.words.rows == len(want)) == (most == ti.LEXICON_WORDS)
+        assert sorted(built.stems.collect()) == want
+
+
+def test_lexicon_query_keeps_words_rarer_than_one_in_the_broadcast_limit(spark, memory, monkeypatch):
+    text = F.concat(F.repeat(F.lit("tiger "), ti.LEXICON_WORDS + 1), F.lit("running foxes"))
+    monkeypatch.setattr(catalogue.fx, "memory", lambda spark, sf: memory.limit(1).select("id", text.alias("content")))
+    got = sorted(tuple(r) for r in catalogue.QUERIES["lexicon_english"](spark, "none").collect())
+    assert got == [("foxes", "fox"), ("running", "run"), ("tiger", "tiger")]
+
+
 def test_update_postings(spark, memory):
     before = ti.build_postings(memory)
     edited = memory.where("id <> 3").withColumn("content", F.when(F.col("id") == 1, "new words").otherwise(F.col("content")))
